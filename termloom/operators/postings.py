@@ -12,6 +12,9 @@ from termloom.functions.words import BUILD_STOPWORDS
 # array never holds more entries than that, however frequent the term.
 BLOCK_DOCS = 65_536
 
+# Lower ends of the bins in which the documents of a term are counted by ``tf``.
+TF_EDGES = (1, 2, 4, 8, 16, 32)
+
 # Hot terms meet their other join side in this many pieces.
 SALTS = 16
 
@@ -57,21 +60,26 @@ def corpus_size(docs: DataFrame) -> DataFrame:
     return docs.agg(F.count("*").alias("n_docs"))
 
 
-def tf_counts(postings: DataFrame) -> DataFrame:
-    """``(term, tf, n)``: how many documents hold the term exactly ``tf`` times."""
-    return postings.groupBy("term", "tf").agg(F.count("*").alias("n"))
-
-
-def term_statistics(counts: DataFrame, keys: Sequence[str] = ("term",)) -> DataFrame:
-    """Fold ``(term, tf, n)`` rows into one row per term.
+def term_statistics(
+    rows: DataFrame, keys: Sequence[str] = ("term",), merge: bool = False
+) -> DataFrame:
+    """``df``, ``term_total`` and ``tf_bins`` per term, in one combining aggregate.
 
-    A term has few distinct ``tf`` values, so the array stays short for any corpus.
+    ``tf_bins[i]`` is the number of documents whose ``tf`` is at least ``TF_EDGES[i]``
+    and below the next edge.  ``rows`` are postings, or with ``merge`` such statistics.
     """
-    return counts.groupBy(*keys).agg(
-        F.sum("n").alias("df"),
-        F.sum(F.col("tf") * F.col("n")).alias("term_total"),
-        F.collect_list(F.struct("tf", "n")).alias("tf_counts"),
-    )
+    if merge:
+        bins = [F.sum(F.col("tf_bins")[i]) for i in range(len(TF_EDGES))]
+        sizes = [F.sum("df").alias("df"), F.sum("term_total").alias("term_total")]
+    else:
+        tf, uppers = F.col("tf"), (*TF_EDGES[1:], None)
+        inside = [
+            (tf >= low) & (tf < high) if high else tf >= low
+            for low, high in zip(TF_EDGES, uppers)
+        ]
+        bins = [F.count_if(condition) for condition in inside]
+        sizes = [F.count("*").alias("df"), F.sum("tf").alias("term_total")]
+    return rows.groupBy(*keys).agg(*sizes, F.array(*bins).alias("tf_bins"))
 
 
 def posting_lists(postings: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:

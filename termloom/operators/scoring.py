@@ -1,49 +1,90 @@
 """Candidate weights, the two dot products, and scores."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.weights import cosine, idf
+from termloom.operators.postings import TF_EDGES
 from termloom.operators.ranking import top_per_group
 
 SCORE_DIGITS = 5
 
 
-def least_tf(query_terms: DataFrame, n_docs: int, k: int) -> DataFrame:
-    """Add ``min_tf`` and ``reach`` to query terms, by counting instead of sorting.
+def with_floor(query_terms: DataFrame, k: int) -> DataFrame:
+    """Add ``floor``, a weight that the best ``k`` pairs of the query all reach.
 
-    A pair's weight depends only on its term and ``tf``, and ``tf_counts`` says how many
-    pairs share them.  Running totals over these counts show, before any posting is
-    read, which pairs can be among the best ``k`` of the query: those with ``tf >=
-    min_tf``.  Groups at the boundary are kept whole, so nothing is lost; ``reach`` is
-    how many pairs of the query remain.  Terms without such pairs are dropped.
+    It comes from counting, before any posting is read.  A pair in a ``tf`` bin weighs
+    at least the bin's lower edge times idf.  Taking a query's bins from the heaviest
+    down until they hold ``k`` pairs gives a weight that ``k`` pairs have at least, so
+    no lighter pair is among the best ``k``.  With fewer than ``k`` pairs in all it is
+    0.  ``reach`` is the most pairs of the query that can weigh ``floor`` or more.
     """
-    groups = query_terms.select("query_id", "term", "df", F.inline("tf_counts"))
-    weighted = groups.withColumn("w", F.col("tf") * idf(n_docs, F.col("df")))
-    level = weighted.groupBy("query_id", "w").agg(F.sum("n").alias("level_n"))
-    upwards = Window.partitionBy("query_id").orderBy(F.desc("w"))
-    level = level.withColumn("up_to", F.sum("level_n").over(upwards)).filter(
-        F.col("up_to") - F.col("level_n") < k
+    fields = [c for c in query_terms.columns if c != "query_id"]
+    per_query = query_terms.groupBy("query_id").agg(
+        F.collect_list(F.struct(*fields)).alias("terms")
     )
-    kept = (
-        weighted.join(level, ["query_id", "w"])
-        .groupBy("query_id", "term")
-        .agg(F.min("tf").alias("min_tf"), F.sum("n").alias("term_reach"))
+    edges = F.array(*(F.lit(e) for e in TF_EDGES))
+    bins = F.flatten(
+        F.transform(
+            "terms",
+            lambda t: F.transform(
+                t["tf_bins"],
+                lambda n, i: F.struct((-(F.get(edges, i) * t["idf"])).alias("w"), n.alias("n")),
+            ),
+        )
+    )
+    start = F.struct(F.lit(0).cast("bigint").alias("pairs"), F.lit(0.0).alias("floor"))
+    found = F.aggregate(
+        F.sort_array(bins),
+        start,
+        lambda acc, b: F.struct(
+            (acc["pairs"] + b["n"]).alias("pairs"),
+            F.when((acc["pairs"] < k) & (acc["pairs"] + b["n"] >= k), -b["w"])
+            .otherwise(acc["floor"])
+            .alias("floor"),
+        ),
+        lambda acc: acc["floor"],
     )
-    per_query = Window.partitionBy("query_id")
-    kept = kept.withColumn("reach", F.sum("term_reach").over(per_query)).drop("term_reach")
-    return query_terms.drop("tf_counts").join(kept, ["query_id", "term"], "left")
+    floored = per_query.select("query_id", "terms", found.alias("floor"))
+    # A bin counts in full if its upper edge, the last one without end, can reach it.
+    reach = F.aggregate(
+        "terms",
+        F.lit(0).cast("bigint"),
+        lambda acc, t: acc
+        + F.aggregate(
+            F.filter(
+                t["tf_bins"],
+                lambda _, i: (i == len(TF_EDGES) - 1)
+                | (F.get(edges, i + 1) * t["idf"] >= F.col("floor")),
+            ),
+            F.lit(0).cast("bigint"),
+            lambda total, n: total + n,
+        ),
+    )
+    return floored.select(
+        "query_id", "floor", reach.alias("reach"), F.inline("terms")
+    ).drop("tf_bins")
 
 
 def raw_tf_weights(matches: DataFrame, n_docs: int) -> DataFrame:
-    """``tf * log10(N / df)`` per query, document and term."""
-    weight = F.col("tf") * idf(n_docs, F.col("df"))
-    return matches.select("query_id", "doc_id", "term", weight.alias("w"))
+    """``tf * log10(N / df)`` per query, document and term.
+
+    Rows that carry a ``floor`` below which they cannot count are held against it.
+    """
+    weight = F.col("tf") * _idf_of(matches, n_docs)
+    weighted = matches.withColumn("w", weight)
+    if "floor" in matches.columns:
+        weighted = weighted.filter(F.col("w") >= F.col("floor"))
+    return weighted.select("query_id", "doc_id", "term", "w")
+
+
+def _idf_of(rows: DataFrame, n_docs: int) -> Column:
+    return F.col("idf") if "idf" in rows.columns else idf(n_docs, F.col("df"))
 
 
 def norm_tf_weights(matches: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame:
     """``(tf / doc_len) * log10(N / df)`` per query, document and term."""
-    weight = (F.col("tf") / F.col("doc_len")) * idf(n_docs, F.col("df"))
+    weight = (F.col("tf") / F.col("doc_len")) * _idf_of(matches, n_docs)
     lengths = docs.select("doc_id", "doc_len")
     joined = matches.join(lengths, "doc_id")
     return joined.select("query_id", "doc_id", "term", weight.alias("w"))

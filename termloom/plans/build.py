@@ -2,12 +2,12 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from termloom.functions.text import BUILD_PATTERN, kept_terms, total_count
 from termloom.functions.words import BUILD_STOPWORDS
-from termloom.operators.postings import merge_counts, term_statistics, tf_counts
+from termloom.operators.postings import merge_counts, term_statistics
 from termloom.sources.index_store import (
     Index,
     bucket_of,
@@ -19,15 +19,21 @@ from termloom.sources.index_store import (
     write_postings,
     write_terms,
 )
-from termloom.sources.shared import fits_broadcast, materialize, spread_rows
+from termloom.sources.shared import (
+    broadcast_within,
+    materialize,
+    rows_up_to_limit,
+    spread_rows,
+)
 
 # Terms in at most this many documents are left out of the vocabulary,
-# and postings go to at least this many buckets unless the caller sets a number.
+# and the postings of an index of ordinary size go to this many buckets.
 MIN_DF = 50
 BUCKETS = 124
 
+SMALL_BUCKET_ROWS = 100_000  # entries per bucket below which fewer buckets are made
+LARGE_BUCKET_ROWS = 20_000_000  # entries per bucket above which more buckets are made
 MAX_BUCKETS = 16_384
-BUCKET_ROWS = 20_000_000  # entries per bucket above which more buckets are made
 SLICE_ROWS = 50_000_000  # entries per file above which a bucket gets more files
 PART_ROWS = 1_000_000  # entries per part of a term
 MAX_HOT_TERMS = 100_000  # most terms that may have more than one part
@@ -86,33 +92,42 @@ def add_documents(index: Index, docs: DataFrame, *, repeats: bool = False) -> In
 
 def _store_batch(draft: Index, docs: DataFrame, old: Index | None) -> Index:
     batch = draft.version
-    write_documents(_tokenised(docs, draft), draft.path, batch)
-    added = draft.spark.read.parquet(f"{draft.path}/documents/batch={batch}")
+    seen = Observation()
+    rows = _tokenised(docs, draft).observe(
+        seen,
+        F.count("*").alias("rows"),
+        F.coalesce(F.sum(F.size("terms").cast("bigint")), F.lit(0)).alias("entries"),
+    )
+    write_documents(rows, draft.path, batch)
+    if not draft.buckets or not draft.part_rows:
+        # Sizes are chosen once, from the first batch, and stay with the index.
+        draft = _with_sizes(draft, seen.get["entries"])
+
+    added = draft.forward().filter(F.col("batch") == batch)
     entries = added.select("doc_id", F.inline("terms"))
     if not draft.single_row:
         entries = materialize(merge_counts(entries), "entries")
 
-    counts = tf_counts(entries)
+    statistics = term_statistics(entries)
     if old is not None:
-        before = old.term_table().select("term", F.inline("tf_counts"))
-        counts = counts.unionByName(before).groupBy("term", "tf").agg(F.sum("n").alias("n"))
-
-    if not draft.buckets or not draft.part_rows:
-        # Sizes are chosen once, from the first batch, and stay with the index.
-        draft = _with_sizes(draft, entries.count())
+        before = old.term_table().select(*statistics.columns)
+        statistics = term_statistics(statistics.unionByName(before), merge=True)
     bucket = bucket_of(F.col("term"), F.lit(0), draft.buckets)
-    by_bucket = counts.withColumn("bucket", bucket).repartition("bucket")
-    write_terms(term_statistics(by_bucket, ("bucket", "term")), draft.path, batch)
-
-    n_postings, max_df = (
-        draft.term_table()
-        .agg(F.coalesce(F.sum("df"), F.lit(0)), F.coalesce(F.max("df"), F.lit(0)))
-        .first()
-    )
-    draft = _changed(
-        draft, n_postings=n_postings, max_df=max_df, n_docs=draft.docs().count()
+    totals = Observation()
+    statistics = statistics.withColumn("bucket", bucket).observe(
+        totals,
+        F.coalesce(F.sum("df"), F.lit(0)).alias("n_postings"),
+        F.coalesce(F.max("df"), F.lit(0)).alias("max_df"),
     )
-    slices = draft.buckets * max(1, n_postings // (draft.buckets * SLICE_ROWS))
+    write_terms(statistics, draft.path, batch)
+
+    if draft.single_row:
+        n_docs = seen.get["rows"] + (old.n_docs if old else 0)
+    else:
+        n_docs = draft.docs().count()
+    draft = _changed(draft, n_docs=n_docs, **totals.get)
+    # Only this batch's entries are written, so the total is an upper bound.
+    slices = draft.buckets * max(1, draft.n_postings // (draft.buckets * SLICE_ROWS))
     write_postings(_with_parts(entries, draft), draft.path, batch, draft.buckets, slices)
     write_meta(draft)
     return draft
@@ -121,22 +136,19 @@ def _store_batch(draft: Index, docs: DataFrame, old: Index | None) -> Index:
 def _tokenised(docs: DataFrame, index: Index) -> DataFrame:
     title = F.col("title") if "title" in docs.columns else F.lit(None).cast("string")
     terms = kept_terms(F.col("text"), index.pattern, index.stopwords)
-    return (
-        spread_rows(docs)
-        .select(
-            F.col("doc_id").cast(index.id_type).alias("doc_id"),
-            title.alias("title"),
-            F.coalesce(terms, F.array().cast("array<struct<term:string,tf:int>>")).alias(
-                "terms"
-            ),
-        )
-        .withColumn("doc_len", total_count(F.col("terms")))
-        .select("doc_id", "title", "doc_len", "terms")
+    none = F.array().cast("array<struct<term:string,tf:int>>")
+    counted = spread_rows(docs).select(
+        F.col("doc_id").cast(index.id_type).alias("doc_id"),
+        title.alias("title"),
+        F.coalesce(terms, none).alias("terms"),
     )
+    sized = counted.withColumn("doc_len", total_count(F.col("terms")))
+    return sized.select("doc_id", "title", "doc_len", "terms")
 
 
 def _with_sizes(draft: Index, n_entries: int) -> Index:
-    scaled = max(BUCKETS, min(MAX_BUCKETS, n_entries // BUCKET_ROWS))
+    few = max(1, min(BUCKETS, n_entries // SMALL_BUCKET_ROWS))
+    scaled = max(few, min(MAX_BUCKETS, n_entries // LARGE_BUCKET_ROWS))
     # At most n / part_rows terms can have more than part_rows entries, so this choice
     # bounds the number of hot terms by MAX_HOT_TERMS.
     rows = max(PART_ROWS, n_entries // MAX_HOT_TERMS)
@@ -151,8 +163,7 @@ def _with_parts(entries: DataFrame, index: Index) -> DataFrame:
         return entries.withColumn("part", F.lit(0))
     hot = index.term_table().filter(F.col("df") > index.part_rows)
     hot = hot.select("term", n_parts(F.col("df"), index.part_rows).alias("n_parts"))
-    if fits_broadcast(hot):
-        hot = F.broadcast(hot)
+    hot = broadcast_within(hot, rows_up_to_limit(hot))
     part = F.pmod(F.xxhash64("doc_id"), F.coalesce("n_parts", F.lit(1))).cast("int")
     return entries.join(hot, "term", "left").withColumn("part", part).drop("n_parts")
 
@@ -162,8 +173,7 @@ def _without_known(docs: DataFrame, index: Index) -> DataFrame:
     known = index.docs().select("doc_id")
     clashes = docs.select("doc_id").join(known, "doc_id", "left_semi").distinct()
     clashes = materialize(clashes, "clashes")
-    if fits_broadcast(clashes):
-        clashes = F.broadcast(clashes)
+    clashes = broadcast_within(clashes, rows_up_to_limit(clashes))
     return docs.join(clashes, "doc_id", "left_anti")
 
 

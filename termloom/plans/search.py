@@ -3,10 +3,11 @@
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from termloom.functions.text import QUERY_PATTERN
+from termloom.functions.weights import idf
 from termloom.functions.words import QUERY_STOPWORDS
 from termloom.operators.matching import (
     hit_counts,
@@ -20,16 +21,16 @@ from termloom.operators.ranking import top_per_group
 from termloom.operators.scoring import (
     dot_aligned,
     dot_positional,
-    least_tf,
     norm_tf_weights,
     raw_tf_weights,
     score_coordinated,
     score_cosine,
     sparse_rows,
     top_candidates,
+    with_floor,
 )
 from termloom.sources.index_store import Index, n_parts
-from termloom.sources.shared import broadcast_within, materialize
+from termloom.sources.shared import broadcast_within, materialize, rows_up_to_limit
 
 # Results per query, and the (document, term) pairs a search considers.
 MAX_RESULTS = 100
@@ -57,21 +58,27 @@ def query_terms(
     skip_zeros: bool = True,
 ) -> QueryTerms:
     """Tokenise, look up and weigh ``queries(query_id, query_text)``."""
-    counted = materialize(query_term_counts(queries, pattern, stopwords), "queries")
+    counted = query_term_counts(queries, pattern, stopwords)
     total = n_docs or index.n_docs
-    known = lookup_terms(index, counted, counted.count())
+    known = lookup_terms(index, counted, rows_up_to_limit(counted))
+    known = known.withColumn("idf", idf(total, F.col("df")))
     vector = query_tfidf(known, total, skip_zeros)
-    return _measured(index, least_tf(vector, total, max_pairs))
+    return _measured(index, with_floor(vector, max_pairs))
 
 
 def _measured(index: Index, terms: DataFrame) -> QueryTerms:
-    table = materialize(terms, "query-terms")
-    rows, n_queries, reach = table.agg(
-        F.coalesce(F.sum(n_parts(F.col("df"), index.part_rows)), F.lit(0)),
-        F.count_distinct("query_id"),
-        F.coalesce(F.max("reach"), F.lit(0)) if "reach" in terms.columns else F.lit(0),
-    ).first()
-    return QueryTerms(table, rows, n_queries, reach)
+    totals = Observation()
+    pieces = F.sum(n_parts(F.col("df"), index.part_rows))
+    firsts = F.count_if(F.col("ord") == 1) if "ord" in terms.columns else F.lit(0)
+    reach = F.max("reach") if "reach" in terms.columns else F.lit(0)
+    observed = terms.observe(
+        totals,
+        F.coalesce(pieces, F.lit(0)).alias("rows"),
+        F.coalesce(firsts, F.lit(0)).alias("n_queries"),
+        F.coalesce(reach, F.lit(0)).alias("reach"),
+    )
+    table = materialize(observed, "query-terms")
+    return QueryTerms(table, **totals.get)
 
 
 def candidates(
@@ -82,10 +89,8 @@ def candidates(
     max_pairs: int = MAX_PAIRS,
 ) -> DataFrame:
     """The best (document, term) pairs of each query by raw TF-IDF, numbered ``ck``."""
-    wanted = terms.table.select("query_id", "term", "qtf", "df", "min_tf")
-    matches = match_postings(index, wanted, terms.rows).filter(
-        F.col("tf") >= F.col("min_tf")
-    )
+    wanted = terms.table.select("query_id", "term", "qtf", "df", "idf", "floor")
+    matches = match_postings(index, wanted, terms.rows)
     weights = raw_tf_weights(matches, n_docs or index.n_docs)
     return top_candidates(weights, max_pairs, terms.reach)
 
@@ -195,7 +200,7 @@ def normalised_weights(
     index: Index, terms: QueryTerms, n_docs: int | None = None
 ) -> DataFrame:
     """Length-normalised TF-IDF of every pair the queries' terms match."""
-    wanted = terms.table.select("query_id", "term", "qtf", "df")
+    wanted = terms.table.select("query_id", "term", "qtf", "df", "idf")
     matches = match_postings(index, wanted, terms.rows)
     return norm_tf_weights(matches, index.docs(), n_docs or index.n_docs)
 
@@ -251,8 +256,8 @@ def index_hits(
     stopwords: Sequence[str] = QUERY_STOPWORDS,
 ) -> DataFrame:
     """``(query_id, doc_id, hits)`` on one index."""
-    counted = materialize(query_term_counts(queries, pattern, stopwords), "queries")
-    known = lookup_terms(index, counted, counted.count())
+    counted = query_term_counts(queries, pattern, stopwords)
+    known = lookup_terms(index, counted, rows_up_to_limit(counted))
     found, rows = _counted(index, known.select("query_id", "term", "qtf", "df"))
     return hit_counts(match_postings(index, found, rows))
 

@@ -2,7 +2,7 @@
 
 ``documents``  doc_id, title, doc_len, terms        one folder per batch
 ``postings``   term, part, doc_id, tf               one folder per batch and bucket
-``terms``      term, df, term_total, tf_counts      one folder per version and bucket
+``terms``      term, df, term_total, tf_bins        one folder per version and bucket
 ``meta``       corpus size and parameters           one row per version
 
 A term's bucket follows from the term, so looking up query terms opens only their
@@ -59,13 +59,13 @@ class Index:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{table}")
 
     def forward(self) -> DataFrame:
-        """The tokenised input rows: ``doc_id, title, doc_len, terms``."""
+        """The tokenised input rows: ``doc_id, title, doc_len, terms, batch``."""
         schema = (
             f"doc_id {self.id_type}, title string, doc_len bigint, "
             "terms array<struct<term: string, tf: int>>, batch int"
         )
         rows = self._read("documents", schema)
-        return rows.filter(F.col("batch") <= self.version).drop("batch")
+        return rows.filter(F.col("batch") <= self.version)
 
     def docs(self) -> DataFrame:
         """``(doc_id, title, doc_len)``, one row per document."""
@@ -80,7 +80,7 @@ class Index:
         """Statistics of every term, with bucket, before the document-frequency filter."""
         schema = (
             "term string, df bigint, term_total bigint, "
-            "tf_counts array<struct<tf: int, n: bigint>>, version int, bucket int"
+            "tf_bins array<bigint>, version int, bucket int"
         )
         rows = self._read("terms", schema)
         return rows.filter(F.col("version") == self.version).drop("version")
@@ -133,8 +133,9 @@ def write_documents(rows: DataFrame, path: str, batch: int) -> None:
 
 
 def write_terms(terms: DataFrame, path: str, version: int) -> None:
-    """``terms`` must be partitioned by ``bucket`` already."""
-    ordered = terms.sortWithinPartitions("bucket", "term")
+    """Write term statistics by bucket, sorted by term."""
+    bucketed = terms.repartition("bucket")
+    ordered = bucketed.sortWithinPartitions("bucket", "term")
     target = f"{path}/terms/version={version}"
     ordered.write.mode("overwrite").partitionBy("bucket").parquet(target)
 

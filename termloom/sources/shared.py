@@ -45,9 +45,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``limit`` rows; counting stops beyond the limit."""
-    return df.limit(limit + 1).count() <= limit
+def rows_up_to_limit(df: DataFrame, limit: int = BROADCAST_ROWS) -> int:
+    """Number of rows, counted no further than one beyond ``limit``."""
+    return df.limit(limit + 1).count()
 
 
 def broadcast_within(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
