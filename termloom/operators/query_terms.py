@@ -38,13 +38,18 @@ def in_vocabulary(query_terms: DataFrame, terms: DataFrame) -> DataFrame:
 def query_tfidf(
     query_terms: DataFrame, n_docs: int, skip_zeros: bool = True
 ) -> DataFrame:
-    """Add ``weight`` and ``ord``, the term's place in the query vector.
+    """Add ``weight``, ``term_no`` and ``ord`` to query terms that have ``df``.
 
-    ``query_terms`` has ``df``.  The vector is in order of the terms' names; with
-    ``skip_zeros``, terms of weight zero do not take a place before the others.
+    ``term_no`` numbers the query's terms by name.  ``ord`` is the term's place in the
+    query vector: the same, but with ``skip_zeros`` terms of weight zero come last.
     """
     weight = query_weight(F.col("qtf"), F.col("query_len"), n_docs, F.col("df"))
-    order = [F.col("weight") == 0, F.col("term")] if skip_zeros else [F.col("term")]
-    in_query = Window.partitionBy("query_id").orderBy(*order)
     weighted = query_terms.withColumn("weight", weight)
-    return weighted.withColumn("ord", F.row_number().over(in_query))
+    in_query = Window.partitionBy("query_id")
+    numbered = weighted.withColumn(
+        "term_no", F.row_number().over(in_query.orderBy("term"))
+    )
+    if not skip_zeros:
+        return numbered.withColumn("ord", F.col("term_no"))
+    zeros_last = in_query.orderBy(F.col("weight") == 0, "term_no")
+    return numbered.withColumn("ord", F.row_number().over(zeros_last))

@@ -67,15 +67,14 @@ def with_floor(query_terms: DataFrame, k: int) -> DataFrame:
 
 
 def raw_tf_weights(matches: DataFrame, n_docs: int) -> DataFrame:
-    """``tf * log10(N / df)`` per query, document and term.
+    """Replace ``tf`` by ``w``, which is ``tf * log10(N / df)``.
 
     Rows that carry a ``floor`` below which they cannot count are held against it.
     """
-    weight = F.col("tf") * _idf_of(matches, n_docs)
-    weighted = matches.withColumn("w", weight)
+    weighted = matches.withColumn("w", F.col("tf") * _idf_of(matches, n_docs))
     if "floor" in matches.columns:
         weighted = weighted.filter(F.col("w") >= F.col("floor"))
-    return weighted.select("query_id", "doc_id", "term", "w")
+    return weighted.drop("tf", "df", "idf", "qtf", "floor")
 
 
 def _idf_of(rows: DataFrame, n_docs: int) -> Column:
@@ -83,27 +82,29 @@ def _idf_of(rows: DataFrame, n_docs: int) -> Column:
 
 
 def norm_tf_weights(matches: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame:
-    """``(tf / doc_len) * log10(N / df)`` per query, document and term."""
+    """Replace ``tf`` by ``w``, which is ``(tf / doc_len) * log10(N / df)``."""
     weight = (F.col("tf") / F.col("doc_len")) * _idf_of(matches, n_docs)
-    lengths = docs.select("doc_id", "doc_len")
-    joined = matches.join(lengths, "doc_id")
-    return joined.select("query_id", "doc_id", "term", weight.alias("w"))
+    joined = matches.join(docs.select("doc_id", "doc_len"), "doc_id")
+    return joined.withColumn("w", weight).drop("tf", "df", "idf", "qtf", "doc_len")
 
 
-def top_candidates(weights: DataFrame, k: int, reach: int | None = None) -> DataFrame:
+def top_candidates(
+    weights: DataFrame, k: int, reach: int | None = None, term: str = "term"
+) -> DataFrame:
     """The ``k`` best pairs of each query, numbered by ``ck``.
 
-    ``reach`` bounds the pairs per query if it is known; a small one is cut in one step.
+    ``term`` is a column that orders a query's terms by name.  ``reach`` bounds the
+    pairs per query if it is known; a small one is cut in one step.
     """
-    order = [F.desc("w"), F.asc("term"), F.asc("doc_id")]
+    order = [F.desc("w"), F.asc(term), F.asc("doc_id")]
     spread = None if reach is not None and reach <= 10 * k else "doc_id"
     return top_per_group(weights, "query_id", order, k, rank="ck", spread=spread)
 
 
-def sparse_rows(candidates: DataFrame) -> DataFrame:
+def sparse_rows(weights: DataFrame, term: str = "term_no") -> DataFrame:
     """Nonzero pairs with ``ord``, the pair's place in its document by weight."""
-    in_doc = Window.partitionBy("query_id", "doc_id").orderBy("ck")
-    nonzero = candidates.filter(F.col("w") != 0)
+    in_doc = Window.partitionBy("query_id", "doc_id").orderBy(F.desc("w"), F.asc(term))
+    nonzero = weights.filter(F.col("w") != 0)
     return nonzero.withColumn("ord", F.row_number().over(in_doc))
 
 
@@ -132,15 +133,17 @@ def dot_positional(rows: DataFrame, query_vector: DataFrame) -> DataFrame:
 
 def dot_aligned(rows: DataFrame, query_vector: DataFrame) -> DataFrame:
     """Match query and document weights of the same term."""
-    vector = query_vector.select("query_id", "term", F.col("weight").alias("q"))
-    return _dot(rows.join(vector, ["query_id", "term"], "left"))
+    vector = query_vector.select("query_id", "term_no", F.col("weight").alias("q"))
+    return _dot(rows.join(vector, ["query_id", "term_no"], "left"))
 
 
 def _dot(pairs: DataFrame) -> DataFrame:
+    """Dot product, number of pairs, and the document's best pair for breaking ties."""
     return pairs.groupBy("query_id", "doc_id").agg(
         F.coalesce(F.sum(F.col("q") * F.col("w")), F.lit(0.0)).alias("dot"),
         F.count("*").alias("coordination"),
-        F.min("ck").alias("first_ck"),
+        F.max("w").alias("best_w"),
+        F.min(F.when(F.col("ord") == 1, F.col("term_no"))).alias("best_no"),
     )
 
 
@@ -154,14 +157,14 @@ def score_cosine(weights: DataFrame, query_vector: DataFrame) -> DataFrame:
     """Cosine over the query's terms, rounded; documents of zero norm drop out."""
     vector = query_vector.select(
         "query_id",
-        "term",
+        "term_no",
         F.col("weight").alias("q"),
         F.sum(F.col("weight") * F.col("weight"))
         .over(Window.partitionBy("query_id"))
         .alias("q_norm2"),
     )
     sums = (
-        weights.join(vector, ["query_id", "term"])
+        weights.join(vector, ["query_id", "term_no"])
         .groupBy("query_id", "doc_id")
         .agg(
             F.sum(F.col("q") * F.col("w")).alias("dot"),

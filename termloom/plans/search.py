@@ -81,6 +81,17 @@ def _measured(index: Index, terms: DataFrame) -> QueryTerms:
     return QueryTerms(table, **totals.get)
 
 
+def pair_weights(
+    index: Index, terms: QueryTerms, n_docs: int | None = None
+) -> DataFrame:
+    """``(query_id, term, term_no, doc_id, w)``: the pairs that can be among the best."""
+    wanted = terms.table.select(
+        "query_id", "term", "term_no", "qtf", "df", "idf", "floor"
+    )
+    matches = match_postings(index, wanted, terms.rows)
+    return raw_tf_weights(matches, n_docs or index.n_docs)
+
+
 def candidates(
     index: Index,
     terms: QueryTerms,
@@ -89,10 +100,8 @@ def candidates(
     max_pairs: int = MAX_PAIRS,
 ) -> DataFrame:
     """The best (document, term) pairs of each query by raw TF-IDF, numbered ``ck``."""
-    wanted = terms.table.select("query_id", "term", "qtf", "df", "idf", "floor")
-    matches = match_postings(index, wanted, terms.rows)
-    weights = raw_tf_weights(matches, n_docs or index.n_docs)
-    return top_candidates(weights, max_pairs, terms.reach)
+    weights = pair_weights(index, terms, n_docs)
+    return top_candidates(weights, max_pairs, terms.reach, "term_no")
 
 
 def body_scores(
@@ -103,12 +112,15 @@ def body_scores(
     n_docs: int | None = None,
     max_pairs: int = MAX_PAIRS,
 ) -> DataFrame:
-    """``(query_id, doc_id, score, first_ck)`` from the candidate pairs."""
+    """``(query_id, doc_id, score, best_w, best_no)`` from the best pairs."""
     dot = {"positional": dot_positional, "aligned": dot_aligned}[scoring]
-    rows = sparse_rows(candidates(index, terms, n_docs=n_docs, max_pairs=max_pairs))
-    vector = terms.table.select("query_id", "term", "ord", "weight")
-    scored = score_coordinated(dot(rows, broadcast_within(vector, terms.rows)))
-    return scored.select("query_id", "doc_id", "score", "first_ck")
+    pairs = pair_weights(index, terms, n_docs)
+    if terms.reach > max_pairs:
+        pairs = top_candidates(pairs, max_pairs, terms.reach, "term_no")
+    pairs = pairs.select("query_id", "doc_id", "term_no", "w")
+    vector = terms.table.select("query_id", "term_no", "ord", "weight")
+    dots = dot(sparse_rows(pairs), broadcast_within(vector, terms.rows))
+    return score_coordinated(dots).drop("dot", "coordination")
 
 
 def title_hits(titles: Index, terms: QueryTerms) -> DataFrame:
@@ -128,12 +140,21 @@ def _counted(index: Index, terms: DataFrame) -> tuple[DataFrame, int]:
 
 
 def rerank_by_title(scores: DataFrame, hits: DataFrame, n: int) -> DataFrame:
-    """Best ``n`` per query by title hits, then score; no hit counts as one."""
+    """Best ``n`` per query by title hits, then score; no hit counts as one.
+
+    Ties go to the document whose best pair comes first among the candidates.
+    """
     counted = scores.join(hits, ["query_id", "doc_id"], "left").withColumn(
         "hits", F.coalesce("hits", F.lit(1))
     )
-    order = [F.desc("hits"), F.desc("score"), F.asc("first_ck")]
-    return top_per_group(counted, "query_id", order, n).drop("first_ck")
+    order = [
+        F.desc("hits"),
+        F.desc("score"),
+        F.desc("best_w"),
+        F.asc("best_no"),
+        F.asc("doc_id"),
+    ]
+    return top_per_group(counted, "query_id", order, n).drop("best_w", "best_no")
 
 
 def search(
@@ -200,7 +221,7 @@ def normalised_weights(
     index: Index, terms: QueryTerms, n_docs: int | None = None
 ) -> DataFrame:
     """Length-normalised TF-IDF of every pair the queries' terms match."""
-    wanted = terms.table.select("query_id", "term", "qtf", "df", "idf")
+    wanted = terms.table.select("query_id", "term", "term_no", "qtf", "df", "idf")
     matches = match_postings(index, wanted, terms.rows)
     return norm_tf_weights(matches, index.docs(), n_docs or index.n_docs)
 
@@ -210,7 +231,7 @@ def cosine_scores(
 ) -> DataFrame:
     """``(query_id, doc_id, score)`` for every document with a query term."""
     weights = normalised_weights(index, terms, n_docs)
-    vector = terms.table.select("query_id", "term", "weight")
+    vector = terms.table.select("query_id", "term_no", "weight")
     return score_cosine(weights, broadcast_within(vector, terms.rows))
 
 
