@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 from termloom.functions.text import first_words, tokenize, word_runs
 from termloom.plans.build import build_index
 from termloom.sources.index_store import Index
-from termloom.sources.shared import new_path, spread_rows
+from termloom.sources.shared import materialize, new_path, spread_rows
 from termloom.sources.tables import anchor_source, page_titles, title_source
 
 QUERY_WORDS = 8
 TRUTH_WORDS = 8
 
 _indexes: dict[tuple[str, str, str], Index] = {}
+_qrels: dict[tuple[str, str], DataFrame] = {}
 
 
 class Corpus:
@@ -61,7 +62,14 @@ class Corpus:
 
     def qrels(self) -> DataFrame:
         """``(query_id, query_text, doc_id)``: documents that contain an item's first
-        words in a row.  An equi-join on the runs of words in each document."""
+        words in a row.  Written once per session."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _qrels:
+            _qrels[key] = materialize(self._find_qrels(), "qrels")
+        return _qrels[key]
+
+    def _find_qrels(self) -> DataFrame:
+        """An equi-join on the runs of words in each document."""
         items = self.table("benchmark").select(
             F.col("item_id").alias("query_id"),
             first_words(F.col("text"), QUERY_WORDS).alias("query_text"),

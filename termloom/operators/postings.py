@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termloom.functions.stemmer import stemmed
 from termloom.functions.text import BUILD_PATTERN, kept_terms
 from termloom.functions.words import BUILD_STOPWORDS
 
@@ -95,16 +96,41 @@ def posting_lists(postings: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFram
 
 
 def min_df_filter(postings: DataFrame, min_df: int) -> DataFrame:
-    """Keep the entries of terms found in more than ``min_df`` documents.
-
-    The hottest terms are just those that stay, so the join runs on term and salt.
-    """
-    frequent = document_frequency(postings).filter(F.col("df") > min_df).select("term")
-    salted = postings.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-    copies = frequent.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, ["term", "_salt"], "left_semi").drop("_salt")
+    """Keep the entries of terms found in more than ``min_df`` documents."""
+    return drop_rare(postings, postings, min_df)
 
 
 def append_postings(old: DataFrame, new: DataFrame) -> DataFrame:
     """Multiset union: an entry present on both sides stays twice."""
     return old.unionByName(new)
+
+
+def stem_vocabulary(postings: DataFrame) -> DataFrame:
+    """``(stem, doc_id, tf)``: postings merged by the stem of their term.
+
+    A distinct term is stemmed once; hot terms meet their stem in several pieces.
+    """
+    terms = postings.select("term").distinct()
+    stems = _salt_copies(terms.withColumn("stem", stemmed(F.col("term"))))
+    joined = _salted(postings).join(stems, ["term", "_salt"])
+    return joined.groupBy("stem", "doc_id").agg(F.sum("tf").alias("tf"))
+
+
+def drop_rare(tokens: DataFrame, postings: DataFrame, min_df: int) -> DataFrame:
+    """Keep the rows of ``tokens(doc_id, .., term)`` whose term is not rare.
+
+    ``postings`` are of the same documents; a term in at most ``min_df`` of them is rare.
+    """
+    frequent = document_frequency(postings).filter(F.col("df") > min_df).select("term")
+    kept = _salted(tokens).join(_salt_copies(frequent), ["term", "_salt"], "left_semi")
+    return kept.drop("_salt")
+
+
+def _salted(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+
+
+def _salt_copies(terms: DataFrame) -> DataFrame:
+    """One copy per salt of a table with one row per term."""
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+    return terms.withColumn("_salt", F.explode(salts))

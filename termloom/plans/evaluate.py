@@ -68,7 +68,7 @@ def mean_average_precision(scores: DataFrame) -> DataFrame:
     )
 
 
-def evaluate(
+def predict(
     body: Index,
     titles: Index,
     qrels: DataFrame,
@@ -76,19 +76,16 @@ def evaluate(
     pattern: str = BUILD_PATTERN,
     stopwords: Sequence[str] = QUERY_STOPWORDS,
     max_pairs: int = EVALUATION_PAIRS,
-    k: int = DEPTH,
     **options,
 ) -> DataFrame:
     """Run the queries of ``qrels(query_id, query_text, doc_id)`` through ``search``."""
     queries = qrels.select("query_id", "query_text").distinct()
-    predicted = search(
-        body,
-        titles,
-        queries,
-        pattern=pattern,
-        stopwords=stopwords,
-        max_pairs=max_pairs,
-        skip_zeros=False,
-        **options,
-    )
-    return average_precision(qrels, predicted, k)
+    settings = dict(pattern=pattern, stopwords=stopwords, max_pairs=max_pairs)
+    return search(body, titles, queries, skip_zeros=False, **settings, **options)
+
+
+def evaluate(
+    body: Index, titles: Index, qrels: DataFrame, *, k: int = DEPTH, **options
+) -> DataFrame:
+    """``(query_id, n_hits, ap)``: average precision of every query in ``qrels``."""
+    return average_precision(qrels, predict(body, titles, qrels, **options), k)

@@ -128,25 +128,24 @@ def title_hits(titles: Index, terms: QueryTerms) -> DataFrame:
     words = terms.table.select("query_id", "term", "qtf")
     found = lookup_terms(titles, words, terms.rows).select("query_id", "term", "qtf", "df")
     if titles.max_df > titles.part_rows:
-        found, rows = _counted(titles, found)
-    else:
-        rows = terms.rows
-    return hit_counts(match_postings(titles, found, rows))
+        # Hot title terms take more rows, so these are counted anew.
+        known = _measured(titles, found)
+        return hit_counts(match_postings(titles, known.table, known.rows))
+    return hit_counts(match_postings(titles, found, terms.rows))
 
 
-def _counted(index: Index, terms: DataFrame) -> tuple[DataFrame, int]:
-    measured = _measured(index, terms)
-    return measured.table, measured.rows
+def with_hits(scores: DataFrame, hits: DataFrame) -> DataFrame:
+    """Add the title hits of scored documents; no hit counts as one."""
+    joined = scores.join(hits, ["query_id", "doc_id"], "left")
+    return joined.withColumn("hits", F.coalesce("hits", F.lit(1)))
 
 
 def rerank_by_title(scores: DataFrame, hits: DataFrame, n: int) -> DataFrame:
-    """Best ``n`` per query by title hits, then score; no hit counts as one.
+    """Best ``n`` per query by title hits, then score.
 
     Ties go to the document whose best pair comes first among the candidates.
     """
-    counted = scores.join(hits, ["query_id", "doc_id"], "left").withColumn(
-        "hits", F.coalesce("hits", F.lit(1))
-    )
+    counted = with_hits(scores, hits)
     order = [
         F.desc("hits"),
         F.desc("score"),
@@ -249,7 +248,7 @@ def search_title(
     """
     hits = index_hits(titles, queries, pattern=pattern, stopwords=stopwords)
     titled = with_titles_strict if strict else with_titles
-    return sorted_by_hits(titled(hits, titles.docs()))
+    return _listed(titled(hits, titles.docs()))
 
 
 def search_anchor(
@@ -266,7 +265,7 @@ def search_anchor(
     Sorted by query, hits (most first) and target.
     """
     hits = index_hits(anchors, queries, pattern=pattern, stopwords=stopwords)
-    return sorted_by_hits(with_titles(hits, titles))
+    return _listed(with_titles(hits, titles))
 
 
 def index_hits(
@@ -277,16 +276,29 @@ def index_hits(
     stopwords: Sequence[str] = QUERY_STOPWORDS,
 ) -> DataFrame:
     """``(query_id, doc_id, hits)`` on one index."""
+    terms = known_terms(index, queries, pattern=pattern, stopwords=stopwords)
+    return hit_counts(match_postings(index, terms.table, terms.rows))
+
+
+def known_terms(
+    index: Index,
+    queries: DataFrame,
+    *,
+    pattern: str = QUERY_PATTERN,
+    stopwords: Sequence[str] = QUERY_STOPWORDS,
+) -> QueryTerms:
+    """``(query_id, term, qtf, df)`` of the query terms that ``index`` knows."""
     counted = query_term_counts(queries, pattern, stopwords)
     known = lookup_terms(index, counted, rows_up_to_limit(counted))
-    found, rows = _counted(index, known.select("query_id", "term", "qtf", "df"))
-    return hit_counts(match_postings(index, found, rows))
+    return _measured(index, known.select("query_id", "term", "qtf", "df"))
 
 
 def sorted_by_hits(results: DataFrame) -> DataFrame:
-    return results.select("query_id", "doc_id", "title", "hits").orderBy(
-        "query_id", F.desc("hits"), "doc_id"
-    )
+    return results.orderBy("query_id", F.desc("hits"), "doc_id")
+
+
+def _listed(results: DataFrame) -> DataFrame:
+    return sorted_by_hits(results.select("query_id", "doc_id", "title", "hits"))
 
 
 def _presented(best: DataFrame, titles: Index, rows: int) -> DataFrame:
