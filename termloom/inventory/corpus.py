@@ -1,12 +1,18 @@
 """The given tables, read as the inputs of a search engine."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions.text import first_words, tokenize, word_runs
 from termloom.plans.build import build_index
 from termloom.sources.index_store import Index
-from termloom.sources.shared import materialize, new_path, spread_rows
+from termloom.sources.shared import (
+    broadcast_within,
+    materialize,
+    new_path,
+    rows_up_to_limit,
+    spread_rows,
+)
 from termloom.sources.tables import anchor_source, page_titles, title_source
 
 QUERY_WORDS = 8
@@ -36,12 +42,12 @@ class Corpus:
     def titles(self) -> DataFrame:
         return title_source(self.documents())
 
-    def titled_documents(self) -> DataFrame:
-        return title_source(self.documents(), keep_text=True)
-
-    def labeled_documents(self) -> DataFrame:
-        labels = self.table("labels").select("doc_id")
-        return self.titled_documents().join(labels, "doc_id", "left_semi")
+    def titled_documents(self, condition: Column | None = None) -> DataFrame:
+        """``(doc_id, text, title)`` of all documents, or of those meeting a condition."""
+        rows = self.table("documents")
+        return title_source(
+            rows if condition is None else rows.filter(condition), keep_text=True
+        )
 
     def page_titles(self) -> DataFrame:
         return page_titles(self.table("pages"))
@@ -81,6 +87,7 @@ class Corpus:
                 F.array_distinct(word_runs(tokenize(F.col("text")), TRUTH_WORDS))
             ).alias("run"),
         )
+        items = broadcast_within(items, rows_up_to_limit(items))
         return runs.join(items, "run").select("query_id", "query_text", "doc_id")
 
     def ranks(self) -> DataFrame:

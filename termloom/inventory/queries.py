@@ -200,15 +200,16 @@ def _(c):
 @register(
     "id_list_source",
     """
-    SELECT o_custkey AS req_id, o_orderkey AS id,
-           row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos
-    FROM orders
+    SELECT l_orderkey * 10 + l_linenumber AS req_id, 0 AS pos, l_partkey AS id
+    FROM lineitem
+    UNION ALL
+    SELECT l_orderkey * 10 + l_linenumber, 1, l_suppkey FROM lineitem
     """,
 )
 def _(c):
-    per_customer = c.table("orders").groupBy(F.col("o_custkey").alias("req_id"))
-    lists = per_customer.agg(F.sort_array(F.collect_list("o_orderkey")).alias("ids"))
-    return requests.id_list(lists)
+    req_id = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("req_id")
+    ids = F.array("l_partkey", "l_suppkey").alias("ids")
+    return requests.id_list(c.table("lineitem").select(req_id, ids))
 
 
 # Projections and filters
@@ -563,8 +564,10 @@ def _(c):
 
 @register("add_documents", "SELECT term, df, term_total FROM all_terms")
 def _(c):
-    first = build_index(c.labeled_documents(), c.new_path("appended"), min_df=0)
-    return add_documents(first, c.titled_documents()).terms()
+    english = F.col("lang").eqNullSafe("en")
+    first, second = c.titled_documents(english), c.titled_documents(~english)
+    index = build_index(first, c.new_path("appended"), min_df=0)
+    return add_documents(index, second).terms()
 
 
 @register(
@@ -834,12 +837,13 @@ def _(c):
     """
     SELECT term, doc_id, tf FROM entries
     UNION ALL
-    SELECT term, doc_id, tf FROM entries WHERE doc_id IN (SELECT doc_id FROM labels)
+    SELECT term, doc_id, tf FROM entries
+    WHERE doc_id IN (SELECT doc_id FROM documents WHERE lang = 'en')
     """,
 )
 def _(c):
-    labeled = postings.word_count(spread_rows(c.labeled_documents()))
-    return postings.append_postings(entries(c), labeled)
+    english = spread_rows(c.titled_documents(F.col("lang").eqNullSafe("en")))
+    return postings.append_postings(entries(c), postings.word_count(english))
 
 
 # Scalar functions

@@ -190,7 +190,7 @@ PARTS = {
     **_ranking("eval_", "eval_terms", EVALUATION_PAIRS, False),
     "marked": f"""
         SELECT p.query_id, p.rank, p.doc_id,
-               CASE WHEN r.doc_id IS NULL THEN 0 ELSE 1 END AS hit
+               (r.doc_id IS NOT NULL)::BIGINT AS hit
         FROM eval_ranked p
         LEFT JOIN (SELECT DISTINCT query_id, doc_id FROM qrels) r
             USING (query_id, doc_id)

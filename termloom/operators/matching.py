@@ -4,12 +4,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.sources.index_store import Index, bucket_of
-from termloom.sources.shared import broadcast_within
+from termloom.sources.shared import (
+    BROADCAST_ROWS,
+    broadcast_within,
+    materialize,
+    rows_up_to_limit,
+)
 
 # Up to this many query terms are also written into the scan's filter, where files sorted by
 # term let whole row groups be passed over.
 SCAN_TERMS = 10
 
+# Queries served by one copy of a term's postings when both sides are shuffled.
+QUERIES_PER_COPY = 100
+
 
 def lookup_terms(index: Index, query_terms: DataFrame, rows: int) -> DataFrame:
     """Statistics for the rows of ``query_terms`` whose term is in the vocabulary.
@@ -28,16 +36,38 @@ def match_postings(index: Index, query_terms: DataFrame, rows: int) -> DataFrame
 
     The small side is one row per query, term and part of the term.  It is broadcast
     when ``rows``, the number of such rows, is within the limit, and postings then stay
-    where they are.  Otherwise both sides are shuffled on term and part, so that a hot
-    term is spread over its parts.
+    where they are.  Otherwise both sides are shuffled; see ``_shuffled_match``.
     """
     places = index.place(query_terms).filter(F.col("qtf") > 0)
-    side = broadcast_within(places, rows)
     postings = index.posting_table()
     if rows <= SCAN_TERMS:
         few = [row.term for row in query_terms.select("term").collect()]
         postings = postings.filter(F.col("term").isin(few))
-    return postings.join(side, ["bucket", "term", "part"]).drop("bucket", "part")
+    keys = ["bucket", "term", "part"]
+    if rows <= BROADCAST_ROWS:
+        matches = postings.join(F.broadcast(places), keys)
+    else:
+        matches = _shuffled_match(postings, places, keys)
+    return matches.drop("bucket", "part")
+
+
+def _shuffled_match(postings: DataFrame, places: DataFrame, keys: list[str]) -> DataFrame:
+    """Join on term and part, so that a term in many documents is many keys.
+
+    A term in many queries gets a number of copies of its postings, each for
+    ``QUERIES_PER_COPY`` of the queries, which bounds the work of a key on both sides.
+    """
+    n_copies = F.ceil(F.count("*") / QUERIES_PER_COPY).cast("int").alias("n_copies")
+    wanted = places.groupBy(*keys).agg(n_copies).filter(F.col("n_copies") > 1)
+    wanted = materialize(wanted, "wanted-terms")
+    wanted = broadcast_within(wanted, rows_up_to_limit(wanted))
+    copies = F.coalesce("n_copies", F.lit(1))
+    some_copy = F.pmod(F.xxhash64("query_id"), copies).cast("int")
+    every_copy = F.explode(F.sequence(F.lit(0), copies - 1))
+    asked = places.join(wanted, keys, "left").withColumn("copy", some_copy)
+    copied = postings.join(wanted, keys, "left").withColumn("copy", every_copy)
+    joined = copied.drop("n_copies").join(asked.drop("n_copies"), [*keys, "copy"])
+    return joined.drop("copy")
 
 
 def hit_counts(matches: DataFrame) -> DataFrame:

@@ -153,7 +153,8 @@ def rerank_by_title(scores: DataFrame, hits: DataFrame, n: int) -> DataFrame:
         F.asc("best_no"),
         F.asc("doc_id"),
     ]
-    return top_per_group(counted, "query_id", order, n).drop("best_w", "best_no")
+    best = top_per_group(counted, "query_id", order, n)
+    return best.select("query_id", "rank", "doc_id", "hits", "score")
 
 
 def search(

@@ -154,11 +154,14 @@ def test_title_word_outside_the_body_counts_only_in_title_search(spark, build):
 
 
 def test_many_queries_take_the_shuffled_path(body, titles, queries, monkeypatch):
-    """With nothing broadcast and every term cut into parts, results are the same."""
+    """With nothing broadcast, and postings copied for groups of queries."""
+    from termloom.operators import matching
     from termloom.sources import shared
 
     expected = search(body, titles, queries, **OPTIONS).collect()
     monkeypatch.setattr(shared.broadcast_within, "__defaults__", (0,))
+    monkeypatch.setattr(matching, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(matching, "QUERIES_PER_COPY", 1)
     got = search(body, titles, queries, **OPTIONS).collect()
     assert sorted(got) == sorted(expected)
 
