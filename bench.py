@@ -11,6 +11,7 @@ from termloom import evaluate, get_pagerank, get_pageview, mean_average_precisio
 from termloom import search, search_anchor, search_body_cosine, search_title
 from termloom.inventory.corpus import Corpus
 from termloom.operators.postings import word_count
+from termloom.sources.shared import release
 
 
 def session(cpus: str) -> SparkSession:
@@ -89,6 +90,7 @@ def main() -> None:
         "evaluated_queries": quality.n_queries,
     }
     print(json.dumps(result))
+    release(spark)
     spark.stop()
 
 

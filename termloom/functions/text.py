@@ -6,7 +6,7 @@ counted without any shuffle.
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A word is a letter, digit, underscore, '#' or '@', followed by further
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 BUILD_PATTERN = r"[#@\p{L}\p{N}_](?:['\-]?[\p{L}\p{N}_]){2,24}"
 QUERY_PATTERN = r"[#@\p{L}\p{N}_](?:['\-]?[\p{L}\p{N}_]){0,24}"
 
+NO_TERMS = "CAST(array() AS array<struct<term: string, tf: int>>)"
+
 
 def tokenize(text: Column, pattern: str = BUILD_PATTERN) -> Column:
     """Lower-cased words of ``text``, in order, as ``array<string>``."""
@@ -58,14 +60,25 @@ def term_counts(tokens: Column) -> Column:
     return let(F.sort_array(tokens), from_sorted)
 
 
-def kept_terms(text: Column, pattern: str, stopwords: Sequence[str]) -> Column:
-    """Term counts of a text without its stop words.
+def with_terms(
+    rows: DataFrame, text: str, pattern: str, stopwords: Sequence[str]
+) -> DataFrame:
+    """Add ``terms``, the term counts of column ``text`` without the stop words.
 
-    Stop words go after counting: one set probe per distinct term, not per token.
+    Stop words go after counting: one set probe per distinct term, not per token.  A
+    null text has no terms.
     """
-    counts = term_counts(tokenize(text, pattern))
-    words = list(stopwords)
-    return F.filter(counts, lambda c: ~c["term"].isin(words)) if words else counts
+    counts = F.coalesce(term_counts(tokenize(F.col(text), pattern)), F.expr(NO_TERMS))
+    counted = rows.withColumn("terms", counts)
+    if not stopwords:
+        return counted
+    kept = f"filter(terms, c -> c.term NOT IN ({', '.join(map(_quoted, stopwords))}))"
+    return counted.withColumn("terms", F.expr(kept))
+
+
+def _quoted(word: str) -> str:
+    escaped = word.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def total_count(counts: Column) -> Column:

@@ -38,6 +38,8 @@ def match_postings(index: Index, query_terms: DataFrame, rows: int) -> DataFrame
     when ``rows``, the number of such rows, is within the limit, and postings then stay
     where they are.  Otherwise both sides are shuffled; see ``_shuffled_match``.
     """
+    # Always true, but it marks the side as selective, so that the planner prunes the
+    # scan to the buckets on that side.
     places = index.place(query_terms).filter(F.col("qtf") > 0)
     postings = index.posting_table()
     if rows <= SCAN_TERMS:
@@ -82,9 +84,9 @@ def with_titles(results: DataFrame, docs: DataFrame, rows: int | None = None) ->
     wanted are picked out of ``docs`` in place, rather than by shuffling ``docs``.
     """
     titles = docs.select("doc_id", "title")
-    if rows is not None:
+    if rows is not None and rows <= BROADCAST_ROWS:
         wanted = results.select("doc_id").distinct()
-        titles = titles.join(broadcast_within(wanted, rows), "doc_id", "left_semi")
+        titles = titles.join(F.broadcast(wanted), "doc_id", "left_semi")
     return results.join(titles, "doc_id", "left")
 
 

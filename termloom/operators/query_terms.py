@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.functions.text import QUERY_PATTERN, kept_terms, total_count
+from termloom.functions.text import QUERY_PATTERN, total_count, with_terms
 from termloom.functions.weights import query_weight
 from termloom.functions.words import QUERY_STOPWORDS
 
@@ -20,11 +20,10 @@ def query_term_counts(
     ``query_len`` counts all kept words, known to the index or not.  An empty query
     gives no rows.
     """
-    counted = queries.select(
-        "query_id", kept_terms(F.col("query_text"), pattern, stopwords).alias("counts")
-    )
-    sized = counted.withColumn("query_len", total_count(F.col("counts")))
-    return sized.select("query_id", "query_len", F.inline("counts")).select(
+    texts = queries.select("query_id", "query_text")
+    counted = with_terms(texts, "query_text", pattern, stopwords)
+    sized = counted.withColumn("query_len", total_count(F.col("terms")))
+    return sized.select("query_id", "query_len", F.inline("terms")).select(
         "query_id", "term", F.col("tf").cast("bigint").alias("qtf"), "query_len"
     )
 

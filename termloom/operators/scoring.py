@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from termloom.functions.weights import cosine, idf
 from termloom.operators.postings import TF_EDGES
 from termloom.operators.ranking import top_per_group
+from termloom.sources.shared import broadcast_within
 
 SCORE_DIGITS = 5
 
@@ -16,9 +17,12 @@ def with_floor(query_terms: DataFrame, k: int) -> DataFrame:
     It comes from counting, before any posting is read.  A pair in a ``tf`` bin weighs
     at least the bin's lower edge times idf.  Taking a query's bins from the heaviest
     down until they hold ``k`` pairs gives a weight that ``k`` pairs have at least, so
-    no lighter pair is among the best ``k``.  With fewer than ``k`` pairs in all it is
-    0.  ``reach`` is the most pairs of the query that can weigh ``floor`` or more.
+    no lighter pair is among the best ``k``.  With fewer than ``k`` pairs in all there
+    is no floor.  A term in more documents than the corpus size given has a negative idf
+    and no least weight.  ``reach`` is the most pairs of the query that can weigh
+    ``floor`` or more.
     """
+    lowest = F.lit(float("-inf"))
     fields = [c for c in query_terms.columns if c != "query_id"]
     per_query = query_terms.groupBy("query_id").agg(
         F.collect_list(F.struct(*fields)).alias("terms")
@@ -29,11 +33,15 @@ def with_floor(query_terms: DataFrame, k: int) -> DataFrame:
             "terms",
             lambda t: F.transform(
                 t["tf_bins"],
-                lambda n, i: F.struct((-(F.get(edges, i) * t["idf"])).alias("w"), n.alias("n")),
+                lambda n, i: F.struct(
+                    (-F.when(t["idf"] < 0, lowest).otherwise(F.get(edges, i) * t["idf"]))
+                    .alias("w"),
+                    n.alias("n"),
+                ),
             ),
         )
     )
-    start = F.struct(F.lit(0).cast("bigint").alias("pairs"), F.lit(0.0).alias("floor"))
+    start = F.struct(F.lit(0).cast("bigint").alias("pairs"), lowest.alias("floor"))
     found = F.aggregate(
         F.sort_array(bins),
         start,
@@ -55,6 +63,7 @@ def with_floor(query_terms: DataFrame, k: int) -> DataFrame:
             F.filter(
                 t["tf_bins"],
                 lambda _, i: (i == len(TF_EDGES) - 1)
+                | (t["idf"] < 0)
                 | (F.get(edges, i + 1) * t["idf"] >= F.col("floor")),
             ),
             F.lit(0).cast("bigint"),
@@ -81,10 +90,16 @@ def _idf_of(rows: DataFrame, n_docs: int) -> Column:
     return F.col("idf") if "idf" in rows.columns else idf(n_docs, F.col("df"))
 
 
-def norm_tf_weights(matches: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame:
-    """Replace ``tf`` by ``w``, which is ``(tf / doc_len) * log10(N / df)``."""
+def norm_tf_weights(
+    matches: DataFrame, docs: DataFrame, n_docs: int, rows: int | None = None
+) -> DataFrame:
+    """Replace ``tf`` by ``w``, which is ``(tf / doc_len) * log10(N / df)``.
+
+    If the number of matches is known and small, the lengths are read in place.
+    """
     weight = (F.col("tf") / F.col("doc_len")) * _idf_of(matches, n_docs)
-    joined = matches.join(docs.select("doc_id", "doc_len"), "doc_id")
+    side = matches if rows is None else broadcast_within(matches, rows)
+    joined = docs.select("doc_id", "doc_len").join(side, "doc_id")
     return joined.withColumn("w", weight).drop("tf", "df", "idf", "qtf", "doc_len")
 
 

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from termloom.functions.text import BUILD_PATTERN, kept_terms, total_count
+from termloom.functions.text import BUILD_PATTERN, total_count, with_terms
 from termloom.functions.words import BUILD_STOPWORDS
 from termloom.operators.postings import merge_counts, term_statistics
 from termloom.sources.index_store import (
@@ -135,13 +135,10 @@ def _store_batch(draft: Index, docs: DataFrame, old: Index | None) -> Index:
 
 def _tokenised(docs: DataFrame, index: Index) -> DataFrame:
     title = F.col("title") if "title" in docs.columns else F.lit(None).cast("string")
-    terms = kept_terms(F.col("text"), index.pattern, index.stopwords)
-    none = F.array().cast("array<struct<term:string,tf:int>>")
-    counted = spread_rows(docs).select(
-        F.col("doc_id").cast(index.id_type).alias("doc_id"),
-        title.alias("title"),
-        F.coalesce(terms, none).alias("terms"),
+    rows = spread_rows(docs).select(
+        F.col("doc_id").cast(index.id_type).alias("doc_id"), title.alias("title"), "text"
     )
+    counted = with_terms(rows, "text", index.pattern, index.stopwords)
     sized = counted.withColumn("doc_len", total_count(F.col("terms")))
     return sized.select("doc_id", "title", "doc_len", "terms")
 

@@ -45,6 +45,7 @@ class QueryTerms:
     rows: int  # rows of the table, counting a term once per part
     n_queries: int
     reach: int  # most pairs of one query that can be among its best
+    n_pairs: int  # postings that all rows of the table match
 
 
 def query_terms(
@@ -76,6 +77,7 @@ def _measured(index: Index, terms: DataFrame) -> QueryTerms:
         F.coalesce(pieces, F.lit(0)).alias("rows"),
         F.coalesce(firsts, F.lit(0)).alias("n_queries"),
         F.coalesce(reach, F.lit(0)).alias("reach"),
+        F.coalesce(F.sum("df"), F.lit(0)).alias("n_pairs"),
     )
     table = materialize(observed, "query-terms")
     return QueryTerms(table, **totals.get)
@@ -223,7 +225,8 @@ def normalised_weights(
     """Length-normalised TF-IDF of every pair the queries' terms match."""
     wanted = terms.table.select("query_id", "term", "term_no", "qtf", "df", "idf")
     matches = match_postings(index, wanted, terms.rows)
-    return norm_tf_weights(matches, index.docs(), n_docs or index.n_docs)
+    total = n_docs or index.n_docs
+    return norm_tf_weights(matches, index.docs(), total, terms.n_pairs)
 
 
 def cosine_scores(

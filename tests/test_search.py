@@ -1,6 +1,7 @@
 """Searches on the mini corpus; the expected numbers follow from the formulas by hand."""
 
 import math
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,11 +88,20 @@ def test_candidate_cut_is_exact(body, queries, k):
         expected[query] = [(t, d) for _, t, d in sorted(pairs)[:k]]
     cut = query_terms(body, queries, max_pairs=k, **OPTIONS)
     for reach in (cut.reach, 10**9):
-        sized = type(cut)(cut.table, cut.rows, cut.n_queries, reach)
+        sized = replace(cut, reach=reach)
         got = candidates(body, sized, max_pairs=k).orderBy("query_id", "ck")
         assert by_query(got, "term", "doc_id") == expected
 
 
+def test_given_corpus_size(body, queries):
+    """With N below a term's document frequency its weights are negative, not lost."""
+    cut = query_terms(body, queries, n_docs=2, **OPTIONS)
+    pairs = candidates(body, cut, n_docs=2).filter("query_id = 3").orderBy("ck").collect()
+    expected = [(d, tf * math.log10(2 / 3)) for d, tf in [(1, 1), (5, 1), (2, 2)]]
+    assert [r.doc_id for r in pairs] == [d for d, _ in expected]
+    assert [r.w for r in pairs] == pytest.approx([w for _, w in expected])
+
+
 @pytest.mark.parametrize("call", [search, search_body])
 def test_search(body, titles, queries, call):
     results = call(body, titles, queries, **OPTIONS).orderBy("query_id", "rank")
@@ -162,8 +172,32 @@ def test_many_queries_take_the_shuffled_path(body, titles, queries, monkeypatch)
     monkeypatch.setattr(shared.broadcast_within, "__defaults__", (0,))
     monkeypatch.setattr(matching, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(matching, "QUERIES_PER_COPY", 1)
-    got = search(body, titles, queries, **OPTIONS).collect()
-    assert sorted(got) == sorted(expected)
+    got = search(body, titles, queries, **OPTIONS)
+    assert sorted(got.collect()) == sorted(expected)
+
+
+def test_large_candidate_sets_against_brute_force(spark, build, monkeypatch):
+    """Scores over a cut that bites, on documents whose weights differ and tie."""
+    docs = spark.range(300).selectExpr(
+        "id AS doc_id",
+        "concat(repeat('alpha ', 1 + id % 7), repeat('beta ', id % 5), 'gamma') AS text",
+        "'t' AS title",
+    )
+    index = build(docs)
+    asked = spark.createDataFrame([(1, "gamma beta alpha")], "query_id int, query_text string")
+    tf = {
+        (t, d): n
+        for d in range(300)
+        for t, n in (("alpha", 1 + d % 7), ("beta", d % 5), ("gamma", 1))
+        if n
+    }
+    df = {t: sum(1 for key in tf if key[0] == t) for t in ("alpha", "beta", "gamma")}
+    pairs = sorted((-n * math.log10(400 / df[t]), t, d) for (t, d), n in tf.items())
+    for k in (1, 37, 100, 500):
+        cut = query_terms(index, asked, n_docs=400, max_pairs=k, **OPTIONS)
+        assert cut.reach >= min(k, len(pairs))
+        got = candidates(index, cut, n_docs=400, max_pairs=k).orderBy("ck").collect()
+        assert [(r.term, r.doc_id) for r in got] == [(t, d) for _, t, d in pairs[:k]]
 
 
 def test_hot_terms_in_parts(build, mini, body, titles, queries):
@@ -176,3 +210,18 @@ def test_hot_terms_in_parts(build, mini, body, titles, queries):
     assert sorted(search(cut_body, cut_titles, queries, **OPTIONS).collect()) == sorted(
         expected
     )
+
+
+@pytest.mark.parametrize("texts", [[], ["zebra quagga the"]])
+def test_queries_that_find_nothing(spark, body, titles, anchors, mini, texts):
+    asked = spark.range(len(texts)).select(
+        F.col("id").alias("query_id"),
+        F.get(F.array(*map(F.lit, texts)).cast("array<string>"), F.lit(0)).alias("query_text"),
+    )
+    names = mini.select("doc_id", "title")
+    assert search(body, titles, asked, **OPTIONS).collect() == []
+    assert search_body_cosine(body, titles, asked, **OPTIONS).collect() == []
+    assert search_title(titles, asked, **OPTIONS).collect() == []
+    assert search_anchor(anchors, names, asked, **OPTIONS).collect() == []
+    empty = asked.filter("false")
+    assert search(body, titles, empty, **OPTIONS).collect() == []

@@ -13,10 +13,10 @@ from termloom.functions.text import (
     QUERY_PATTERN,
     drop_words,
     first_words,
-    kept_terms,
     term_counts,
     tokenize,
     total_count,
+    with_terms,
     word_runs,
 )
 from termloom.functions.words import BUILD_STOPWORDS, CORPUS, ENGLISH
@@ -63,9 +63,8 @@ def test_term_counts_small(spark, text):
 
 def test_term_counts_equal_python(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    kept = kept_terms(F.col("text"), BUILD_PATTERN, ENGLISH)
-    rows = docs.select("text", kept.alias("terms"), total_count(kept).alias("total"))
-    for row in rows.collect():
+    rows = with_terms(docs.select("text"), "text", BUILD_PATTERN, ENGLISH)
+    for row in rows.withColumn("total", total_count(F.col("terms"))).collect():
         words = [w for w in PYTHON[BUILD_PATTERN].findall(row.text.lower())]
         expected = Counter(w for w in words if w not in ENGLISH)
         assert {c.term: c.tf for c in row.terms} == expected
@@ -74,6 +73,14 @@ def test_term_counts_equal_python(spark):
 
 def test_null_text_has_no_tokens(spark):
     assert tokens_of(spark, None) is None
+    nothing = spark.range(1).select(F.lit(None).cast("string").alias("text"))
+    assert with_terms(nothing, "text", BUILD_PATTERN, ENGLISH).first().terms == []
+
+
+def test_stop_words_with_quotes(spark):
+    row = spark.range(1).select(F.lit("don't won't back\\slash").alias("text"))
+    terms = with_terms(row, "text", BUILD_PATTERN, ["don't", "back\\"]).first().terms
+    assert [t.term for t in terms] == ["back", "slash", "won't"]
 
 
 def test_drop_words_keeps_order_and_repeats(spark):
