@@ -11,7 +11,7 @@ from termloom import evaluate, get_pagerank, get_pageview, mean_average_precisio
 from termloom import search, search_anchor, search_body_cosine, search_title
 from termloom.inventory.corpus import Corpus
 from termloom.operators.postings import word_count
-from termloom.sources.shared import release
+from termloom.sources.shared import release, spread_rows
 
 
 def session(cpus: str) -> SparkSession:
@@ -40,7 +40,7 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
 
     cases = {
-        "word_count": lambda: run(word_count(corpus.documents())),
+        "word_count": lambda: run(word_count(spread_rows(corpus.documents()))),
         "build_index_body": corpus.body_index,
         "build_index_title": corpus.title_index,
         "build_index_anchor": corpus.anchor_index,

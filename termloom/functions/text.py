@@ -60,20 +60,32 @@ def term_counts(tokens: Column) -> Column:
     return let(F.sort_array(tokens), from_sorted)
 
 
+def with_term_counts(rows: DataFrame, text: str, pattern: str) -> DataFrame:
+    """Add ``terms``, the term counts of column ``text``; a null text has none."""
+    counts = F.coalesce(term_counts(tokenize(F.col(text), pattern)), F.expr(NO_TERMS))
+    return rows.withColumn("terms", counts)
+
+
+def kept_terms(stopwords: Sequence[str]) -> Column:
+    """Column ``terms`` without the stop words.
+
+    They go after counting: one set probe per distinct term, not per token.
+
+    When ``terms`` is a computed column, ``inline`` should be given this expression.
+    Given a bare column, Spark adds a filter on its size and pushes that to the scan,
+    and the text is tokenised twice.
+    """
+    words = ", ".join(map(_quoted, stopwords))
+    condition = f"c.term NOT IN ({words})" if words else "c.tf > 0"
+    return F.expr(f"filter(terms, c -> {condition})")
+
+
 def with_terms(
     rows: DataFrame, text: str, pattern: str, stopwords: Sequence[str]
 ) -> DataFrame:
-    """Add ``terms``, the term counts of column ``text`` without the stop words.
-
-    Stop words go after counting: one set probe per distinct term, not per token.  A
-    null text has no terms.
-    """
-    counts = F.coalesce(term_counts(tokenize(F.col(text), pattern)), F.expr(NO_TERMS))
-    counted = rows.withColumn("terms", counts)
-    if not stopwords:
-        return counted
-    kept = f"filter(terms, c -> c.term NOT IN ({', '.join(map(_quoted, stopwords))}))"
-    return counted.withColumn("terms", F.expr(kept))
+    """Add ``terms``, the term counts of column ``text`` without the stop words."""
+    counted = with_term_counts(rows, text, pattern)
+    return counted.withColumn("terms", kept_terms(stopwords))
 
 
 def _quoted(word: str) -> str:

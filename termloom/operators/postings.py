@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.stemmer import stemmed
-from termloom.functions.text import BUILD_PATTERN, with_terms
+from termloom.functions.text import BUILD_PATTERN, kept_terms, with_term_counts
 from termloom.functions.words import BUILD_STOPWORDS
 
 # A posting list is given out in blocks of this many neighbouring document ids, so one
@@ -29,8 +29,9 @@ def word_count(
 
     Counting happens inside the row; there is no shuffle.
     """
-    counted = with_terms(docs.select("doc_id", "text"), "text", pattern, stopwords)
-    return counted.select("doc_id", F.inline("terms")).select("term", "doc_id", "tf")
+    counted = with_term_counts(docs.select("doc_id", "text"), "text", pattern)
+    entries = counted.select("doc_id", F.inline(kept_terms(stopwords)))
+    return entries.select("term", "doc_id", "tf")
 
 
 def merge_counts(postings: DataFrame) -> DataFrame:

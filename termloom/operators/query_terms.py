@@ -5,7 +5,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.functions.text import QUERY_PATTERN, total_count, with_terms
+from termloom.functions.text import (
+    QUERY_PATTERN,
+    kept_terms,
+    total_count,
+    with_term_counts,
+)
 from termloom.functions.weights import query_weight
 from termloom.functions.words import QUERY_STOPWORDS
 
@@ -21,9 +26,10 @@ def query_term_counts(
     gives no rows.
     """
     texts = queries.select("query_id", "query_text")
-    counted = with_terms(texts, "query_text", pattern, stopwords)
-    sized = counted.withColumn("query_len", total_count(F.col("terms")))
-    return sized.select("query_id", "query_len", F.inline("terms")).select(
+    counted = with_term_counts(texts, "query_text", pattern)
+    kept = kept_terms(stopwords)
+    sized = counted.withColumn("query_len", total_count(kept))
+    return sized.select("query_id", "query_len", F.inline(kept)).select(
         "query_id", "term", F.col("tf").cast("bigint").alias("qtf"), "query_len"
     )
 
