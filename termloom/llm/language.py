@@ -69,11 +69,12 @@ def fit(
         return Model([], np.zeros(0), {}, {}, np.zeros((0, 0)))
     seen = np.array([r["count"] for r in totals], dtype=float)
     chosen = sample_per_group(named, ["lang"], [F.col("order"), F.col("id")], max_docs)
-    chosen = materialize(chosen.select("id", "lang").distinct(), "language-sample")
+    chosen = chosen.select(F.col("id").alias(id_column), F.col("lang").alias(label_column))
+    chosen = materialize(chosen.distinct(), "language-sample")
     chosen = broadcast_within(chosen, rows_up_to_limit(chosen))
-    texts = docs.join(
-        chosen, (F.col(id_column) == F.col("id")) & (F.col(label_column) == F.col("lang"))
-    ).select(chosen["lang"], F.lower(text_column).alias("text"))
+    texts = docs.join(chosen, [id_column, label_column]).select(
+        F.col(label_column).alias("lang"), F.lower(text_column).alias("text")
+    )
     words = F.explode(F.regexp_extract_all("text", F.lit(JVM_LETTERS), F.lit(0))).alias("term")
     counted = texts.select("lang", words).groupBy("lang", "term").agg(F.count("*").alias("n"))
     counted = materialize(counted.withColumn("size", F.lit(0)), "language-words")

@@ -20,7 +20,7 @@ WITH split AS (
   SELECT doc_id, lang, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
          list_filter(string_split(coalesce(text, ''), chr(10)),
-                     x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+                     lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
   FROM documents),
 windows AS (
   SELECT doc_id, p, words[p] || ' ' || words[p + 1] || ' ' || words[p + 2] AS w
@@ -55,7 +55,7 @@ counted AS (
   GROUP BY ALL),
 proven AS (
   SELECT *, row_number() OVER (PARTITION BY lang, rule ORDER BY bad - x DESC, cutoff DESC) AS r
-  FROM (SELECT *, list_sum(list_transform(range(0, x + 1), i -> exp(
+  FROM (SELECT *, list_sum(list_transform(range(0, x + 1), lambda i: exp(
             lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
             + i * ln({p}::DOUBLE) + (n - i) * ln(1 - {p}::DOUBLE)))) AS tail
         FROM counted WHERE x <= {p} * n AND bad > x)
