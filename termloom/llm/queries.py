@@ -4,11 +4,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, language, quality
+from termloom.llm import bpe, language, quality, toxicity
 from termloom.llm.common import held_out, table, text_of
 from termloom.llm.sql import ORACLE_SQL  # noqa: F401  (read by the entry point)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(docs.filter(~held_out()), labels.filter(~held_out()))
+    asked = docs.select("doc_id", held_out().alias("held_out"), "text")
+    return toxicity.predict(asked, model)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.filter(~held_out()))
@@ -49,6 +57,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
     "op10_quality_rules": op10_quality_rules,
