@@ -187,17 +187,14 @@ def fit(
         )
     )
     counted = materialize(counted, "quality-counts")
-    # The number of tests belongs in every row: a one-row side, attached by a constant key.
-    tests = counted.agg(F.count("*").alias("n_tests")).withColumn("_one", F.lit(1))
+    n_tests = counted.count()
     p = risk.alpha / len(risk.grids)
     # Where more than the allowed share is above the cutoff, the tail is far over delta.
     hopeful = counted.filter(F.col("good_above") <= p * F.col("n_good"))
     tail = _lower_tail(F.col("good_above"), F.col("n_good"), p)
     proven = (
-        hopeful.withColumn("_one", F.lit(1))
-        .join(F.broadcast(tests), "_one")
-        .filter(F.col("bad_above") > F.col("good_above"))
-        .filter(tail <= risk.delta / F.col("n_tests"))
+        hopeful.filter(F.col("bad_above") > F.col("good_above"))
+        .filter(tail <= risk.delta / max(n_tests, 1))
     )
     best = F.max_by(
         F.struct("cutoff", "n_good", "good_above", "bad_above"),
