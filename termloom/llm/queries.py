@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, language, quality, toxicity
+from termloom.llm import bpe, language, pages, quality, toxicity
 from termloom.llm.common import held_out, table, text_of
 from termloom.llm.sql import ORACLE_SQL  # noqa: F401  (read by the entry point)
 
@@ -17,6 +17,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(asked, model)
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return pages.extract(given, pages.fit(given))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.filter(~held_out()))
@@ -58,6 +63,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op5_html_text": op5_html_text,
     "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
     "op10_quality_rules": op10_quality_rules,
