@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, language, pages, quality, toxicity
+from termloom.llm import bpe, language, pages, quality, secrets, toxicity
 from termloom.llm.common import held_out, table, text_of
 from termloom.llm.sql import ORACLE_SQL  # noqa: F401  (read by the entry point)
 
@@ -17,6 +17,27 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(asked, model)
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    found = secrets.scan(docs)
+    per_kind = {
+        f"n_{kind}": F.size(F.filter("base_spans", _of_kind(secrets.NUMBER[kind])))
+        for kind in secrets.BASE
+    }
+    return found.select(
+        "doc_id",
+        *(size.cast("bigint").alias(name) for name, size in per_kind.items()),
+        F.sha2(secrets.listed(F.col("base_spans")), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+        "n_live",
+        "n_example",
+    )
+
+
+def _of_kind(number: int):
+    return lambda span: span["kind"] == number
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return pages.extract(given, pages.fit(given))
@@ -63,6 +84,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_secrets": op2_secrets,
     "op5_html_text": op5_html_text,
     "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
