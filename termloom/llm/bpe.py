@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # Pieces remembered per worker; the store is emptied when full, results do not change.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 100_000
 CACHED_BYTES = 64
+# Rows coded at a time, so that lists of ids are held for a part of an Arrow batch only.
+SLICE = 200
 
 
 @lru_cache(maxsize=4)
@@ -106,20 +108,43 @@ class Encoder:
         return ids
 
 
+def decode_ids(ids, tokens: dict[int, bytes]) -> bytes:
+    return b"" if ids is None else b"".join([tokens[i] for i in ids])
+
+
 def encode(
-    df: DataFrame, path: str, pattern: str, text_column: str = "text", out: str = "ids"
+    df: DataFrame,
+    path: str,
+    pattern: str,
+    text_column: str = "text",
+    out: str = "ids",
+    decoded: str | None = None,
 ) -> DataFrame:
-    """``df`` with the ids of each whole text, ``array<int>``, in place of the text."""
-    kept = [f for f in df.schema.fields if f.name not in {text_column, out}]
-    schema = T.StructType([*kept, T.StructField(out, T.ArrayType(T.IntegerType()))])
+    """``df`` with the ids of each whole text, ``array<int>``, in place of the text.
+
+    ``decoded`` names a further column for the bytes decoded from those ids.
+    """
+    kept = [f for f in df.schema.fields if f.name not in {text_column, out, decoded}]
+    made = [T.StructField(out, T.ArrayType(T.IntegerType()))]
+    made += [T.StructField(decoded, T.BinaryType())] if decoded else []
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path, pattern)
-        for batch in batches:
-            ids = [encoder.encode(t) if isinstance(t, str) else [] for t in batch[text_column]]
-            yield batch[[f.name for f in kept]].assign(**{out: pd.Series(ids, batch.index, object)})
+        encoder, tokens = Encoder(path, pattern), load_tokens(path) if decoded else {}
+        for part in _slices(batches):
+            ids = [encoder.encode(t) if isinstance(t, str) else [] for t in part[text_column]]
+            found = part[[f.name for f in kept]].assign(**{out: pd.Series(ids, part.index, object)})
+            if decoded:
+                back = [decode_ids(i, tokens) for i in ids]
+                found[decoded] = pd.Series(back, part.index, object)
+            yield found
 
-    return df.mapInPandas(run, schema)
+    return df.mapInPandas(run, T.StructType([*kept, *made]))
+
+
+def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for start in range(0, len(batch), SLICE):
+            yield batch.iloc[start : start + SLICE]
 
 
 def decode(df: DataFrame, path: str, ids_column: str = "ids", out: str = "decoded") -> DataFrame:
@@ -129,11 +154,8 @@ def decode(df: DataFrame, path: str, ids_column: str = "ids", out: str = "decode
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens = load_tokens(path)
-        for batch in batches:
-            made = [
-                b"" if ids is None else b"".join([tokens[i] for i in ids.tolist()])
-                for ids in batch[ids_column]
-            ]
-            yield batch[[f.name for f in kept]].assign(**{out: pd.Series(made, batch.index, object)})
+        for part in _slices(batches):
+            made = [decode_ids(i, tokens) for i in part[ids_column]]
+            yield part[[f.name for f in kept]].assign(**{out: pd.Series(made, part.index, object)})
 
     return df.mapInPandas(run, schema)

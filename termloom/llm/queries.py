@@ -53,7 +53,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return digests(bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path))
+    return digests(bpe.encode(docs, path, public_tokenizers.PATTERN, decoded="decoded"))
 
 
 def digests(coded: DataFrame) -> DataFrame:
