@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, language, pages, quality, secrets, toxicity
+from termloom.llm import bpe, language, mixing, pages, quality, secrets, toxicity
 from termloom.llm.common import held_out, table, text_of
 from termloom.llm.sql import ORACLE_SQL  # noqa: F401  (read by the entry point)
 
@@ -66,6 +66,20 @@ def digests(coded: DataFrame) -> DataFrame:
     )
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    return mixing.weigh(docs).select(
+        "doc_id",
+        "source",
+        "lang",
+        "topic",
+        "n_tokens",
+        F.round("weight", 6).alias("weight"),
+        F.round("probability", 6).alias("probability"),
+        "taken",
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     judged = quality.judge(docs, table(spark, sf_dir, "labels"))
@@ -88,5 +102,6 @@ QUERIES = {
     "op5_html_text": op5_html_text,
     "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_mixing": op8_mixing,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -1,5 +1,6 @@
 """SQL that must return the rows of those queries that SQL can express."""
 
+from termloom.llm.mixing import MARGINALS, Mix
 from termloom.llm.quality import SHARES, Risk
 
 
@@ -68,4 +69,59 @@ FROM (SELECT b.*, concat_ws(',', {broken}) AS failed_rules
 """
 
 
-ORACLE_SQL = {"op10_quality_rules": _quality()}
+def _mixing() -> str:
+    mix = Mix()
+    steps, last = [], "raked_0"
+    steps.append("raked_0 AS MATERIALIZED (SELECT *, tokens AS weight FROM cells)")
+    for k in range(mix.sweeps * len(MARGINALS)):
+        m = MARGINALS[k % len(MARGINALS)]
+        steps.append(
+            f"""raked_{k + 1} AS MATERIALIZED (
+  SELECT source, lang, topic, tokens, CASE WHEN now > 0 THEN weight * goal / now ELSE 0 END AS weight
+  FROM (SELECT *, sum(weight) OVER (PARTITION BY {m}) AS now FROM {last})
+  JOIN goal_{m} ON {m} = value)"""
+        )
+        last = f"raked_{k + 1}"
+    goals = ",\n".join(
+        f"""goal_{m} AS MATERIALIZED (
+  SELECT value, p / sum(p) OVER () * (SELECT sum(tokens) FROM cells) AS goal
+  FROM (SELECT {m} AS value, pow(sum(tokens), {mix.flatten}) AS p FROM cells GROUP BY {m}))"""
+        for m in MARGINALS
+    )
+    return f"""
+WITH measured AS MATERIALIZED (
+  SELECT doc_id, source, lang,
+         CASE WHEN contains(text, ' | ') THEN 'table' WHEN contains(text, '###') THEN 'symbols'
+              WHEN contains(text, '@') THEN 'contact' WHEN contains(text, 'icense') THEN 'legal'
+              WHEN length(text) < 1000 THEN 'short' ELSE 'long' END AS topic,
+         len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens
+  FROM (SELECT doc_id, source, lang, coalesce(text, '') AS text FROM documents)),
+cells AS MATERIALIZED (
+  SELECT coalesce(source, '') AS source, coalesce(lang, '') AS lang, topic,
+         sum(n_tokens)::DOUBLE AS tokens
+  FROM measured GROUP BY ALL),
+{goals},
+{",\n".join(steps)},
+rates AS MATERIALIZED (
+  SELECT *, weight / tokens AS rate,
+         sum(tokens) OVER () * {mix.fraction} AS budget, sum(weight) OVER () AS total,
+         coalesce(sum(tokens) OVER above, 0) AS full_tokens,
+         coalesce(sum(weight) OVER above, 0) AS full_weight
+  FROM {last} WHERE tokens > 0
+  WINDOW above AS (ORDER BY weight / tokens DESC, source, lang, topic
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+factor AS (
+  SELECT (budget - full_tokens) / (total - full_weight) AS factor
+  FROM rates WHERE (budget - full_tokens) / (total - full_weight) * rate < 1
+  ORDER BY rate DESC, source, lang, topic LIMIT 1)
+SELECT doc_id, m.source, m.lang, m.topic, n_tokens, round(coalesce(rate, 0), 6) AS weight,
+       round(least(1, coalesce(rate, 0) * factor), 6) AS probability,
+       ('0x' || substr(md5('{mix.seed}:' || doc_id), 1, 8))::BIGINT / 4294967296.0
+           < least(1, coalesce(rate, 0) * factor) AS taken
+FROM measured AS m CROSS JOIN factor
+LEFT JOIN rates AS r ON coalesce(m.source, '') = r.source AND coalesce(m.lang, '') = r.lang
+                    AND m.topic = r.topic
+"""
+
+
+ORACLE_SQL = {"op8_mixing": _mixing(), "op10_quality_rules": _quality()}
