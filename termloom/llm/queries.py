@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, language, mixing, pages, quality, secrets, toxicity
+from termloom.llm import bpe, language, mixing, pages, quality, secrets, topk, toxicity
 from termloom.llm.common import held_out, table, text_of
 from termloom.llm.sql import ORACLE_SQL  # noqa: F401  (read by the entry point)
 
@@ -80,6 +80,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integers(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.filter(F.col("id") % 100 == 0))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     judged = quality.judge(docs, table(spark, sf_dir, "labels"))
@@ -103,5 +108,6 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_mixing": op8_mixing,
+    "op9_topk": op9_topk,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -124,4 +124,20 @@ LEFT JOIN rates AS r ON coalesce(m.source, '') = r.source AND coalesce(m.lang, '
 """
 
 
-ORACLE_SQL = {"op8_mixing": _mixing(), "op10_quality_rules": _quality()}
+TOP_K = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM vectors AS q, vectors AS c
+  WHERE q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE_SQL = {"op8_mixing": _mixing(), "op9_topk": TOP_K, "op10_quality_rules": _quality()}
