@@ -2,7 +2,7 @@
 
 Vectors are turned into integers.  A task holds blocks of vectors, each block with one sorted list
 per dimension.  For a query, the lists are read in parallel from the end that helps it (from the
-top where its component is positive, else from the bottom), ``STRIDE`` entries at a time; every vector
+top where its component is positive, else from the bottom), first ``STRIDE`` entries deep; every vector
 met is scored in full by random access.  The bound is the score of a fictitious vector made of
 the values read last; no unseen vector can be better.  Reading stops when the bound is below the k-th best
 score known to the task (equal scores could still win by their id).  Each block hands on its k best;
@@ -57,41 +57,52 @@ def _matrix(vectors, width: int) -> np.ndarray:
     return out
 
 
-def best_of_block(
-    ids: np.ndarray, x: np.ndarray, order: np.ndarray, q: np.ndarray, own: int, k: int, floor: int | None
-) -> list[tuple[int, int]]:
-    """The block's (score, id) that may be among the k best; ``floor``: the task's k-th so far."""
-    n = len(ids)
-    used = np.flatnonzero(q)
-    weights = q[used]
-    up = weights > 0
-    # Column j is the list of one dimension, best end first.
-    lists = np.where(up[None, :], order[::-1, used], order[:, used])
-    values = x[lists, used[None, :]]
-    seen = np.zeros(n, dtype=bool)
-    seen[ids == own] = True
-    best: list[tuple[int, int]] = []
-    for depth in range(0, n, STRIDE):
-        stop = min(depth + STRIDE, n)
-        met = np.unique(lists[depth:stop]) if len(used) else np.arange(n)
-        new = met[~seen[met]]
-        seen[new] = True
-        if len(new):
-            scores = x[new] @ q
+class Block:
+    """Vectors with the sorted list of each dimension, readable from either end."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray):
+        self.ids, self.x = ids, x
+        self.rising = np.argsort(x, axis=0, kind="stable")
+        self.falling = self.rising[::-1]
+        self.low = np.take_along_axis(x, self.rising, axis=0)
+        self.high = self.low[::-1]
+
+    def best(self, q: np.ndarray, own: int, k: int, floor: int | None) -> list[tuple[int, int]]:
+        """The (score, id) that may be among the k best; ``floor``: the task's k-th so far.
+
+        The lists are read to depths that double, so that the bound is tested a few times only.
+        """
+        n, top = len(self.ids), q > 0
+        used = q != 0
+        seen = self.ids == own
+        best: list[tuple[int, int]] = []
+        depth, stop = 0, STRIDE
+        while depth < n:
+            stop = min(stop, n)
+            met = np.zeros(n, dtype=bool)
+            if used.any():
+                rows = np.where(top, self.falling[depth:stop], self.rising[depth:stop])
+                met[rows[:, used]] = True
+            else:
+                met[:] = True
+            new = np.flatnonzero(met & ~seen)
+            seen |= met
+            scores = self.x[new] @ q
             if floor is not None:
                 near = scores >= floor
                 new, scores = new[near], scores[near]
-            best.extend(zip(scores.tolist(), ids[new].tolist(), strict=True))
-            if len(best) > k:
-                best = sorted(best, key=lambda b: (-b[0], b[1]))[:k]
-        if not len(used) or seen.all():
-            break
-        bound = int(values[stop - 1] @ weights)
-        kth = best[k - 1][0] if len(best) == k else None
-        known = max((b for b in (kth, floor) if b is not None), default=None)
-        if known is not None and bound < known:
-            break
-    return best
+            if len(new) > k:  # all that are no worse than the k-th stay, ties included
+                near = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+                new, scores = new[near], scores[near]
+            best += zip(map(int, scores), self.ids[new].tolist(), strict=True)
+            best = sorted(best, key=lambda found: (-found[0], found[1]))[:k]
+            bound = int(np.where(top, self.high[stop - 1], self.low[stop - 1]) @ q)
+            known = [best[k - 1][0]] if len(best) == k else []
+            known += [floor] if floor is not None else []
+            if not used.any() or (known and bound < max(known)):
+                break
+            depth, stop = stop, 2 * stop
+        return best
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, queries_per_pass: int = 4_096) -> DataFrame:
@@ -129,12 +140,15 @@ def _searcher(shared, k: int):
                 ids = part["id"].to_numpy(dtype=np.int64)
                 width = max(max(map(len, part["v"])), max(map(len, query_vectors)), 1)
                 x, q = _matrix(part["v"], width), _matrix(query_vectors, width)
-                order = np.argsort(x, axis=0, kind="stable")
+                # Doubles are exact up to 2^53 and much faster to multiply.
+                if int(np.abs(x).max()) * int(np.abs(q).max()) * width < 1 << 52:
+                    x, q = x.astype(float), q.astype(float)
+                block = Block(ids, x)
                 out: list[tuple[int, int, int]] = []
                 for i, query in enumerate(query_ids.tolist()):
                     kept = floors.setdefault(query, [])
                     floor = kept[k - 1] if len(kept) == k else None
-                    best = best_of_block(ids, x, order, q[i], query, k, floor)
+                    best = block.best(q[i], query, k, floor)
                     if best:
                         floors[query] = sorted(kept + [s for s, _ in best], reverse=True)[:k]
                         out.extend((query, v, s) for s, v in best)
