@@ -4,7 +4,7 @@ A text is split by the tokenizer's pattern.  Each piece starts as single bytes;
 a segment tree holds the rank of the pair that starts at byte ``i`` and the byte position,
 packed into one number, so that the root names the leftmost pair of the lowest rank.  A
 merge joins two live neighbours and updates three leaves: O(log n) each, O(n log n) in all,
-also for a piece of a million bytes.
+also for a piece of a million bytes.  A node has ``FAN`` children: their minimum is one call.
 
 Defined cases: a null or empty text has no ids and decodes to no bytes; null ids decode to
 no bytes; an unknown id is an error.  Special tokens are ordinary text.  Repeated rows each
@@ -21,7 +21,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# Pieces remembered per worker; the store is emptied when full, results do not change.
+# Children of a node of the segment tree, and a rank that no pair has.
+FAN = 16
+NEVER = 1 << 40
+# Pieces remembered per worker and generation; results do not depend on it.
 CACHE_PIECES = 100_000
 CACHED_BYTES = 64
 # Rows coded at a time, so that lists of ids are held for a part of an Arrow batch only.
@@ -42,69 +45,74 @@ def load_tokens(path: str) -> dict[int, bytes]:
 
 def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one piece: lowest rank first, leftmost on a tie."""
-    n = len(piece)
     if piece in ranks:
         return [ranks[piece]]
+    n = len(piece)
     symbols = [piece[i : i + 1] for i in range(n)]
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    size = 1 << (n - 1).bit_length()
-    never = 1 << 62
-    tree = [never] * (2 * size)
     get = ranks.get
-    for i in range(n - 1):
-        rank = get(symbols[i] + symbols[i + 1])
-        if rank is not None:
-            tree[size + i] = rank * size + i
-    for k in range(size - 1, 0, -1):
-        a, b = tree[2 * k], tree[2 * k + 1]
-        tree[k] = a if a < b else b
-
-    def update(i: int, j: int) -> None:
-        """The pair of i and its right neighbour j changed; no pair if j is the end."""
-        rank = get(symbols[i] + symbols[j]) if j < n else None
-        k = size + i
-        tree[k] = never if rank is None else rank * size + i
-        k >>= 1
-        while k:
-            a, b = tree[2 * k], tree[2 * k + 1]
-            least = a if a < b else b
-            if tree[k] == least:
-                break
-            tree[k] = least
-            k >>= 1
-
-    while tree[1] != never:
-        i = tree[1] % size
+    leaves = [get(piece[i : i + 2], NEVER) * n + i for i in range(n - 1)]
+    leaves.append(NEVER * n)
+    levels = [leaves]
+    while len(levels[-1]) > FAN:
+        lower = levels[-1]
+        levels.append([min(lower[k : k + FAN]) for k in range(0, len(lower), FAN)])
+    top, upper, none = levels[-1], levels[1:], NEVER * n
+    while (least := min(top)) < none:
+        i = least % n
         j = after[i]
-        symbols[i] += symbols[j]
+        merged = symbols[i] = symbols[i] + symbols[j]
         symbols[j] = b""
         after[i] = k = after[j]
+        leaves[j] = none
+        leaves[i] = get(merged + symbols[k], NEVER) * n + i if k < n else none
+        changed = [i, j]
         if k < n:
             before[k] = i
-        update(j, n)
-        update(i, k)
-        if before[i] >= 0:
-            update(before[i], i)
-    return [ranks[s] for s in symbols if s]
+        h = before[i]
+        if h >= 0:
+            leaves[h] = get(symbols[h] + merged, NEVER) * n + h
+            changed.append(h)
+        if upper:
+            for at in changed:
+                lower = leaves
+                for level in upper:
+                    at //= FAN
+                    found = min(lower[at * FAN : at * FAN + FAN])
+                    if level[at] == found:
+                        break
+                    level[at] = found
+                    lower = level
+    return [ranks[x] for x in symbols if x]
 
 
 class Encoder:
+    """Remembers pieces in two generations: a full young one becomes the old one."""
+
     def __init__(self, path: str, pattern: str):
         self.ranks, self.find = load_ranks(path), regex.compile(pattern).findall
-        self.cache: dict[str, list[int]] = {}
+        self.young: dict[str, list[int]] = {}
+        self.old: dict[str, list[int]] = {}
+
+    def _new(self, piece: str) -> list[int]:
+        found = self.old.get(piece)
+        if found is None:
+            found = merge_piece(piece.encode(), self.ranks)
+        if len(piece) <= CACHED_BYTES:
+            if len(self.young) >= CACHE_PIECES:
+                self.old, self.young = self.young, {}
+            self.young[piece] = found
+        return found
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
-        cache = self.cache
+        young = self.young
         for piece in self.find(text):
-            found = cache.get(piece)
+            found = young.get(piece)
             if found is None:
-                found = merge_piece(piece.encode(), self.ranks)
-                if len(piece) <= CACHED_BYTES:
-                    if len(cache) >= CACHE_PIECES:
-                        cache.clear()
-                    cache[piece] = found
-            ids.extend(found)
+                found = self._new(piece)
+                young = self.young
+            ids += found
         return ids
 
 
