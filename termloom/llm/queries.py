@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, language, mixing, pages, quality, secrets, topk, toxicity
+from termloom.llm import bpe, dedup, language, mixing, pages, quality, secrets, topk, toxicity
 from termloom.llm.common import held_out, table, text_of
 from termloom.llm.sql import ORACLE_SQL  # noqa: F401  (read by the entry point)
 
@@ -38,6 +38,11 @@ def _of_kind(number: int):
     return lambda span: span["kind"] == number
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup.classes(docs).select("doc_id", "class_id", "class_size", "kept")
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return pages.extract(given, pages.fit(given))
@@ -104,6 +109,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op5_html_text": op5_html_text,
     "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
