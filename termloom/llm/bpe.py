@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 FAN = 16
 NEVER = 1 << 40
 # Pieces remembered per worker and generation; results do not depend on it.
-CACHE_PIECES = 100_000
+CACHE_PIECES = 300_000
 CACHED_BYTES = 64
 # Rows coded at a time, so that lists of ids are held for a part of an Arrow batch only.
 SLICE = 200
@@ -65,16 +65,16 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         symbols[j] = b""
         after[i] = k = after[j]
         leaves[j] = none
-        leaves[i] = get(merged + symbols[k], NEVER) * n + i if k < n else none
-        changed = [i, j]
         if k < n:
             before[k] = i
+            leaves[i] = get(merged + symbols[k], NEVER) * n + i
+        else:
+            leaves[i] = none
         h = before[i]
         if h >= 0:
             leaves[h] = get(symbols[h] + merged, NEVER) * n + h
-            changed.append(h)
         if upper:
-            for at in changed:
+            for at in (i, j, h) if h >= 0 else (i, j):
                 lower = leaves
                 for level in upper:
                     at //= FAN
