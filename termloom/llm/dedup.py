@@ -12,8 +12,8 @@ its length; coordinates left empty get another go at twice the height.
 pairs are listed: every member is compared with two of them, the least and the greatest text.
 *Check.*  The Jaccard similarity of each compared pair is computed from its shingles.
 *Classes.*  Connected components of the links.  Where a bucket still holds several classes, one
-member of each class (another in every bucket and round) is compared with one of the bucket's
-largest class, ``ROUNDS`` times.  At similarity 0.8 a pair shares a bucket with a chance of 0.9998.
+member of each class (another in every bucket and round) is compared with up to ``SLICES`` of the
+bucket's largest class and of one other, ``ROUNDS`` times.  At similarity 0.8 a pair shares a bucket with a chance of 0.9998.
 
 Copies are one text from the start: a group of copies is one node.  Texts are named by 64-bit hashes.
 
@@ -41,6 +41,7 @@ LEAST_SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 K = BANDS * ROWS
 ROUNDS = 3
+SLICES = 8
 # Heights of the cells below 1, lowest first; from 1 on every cell has height 1.
 LOW = [0.0, *(2.0**-i for i in range(6, 0, -1))]
 HEIGHTS = np.diff([*LOW, 1.0])
@@ -258,17 +259,32 @@ def roots_of(texts: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 
 def _between_classes(members: DataFrame, roots: DataFrame, number: int) -> DataFrame:
-    """Pairs across the classes of a bucket: a member of each class with one of the largest."""
+    """Pairs across the classes of a bucket: a member of each class with some members of the
+    largest class and of another one, which changes from round to round."""
     rows = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     pick = F.xxhash64("node", "bucket", F.lit(number))
-    per_class = rows.groupBy("bucket", "root").agg(
+    # Picked by slices, so that a class gives up to SLICES members and minima are all it takes.
+    picked = rows.groupBy("bucket", "root", F.pmod(pick, F.lit(SLICES)).alias("slice")).agg(
         F.min_by("node", pick).alias("node"), F.count("*").alias("size")
     )
-    per_class = materialize(per_class, "dedup-classes")
-    center = per_class.groupBy("bucket").agg(
-        F.max_by("node", F.struct("size", "root")).alias("b"), F.count("*").alias("n")
+    picked = materialize(picked, "dedup-picked")
+    per_class = picked.groupBy("bucket", "root").agg(
+        F.min_by("node", "slice").alias("node"), F.sum("size").alias("size")
+    )
+    turn = F.xxhash64("root", "bucket", F.lit(number))
+    chosen = per_class.groupBy("bucket").agg(
+        F.max_by("root", F.struct("size", "root")).alias("largest"),
+        F.max_by("root", turn).alias("other"),
+        F.count("*").alias("n"),
+    )
+    chosen = chosen.filter(F.col("n") > 1).select(
+        "bucket", F.explode(F.array_distinct(F.array("largest", "other"))).alias("center")
+    )
+    centers = picked.join(chosen, "bucket").filter(F.col("root") == F.col("center"))
+    others = per_class.join(chosen, "bucket").filter(F.col("root") != F.col("center"))
+    pairs = others.select("bucket", "center", "node").join(
+        centers.select("bucket", "center", F.col("node").alias("b")), ["bucket", "center"]
     )
-    pairs = per_class.join(center.filter(F.col("n") > 1), "bucket").filter(F.col("node") != F.col("b"))
     return pairs.select(
         F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")
     ).distinct()
