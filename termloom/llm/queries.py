@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, dedup, language, mixing, pages, quality, secrets, topk, toxicity
+from termloom.llm import bpe, dedup, language, mixing, pages, quality, repeats, secrets, topk, toxicity
 from termloom.llm.common import held_out, table, text_of
 from termloom.llm.sql import ORACLE_SQL  # noqa: F401  (read by the entry point)
 
@@ -43,6 +43,13 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.classes(docs).select("doc_id", "class_id", "class_size", "kept")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = repeats.without_repeats(docs)
+    kept = F.sha2("kept", 256).alias("kept_sha256")
+    return found.select("doc_id", "n_words", "n_removed", kept)
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return pages.extract(given, pages.fit(given))
@@ -110,6 +117,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_html_text": op5_html_text,
     "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
