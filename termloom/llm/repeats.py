@@ -149,7 +149,7 @@ def _windows_of(asked: DataFrame) -> DataFrame:
 def repeated(texts: DataFrame) -> DataFrame:
     """``(key, start, count)``: stretches of windows of a text that also start in another one.
 
-    ``texts``: ``(doc_id, key, text)``.  A count of ``WHOLE`` stands for all windows of a text.
+    ``texts``: ``(key, text)`` and any other columns.  A count of ``WHOLE`` stands for all windows of a text.
     """
     runs = runs_of(texts.select("key", "text"))
     per_anchor = runs.groupBy("anchor").agg(
@@ -175,7 +175,9 @@ def repeated(texts: DataFrame) -> DataFrame:
     asked = asked.groupBy("key").agg(
         F.collect_set(F.struct("anchor", "start", "count", "single")).alias("runs")
     )
-    windows = _windows_of(texts.join(asked, "key").select("doc_id", "key", "text", "runs"))
+    # All columns of the texts are asked for, so that one shuffle of them serves this join and the
+    # one that removes the repeats.
+    windows = _windows_of(texts.join(asked, "key"))
     partners = (
         windows.groupBy("anchor", "window")
         .agg(F.min("key").alias("low"), F.max("key").alias("high"))
@@ -199,7 +201,6 @@ def without_repeats(docs: DataFrame, text_column: str = "text") -> DataFrame:
     text = text_of(text_column)
     texts = docs.select(
         *(F.col(c).alias(f"_{c}") for c in others),
-        F.lit(0).alias("doc_id"),
         F.xxhash64(text).alias("key"),
         text.alias("text"),
     )
