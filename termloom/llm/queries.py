@@ -68,13 +68,14 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(bpe.encode(docs, path, public_tokenizers.PATTERN, decoded="decoded"))
 
 
-def digests(coded: DataFrame) -> DataFrame:
+def digests(coded: DataFrame, *more: str) -> DataFrame:
     ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(ids, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )
 
 
