@@ -39,6 +39,18 @@ def text_keys(text: Column) -> tuple[Column, Column]:
     return F.xxhash64(text), F.xxhash64(F.lit(7), text)
 
 
+def bounded_sample(df: DataFrame, key: str, rows: int, seed: str) -> DataFrame:
+    """``rows`` rows by least hash of ``key`` (all, if fewer).
+
+    The hash is uniform, so a cut at 1.5 times the share wanted leaves few rows to sort; only
+    those meet in one task.
+    """
+    h = F.shiftrightunsigned(F.xxhash64(key, F.lit(seed)), 1)
+    share = 1.5 * rows / max(1, df.count())
+    near = df.withColumn("_hash", h).filter(F.col("_hash") / F.lit(float(2**63)) <= share)
+    return near.orderBy("_hash", key).limit(rows).drop("_hash")
+
+
 def sample_per_group(
     df: DataFrame, groups: list[str], order: list[Column], rows: int
 ) -> DataFrame:

@@ -211,6 +211,8 @@ def classes(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         .groupBy(F.col("root").alias("_root"))
         .agg(F.min("doc_id").alias("_least"), F.count("*").alias("_size"))
     )
+    # Written first: a side that is a plain table lets the planner split a very large class.
+    per_class = materialize(per_class, "dedup-per-class")
     alone = F.col("_blank")
     df = rows.join(per_class, (F.col("root") == F.col("_root")) & ~F.col("_blank"), "left")
     class_id = F.when(alone, F.col("doc_id")).otherwise(F.col("_least"))

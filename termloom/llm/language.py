@@ -68,7 +68,18 @@ def fit(
     if not languages:
         return Model([], np.zeros(0), {}, {}, np.zeros((0, 0)))
     seen = np.array([r["count"] for r in totals], dtype=float)
-    chosen = sample_per_group(named, ["lang"], [F.col("order"), F.col("id")], max_docs)
+    # The order is a uniform hash: a cut at 1.5 times the share wanted leaves few rows to rank.
+    share = [min(1.0, 1.5 * max_docs / n) for n in seen.tolist()]
+    near = F.create_map(
+        *(F.lit(x) for pair in zip(languages, share, strict=True) for x in pair)
+    )
+    uniform = F.shiftrightunsigned("order", 1) / F.lit(float(2**63))
+    chosen = sample_per_group(
+        named.filter(uniform <= near[F.col("lang")]),
+        ["lang"],
+        [F.col("order"), F.col("id")],
+        max_docs,
+    )
     chosen = chosen.select(F.col("id").alias(id_column), F.col("lang").alias(label_column))
     chosen = materialize(chosen.distinct(), "language-sample")
     chosen = broadcast_within(chosen, rows_up_to_limit(chosen))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termloom.llm.common import sample_per_group
+from termloom.llm.common import bounded_sample
 from termloom.sources.shared import materialize
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -46,13 +46,9 @@ class Model:
 def _sample(docs, toxic, max_toxic: int, max_unlabelled: int) -> DataFrame:
     """``(doc_id, toxic)``, a document once as an example and once as unlabelled text."""
     ids = docs.select("doc_id").distinct()
-    groups = ids.join(toxic, "doc_id").withColumn("toxic", F.lit(1)).unionByName(
-        ids.withColumn("toxic", F.lit(0))
-    )
-    order = [F.xxhash64("doc_id", F.lit("toxicity")), F.col("doc_id")]
     parts = [
-        sample_per_group(groups.filter(F.col("toxic") == kind), ["toxic"], order, rows)
-        for kind, rows in ((1, max_toxic), (0, max_unlabelled))
+        bounded_sample(df, "doc_id", rows, "toxicity").withColumn("toxic", F.lit(kind))
+        for kind, df, rows in ((1, ids.join(toxic, "doc_id"), max_toxic), (0, ids, max_unlabelled))
     ]
     return materialize(parts[0].unionByName(parts[1]), "toxicity-sample")
 
