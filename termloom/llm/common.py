@@ -39,6 +39,12 @@ def text_keys(text: Column) -> tuple[Column, Column]:
     return F.xxhash64(text), F.xxhash64(F.lit(7), text)
 
 
+def set_aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns of these names renamed, and the way back."""
+    moved = {name: f"_own_{name}" for name in names if name in df.columns}
+    return df.withColumnsRenamed(moved), {new: name for name, new in moved.items()}
+
+
 def bounded_sample(df: DataFrame, key: str, rows: int, seed: str) -> DataFrame:
     """``rows`` rows by least hash of ``key`` (all, if fewer).
 

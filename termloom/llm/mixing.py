@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import WORD, text_of
+from termloom.llm.common import WORD, set_aside, text_of
 from termloom.sources.shared import broadcast_within, materialize, rows_up_to_limit
 
 MADE = ["topic", "n_tokens", "weight", "probability", "taken"]
@@ -172,6 +172,8 @@ def weigh(docs: DataFrame, targets=None, mix: Mix | None = None) -> DataFrame:
 def sample(docs: DataFrame, targets=None, mix: Mix | None = None) -> DataFrame:
     """The documents taken, with their own columns; no text is shuffled or stored."""
     mix = mix or Mix()
-    measured = with_measures(docs)
+    own, back = set_aside(docs, MADE)
+    measured = with_measures(own)
     cells = plan(measured.select(*MARGINALS, "n_tokens"), targets, mix)
-    return attach(measured, cells, mix).filter("taken").select(docs.columns)
+    taken = attach(measured, cells, mix).filter("taken").select(own.columns)
+    return taken.withColumnsRenamed(back)

@@ -110,6 +110,9 @@ def leaf_blocks(page) -> list[Block]:
                 if stack[k][0] == name:
                     close(k)
                     break
+            else:
+                if name in BLOCKS:
+                    flush()
             continue
         if name == "br":
             parts.append(" ")

@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import SPACE, let, text_of, words_of
+from termloom.llm.common import SPACE, let, set_aside, text_of, words_of
 from termloom.sources.shared import materialize
 
 FEATURES = [
@@ -244,8 +244,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, risk: Risk | None = None) -> D
 
     The features are computed twice, so that no text is shuffled or stored.
     """
+    own, back = set_aside(docs, [*FEATURES, *VERDICT])
     cutoffs = materialize(
-        fit(with_features(docs).select("doc_id", "lang", *FEATURES), labels, risk),
+        fit(with_features(own).select("doc_id", "lang", *FEATURES), labels, risk),
         "quality-cutoffs",
     )
-    return apply(with_features(docs), cutoffs, risk).filter("kept").select(docs.columns)
+    good = apply(with_features(own), cutoffs, risk).filter("kept").select(own.columns)
+    return good.withColumnsRenamed(back)
