@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termloom.llm.common import text_of
-from termloom.llm.hashing import RunHasher, WordHasher
+from termloom.llm.hashing import RunHasher, WordHasher, mix
 from termloom.sources.shared import materialize
 
 WINDOW, SEED = 35, 8
@@ -50,12 +50,13 @@ class Reader:
         self.hashes = WordHasher()
         self.grams, self.windows = RunHasher(0x9FB21C651E98DF25), RunHasher(0xD6E8FEB86659FD93)
 
-    def window_hashes(self, words: np.ndarray) -> np.ndarray:
+    def window_hashes(self, words: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
         at = np.arange(len(words) - WINDOW + 1)
-        return self.windows.runs(self.windows.sums(words), at, at + WINDOW)
+        return self.windows.runs(self.windows.sums(words) if sums is None else sums, at, at + WINDOW)
 
     def runs(self, words: np.ndarray):
-        """(anchor, hash of the whole run, first window, number of windows) as arrays."""
+        """(anchor, hash of the whole run, first window, number of windows) as arrays, equal runs
+        once; and the stretches of windows that repeat inside the text as (first, number)."""
         at = np.arange(len(words) - SEED + 1)
         grams = self.grams.runs(self.grams.sums(words), at, at + SEED)
         views = sliding_window_view(grams, WINDOW - SEED + 1)
@@ -65,8 +66,17 @@ class Reader:
             first = self._stay(grams, first, last)
         start = np.flatnonzero(np.r_[True, first[1:] != first[:-1]])
         count = np.diff(np.r_[start, len(first)])
-        whole = self.windows.runs(self.windows.sums(words), start, start + count - 1 + WINDOW)
-        return grams[first[start]], whole, start, count
+        sums = self.windows.sums(words)
+        whole = self.windows.runs(sums, start, start + count - 1 + WINDOW)
+        anchor = grams[first[start]]
+        _, once = np.unique(mix(anchor) ^ whole, return_index=True)
+
+        ordered = np.sort(windows := self.window_hashes(words, sums))
+        twice = ordered[1:][ordered[1:] == ordered[:-1]]
+        again = np.isin(windows, twice) if len(twice) else np.zeros(0, dtype=bool)
+        turns = np.flatnonzero(np.diff(np.r_[0, again.astype(np.int8), 0]))
+        own = (turns[::2], turns[1::2] - turns[::2])
+        return (anchor[once], whole[once], start[once], count[once]), own
 
     @staticmethod
     def _stay(grams: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -85,14 +95,17 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def runs_of(texts: DataFrame) -> DataFrame:
-    """``(anchor, run, key, start, count)`` from ``(key, text)``; equal runs of a text once."""
+    """``(anchor, run, key, start, count)`` from ``(key, text)``; equal runs of a text once.
+
+    Rows without an anchor are stretches of windows that repeat inside the text.
+    """
     schema = "anchor long, run long, key long, start int, count int"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader, seen = Reader(), set()
         for batch in batches:
             for part in _parts(batch):
-                made = []
+                made, own = [], []
                 for key, text in zip(part["key"].tolist(), part["text"], strict=True):
                     if key in seen:
                         continue
@@ -100,15 +113,18 @@ def runs_of(texts: DataFrame) -> DataFrame:
                         seen.add(key)
                     words = reader.hashes(text)
                     if len(words) >= WINDOW:
-                        anchor, whole, start, count = reader.runs(words)
-                        _, once = np.unique(np.stack([anchor, whole]), axis=1, return_index=True)
-                        keys = np.full(len(once), key)
-                        made.append((anchor[once], whole[once], keys, start[once], count[once]))
+                        (anchor, whole, start, count), (first, number) = reader.runs(words)
+                        made.append((anchor, whole, np.full(len(start), key), start, count))
+                        own += [(key, a, n) for a, n in zip(first.tolist(), number.tolist(), strict=True)]
                 if made:
                     a, r, k, s, c = (np.concatenate(x) for x in zip(*made, strict=True))
                     yield pd.DataFrame(
                         {"anchor": _signed(a), "run": _signed(r), "key": k, "start": s, "count": c}
                     )
+                if own:
+                    found = pd.DataFrame(own, columns=["key", "start", "count"])
+                    found = found.assign(anchor=None, run=None)
+                    yield found[["anchor", "run", "key", "start", "count"]]
 
     return texts.mapInPandas(run, schema)
 
@@ -147,11 +163,12 @@ def _windows_of(asked: DataFrame) -> DataFrame:
 
 
 def repeated(texts: DataFrame) -> DataFrame:
-    """``(key, start, count)``: stretches of windows of a text that also start in another one.
+    """``(key, start, count)``: stretches of windows of a text that also start elsewhere.
 
     ``texts``: ``(key, text)`` and any other columns.  A count of ``WHOLE`` stands for all windows of a text.
     """
-    runs = runs_of(texts.select("key", "text"))
+    every = materialize(runs_of(texts.select("key", "text")), "repeats-runs")
+    runs = every.filter(F.col("anchor").isNotNull())
     per_anchor = runs.groupBy("anchor").agg(
         F.min("key").alias("low"),
         F.max("key").alias("high"),
@@ -188,7 +205,9 @@ def repeated(texts: DataFrame) -> DataFrame:
 
     copies = texts.groupBy("key").count().filter(F.col("count") > 1)
     return (
-        equal.select("key", "start", "count")
+        every.filter(F.col("anchor").isNull())
+        .select("key", "start", "count")
+        .unionByName(equal.select("key", "start", "count"))
         .unionByName(alone.select("key", F.col("at").alias("start"), F.lit(1).alias("count")))
         .unionByName(copies.select("key", F.lit(0).alias("start"), F.lit(WHOLE).alias("count")))
     )
@@ -219,12 +238,9 @@ def without_repeats(docs: DataFrame, text_column: str = "text") -> DataFrame:
     ]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader()
         for batch in batches:
             for part in _parts(batch):
-                rows = [
-                    _cut(reader, t, s) for t, s in zip(part["text"], part["stretches"], strict=True)
-                ]
+                rows = [_cut(t, s) for t, s in zip(part["text"], part["stretches"], strict=True)]
                 yield part[list(names)].rename(columns=names).assign(
                     **{name: pd.Series([r[i] for r in rows], part.index, object if i > 1 else "int64")
                        for i, name in enumerate(MADE)}
@@ -233,31 +249,19 @@ def without_repeats(docs: DataFrame, text_column: str = "text") -> DataFrame:
     return joined.mapInPandas(run, T.StructType([*kept, *made]))
 
 
-def _cut(reader: Reader, text, stretches) -> tuple[int, int, str, list]:
-    hashes = reader.hashes(text)
-    n = len(hashes)
-    if n < WINDOW:
-        return n, 0, " ".join(_words(text)), []
-    windows = reader.window_hashes(hashes)
-    _, place, count = np.unique(windows, return_inverse=True, return_counts=True)
-    again = count[place] > 1
-    for s in stretches if stretches is not None else ():
-        if s["count"] == WHOLE:
-            again[:] = True
-        else:
-            again[s["start"] : s["start"] + s["count"]] = True
+def _cut(text: str, stretches) -> tuple[int, int, str, list]:
+    words = text.encode().split()
+    n = len(words)
+    if stretches is None or not len(stretches):
+        return n, 0, b" ".join(words).decode(), []
     edges = np.zeros(n + 1, dtype=np.int64)
-    at = np.flatnonzero(again)
-    np.add.at(edges, at, 1)
-    np.add.at(edges, at + WINDOW, -1)
+    for s in stretches:
+        whole = s["count"] == WHOLE
+        if not whole or n >= WINDOW:
+            edges[0 if whole else s["start"]] += 1
+            edges[n if whole else s["start"] + s["count"] - 1 + WINDOW] -= 1
     covered = np.cumsum(edges[:n]) > 0
-    words = _words(text)
-    if len(at):
-        words = [w for w, gone in zip(words, covered.tolist(), strict=True) if not gone]
+    kept = b" ".join([w for w, gone in zip(words, covered.tolist(), strict=True) if not gone])
     turns = np.flatnonzero(np.diff(np.r_[0, covered.astype(np.int8), 0])).tolist()
     spans = [{"start": a, "end": b} for a, b in zip(turns[::2], turns[1::2], strict=True)]
-    return n, int(covered.sum()), " ".join(words), spans
-
-
-def _words(text) -> list[str]:
-    return [w.decode() for w in text.encode().split()] if isinstance(text, str) else []
+    return n, int(covered.sum()), kept.decode(), spans
