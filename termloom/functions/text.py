@@ -100,11 +100,6 @@ def total_count(counts: Column) -> Column:
     )
 
 
-def first_words(text: Column, n: int, pattern: str = QUERY_PATTERN) -> Column:
-    """The first ``n`` words of a text, joined by blanks."""
-    return F.array_join(F.slice(tokenize(text, pattern), 1, n), " ")
-
-
 def word_runs(tokens: Column, n: int) -> Column:
     """All runs of ``n`` neighbouring tokens, each joined by blanks."""
     return let(

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.functions.text import first_words, tokenize, word_runs
+from termloom.functions.text import tokenize, word_runs
 from termloom.plans.build import build_index
 from termloom.sources.index_store import Index
 from termloom.sources.shared import (
@@ -15,7 +15,6 @@ from termloom.sources.shared import (
 )
 from termloom.sources.tables import anchor_source, page_titles, title_source
 
-QUERY_WORDS = 8
 TRUTH_WORDS = 8
 
 _indexes: dict[tuple[str, str, str], Index] = {}
@@ -60,15 +59,14 @@ class Corpus:
         )
 
     def queries(self) -> DataFrame:
-        """The first words of each benchmark item as ``(query_id, query_text)``."""
+        """The text of each benchmark item as ``(query_id, query_text)``."""
         return self.table("benchmark").select(
-            F.col("item_id").alias("query_id"),
-            first_words(F.col("text"), QUERY_WORDS).alias("query_text"),
+            F.col("item_id").alias("query_id"), F.col("text").alias("query_text")
         )
 
     def qrels(self) -> DataFrame:
-        """``(query_id, query_text, doc_id)``: documents that contain an item's first
-        words in a row.  Written once per session."""
+        """``(query_id, query_text, doc_id)``: documents that share a run of eight words
+        with an item, or hold the whole of a shorter one.  Written once per session."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir)
         if key not in _qrels:
             _qrels[key] = materialize(self._find_qrels(), "qrels")
@@ -76,19 +74,18 @@ class Corpus:
 
     def _find_qrels(self) -> DataFrame:
         """An equi-join on the runs of words in each document."""
-        items = self.table("benchmark").select(
-            F.col("item_id").alias("query_id"),
-            first_words(F.col("text"), QUERY_WORDS).alias("query_text"),
-            F.get(word_runs(tokenize(F.col("text")), TRUTH_WORDS), F.lit(0)).alias("run"),
+        items = self.queries().withColumn("words", tokenize(F.col("query_text")))
+        items = items.filter(F.size("words") > 0)
+        items = items.withColumn("n", F.least(F.size("words"), F.lit(TRUTH_WORDS)))
+        # At most eight lengths, whatever the number of items.
+        lengths = [r.n for r in items.select("n").distinct().orderBy("n").collect()]
+        runs = _every_run(items, "words", lengths, F.col("n")).select(
+            "query_id", "query_text", "run"
         )
-        runs = spread_rows(self.documents()).select(
-            "doc_id",
-            F.explode(
-                F.array_distinct(word_runs(tokenize(F.col("text")), TRUTH_WORDS))
-            ).alias("run"),
-        )
-        items = broadcast_within(items, rows_up_to_limit(items))
-        return runs.join(items, "run").select("query_id", "query_text", "doc_id")
+        texts = spread_rows(self.documents()).withColumn("words", tokenize(F.col("text")))
+        found = _every_run(texts, "words", lengths).select("doc_id", "run")
+        runs = broadcast_within(runs, rows_up_to_limit(runs))
+        return found.join(runs, "run").select("query_id", "query_text", "doc_id").distinct()
 
     def ranks(self) -> DataFrame:
         """``(id, rank)`` from the labels."""
@@ -134,6 +131,20 @@ class Corpus:
         return _indexes[key]
 
 
+def _every_run(rows: DataFrame, words: str, lengths: list[int], n=None) -> DataFrame:
+    """``rows`` with ``run``, one row per distinct run of a length; ``n``: the row's own."""
+    runs = [
+        F.array_distinct(word_runs(F.col(words), k))
+        if n is None
+        else F.when(n == k, F.array_distinct(word_runs(F.col(words), k)))
+        for k in lengths
+    ]
+    if n is not None:
+        runs = [F.coalesce(r, F.array().cast("array<string>")) for r in runs]
+    every = F.concat(*runs) if runs else F.array().cast("array<string>")
+    return rows.withColumn("run", F.explode(every))
+
+
 def _requests(ids: DataFrame) -> DataFrame:
     return ids.select(
         F.floor(F.col("id") / 10).alias("req_id"), (F.col("id") % 10).alias("pos"), "id"

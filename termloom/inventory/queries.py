@@ -33,8 +33,7 @@ from termloom.sources.shared import broadcast_within, materialize, spread_rows
 LIST_BLOCK = 400
 TOP_PAIRS = 100
 TOP_RESULTS = 10
-MATRIX_QUERY = "tion ing ble"
-MATRIX_TERMS = sorted(MATRIX_QUERY.split())
+FEW_PAIRS = 500
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -617,26 +616,21 @@ def _(c):
 
 @register(
     "doc_matrix_dense",
-    "SELECT p.doc_id, "
-    + ", ".join(
-        f"round(sum(CASE WHEN p.term = '{t}' THEN p.tf / l.doc_len * log10(n.n / t.df) "
-        f"ELSE 0 END), 6) AS {t}"
-        for t in MATRIX_TERMS
-    )
-    + f"""
-    FROM postings p JOIN terms t USING (term) JOIN doc_lengths l USING (doc_id)
-    CROSS JOIN corpus n
-    WHERE p.term IN {parts.words(MATRIX_TERMS)} GROUP BY p.doc_id
+    """
+    SELECT d.query_id, d.doc_id, v.term_no, round(coalesce(p.w, 0), 6) AS w
+    FROM (SELECT DISTINCT query_id, doc_id FROM norm_pairs) d
+    JOIN vector v USING (query_id)
+    LEFT JOIN norm_pairs p
+        ON p.query_id = d.query_id AND p.doc_id = d.doc_id AND p.term = v.term
     """,
 )
 def _(c):
-    index = c.body_index()
-    asked = c.spark.range(1).select(
-        F.col("id").alias("query_id"), F.lit(MATRIX_QUERY).alias("query_text")
-    )
-    weights = search.normalised_weights(index, search.query_terms(index, asked))
-    matrix = scoring.doc_matrix_dense(weights, MATRIX_TERMS)
-    return rounded(matrix.drop("query_id"), *MATRIX_TERMS)
+    terms = body_terms(c)
+    weights = search.normalised_weights(c.body_index(), terms)
+    matrix = scoring.doc_matrix_dense(weights, terms.table, terms.rows)
+    cells = F.posexplode("weights").alias("term_no", "w")
+    rows = matrix.select("query_id", "doc_id", cells)
+    return rounded(rows.withColumn("term_no", F.col("term_no") + 1), "w")
 
 
 @register("candidate_docs", "SELECT DISTINCT query_id, doc_id FROM norm_pairs")

@@ -4,7 +4,7 @@ import re
 
 from termloom.functions.text import BUILD_PATTERN, QUERY_PATTERN
 from termloom.functions.words import BUILD_STOPWORDS, QUERY_STOPWORDS
-from termloom.inventory.corpus import QUERY_WORDS, TRUTH_WORDS
+from termloom.inventory.corpus import TRUTH_WORDS
 from termloom.plans.build import MIN_DF
 from termloom.plans.evaluate import DEPTH, EVALUATION_PAIRS
 from termloom.plans.search import MAX_PAIRS, MAX_RESULTS
@@ -92,15 +92,13 @@ def _ranking(prefix: str, vector: str, pairs: int, skip_zeros: bool) -> dict[str
 PARTS = {
     "corpus": "SELECT count(*)::DOUBLE AS n FROM documents",
     "titles": """
-        SELECT doc_id, substring(split_part(text, chr(10), 1), 1, 60) AS title
-        FROM documents""",
+        SELECT doc_id, split_part(text, chr(10), 1) AS title FROM documents""",
     "page_titles": """
         SELECT page_id, url, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title
         FROM pages""",
     "tokens": f"""
-        SELECT doc_id, unnest(regexp_extract_all(lower(text), {BUILD})) AS term,
-               generate_subscripts(regexp_extract_all(lower(text), {BUILD}), 1) AS pos
-        FROM documents""",
+        SELECT doc_id, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS pos
+        FROM doc_words""",
     "entries": f"""
         SELECT term, doc_id, count(*) AS tf FROM tokens
         WHERE term NOT IN {BUILD_STOP} GROUP BY term, doc_id""",
@@ -125,11 +123,8 @@ PARTS = {
         FROM (SELECT target, unnest(regexp_extract_all(lower(anchor_text), {BUILD})) AS term
               FROM links)
         WHERE term NOT IN {BUILD_STOP} GROUP BY term, target""",
-    "query_texts": f"""
-        SELECT item_id AS query_id,
-               array_to_string(regexp_extract_all(lower(text), {QUERY})[1:{QUERY_WORDS}],
-                               ' ') AS query_text
-        FROM benchmark""",
+    "query_texts": """
+        SELECT item_id AS query_id, text AS query_text FROM benchmark""",
     "query_tokens": f"""
         SELECT query_id, unnest(regexp_extract_all(lower(query_text), {QUERY})) AS term
         FROM query_texts""",
@@ -139,18 +134,20 @@ PARTS = {
         FROM query_tokens WHERE term NOT IN {QUERY_STOP} GROUP BY query_id, term""",
     "doc_words": f"""
         SELECT doc_id, regexp_extract_all(lower(text), {BUILD}) AS w FROM documents""",
-    "runs": f"""
-        SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + {TRUTH_WORDS}], ' ') AS run
-        FROM (SELECT doc_id, w, unnest(range(len(w) - {TRUTH_WORDS - 1})) AS i
-              FROM doc_words)""",
-    "items": f"""
-        SELECT item_id AS query_id, array_to_string(w[1:{TRUTH_WORDS}], ' ') AS run
-        FROM (SELECT item_id, regexp_extract_all(lower(text), {BUILD}) AS w
-              FROM benchmark)
-        WHERE len(w) >= {TRUTH_WORDS}""",
+    "item_words": f"""
+        SELECT item_id AS query_id, w, least(len(w), {TRUTH_WORDS}) AS n
+        FROM (SELECT item_id, regexp_extract_all(lower(text), {BUILD}) AS w FROM benchmark)
+        WHERE len(w) > 0""",
+    "item_runs": """
+        SELECT DISTINCT query_id, array_to_string(w[i + 1:i + n], ' ') AS run
+        FROM (SELECT query_id, w, n, unnest(range(len(w) - n + 1)) AS i FROM item_words)""",
+    "runs": """
+        SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + n], ' ') AS run
+        FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS i
+              FROM doc_words, (SELECT DISTINCT n FROM item_words) WHERE len(w) >= n)""",
     "qrels": """
-        SELECT query_id, query_text, doc_id
-        FROM items JOIN runs USING (run) JOIN query_texts USING (query_id)""",
+        SELECT DISTINCT query_id, query_text, doc_id
+        FROM item_runs JOIN runs USING (run) JOIN query_texts USING (query_id)""",
     "ranks": "SELECT doc_id AS id, quality::DOUBLE AS rank FROM labels",
     "views": """
         SELECT user_id AS id, count(*) AS views FROM events
@@ -182,10 +179,9 @@ PARTS = {
         SELECT query_id, term, count(*) AS qtf,
                (sum(count(*)) OVER (PARTITION BY query_id))::BIGINT AS query_len
         FROM (SELECT DISTINCT query_id, query_text,
-                     unnest(regexp_extract_all(lower(query_text), {BUILD})) AS term,
-                     generate_subscripts(regexp_extract_all(lower(query_text), {BUILD}),
-                                         1) AS pos
-              FROM qrels)
+                     unnest(w) AS term, unnest(range(1, len(w) + 1)) AS pos
+              FROM (SELECT DISTINCT query_id, query_text,
+                           regexp_extract_all(lower(query_text), {BUILD}) AS w FROM qrels))
         WHERE term NOT IN {QUERY_STOP} GROUP BY query_id, term""",
     **_ranking("eval_", "eval_terms", EVALUATION_PAIRS, False),
     "marked": f"""

@@ -134,10 +134,22 @@ def doc_matrix_sparse(rows: DataFrame) -> DataFrame:
     )
 
 
-def doc_matrix_dense(weights: DataFrame, terms: list[str]) -> DataFrame:
-    """Documents by terms, zero where a document lacks the term."""
-    table = weights.groupBy("query_id", "doc_id").pivot("term", terms).agg(F.first("w"))
-    return table.na.fill(0.0, subset=terms)
+def doc_matrix_dense(weights: DataFrame, query_terms: DataFrame, rows: int) -> DataFrame:
+    """One row per query and document: its weights by query term, zero where it lacks one.
+
+    Both sides have ``term_no``, the query's terms in order.  ``rows`` bounds
+    ``query_terms``.
+    """
+    sizes = query_terms.groupBy("query_id").agg(F.max("term_no").alias("n_terms"))
+    found = weights.groupBy("query_id", "doc_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("term_no", "w"))).alias("found")
+    )
+    filled = F.transform(
+        F.sequence(F.lit(1), F.col("n_terms")),
+        lambda i: F.coalesce(F.try_element_at("found", i), F.lit(0.0)),
+    )
+    sized = found.join(broadcast_within(sizes, rows), "query_id")
+    return sized.select("query_id", "doc_id", filled.alias("weights"))
 
 
 def dot_positional(rows: DataFrame, query_vector: DataFrame) -> DataFrame:

@@ -16,7 +16,6 @@ a build or an append that dies half-way stays invisible and can be repeated.
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -186,16 +185,20 @@ def read_index(spark: SparkSession, path: str) -> Index:
 
 
 def index_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return bool(spark.read.schema(META_SCHEMA).parquet(f"{path}/meta").take(1))
-    except AnalysisException:
-        return False
+    """Whether a version under ``path`` is complete; asked of the file system alone."""
+    files, pattern = _hadoop(spark, f"{path.rstrip('/')}/meta/version=*/_SUCCESS")
+    return bool(files.globStatus(pattern))
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of ``path``, and the path as it takes it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
 def delete_index(spark: SparkSession, path: str) -> bool:
     """Remove the index tables under ``path``; false if there were none."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, root = _hadoop(spark, path)
     removed = False
     # meta goes first: from then on no reader takes the rest for an index.
     for table in ("meta", "terms", "postings", "documents"):

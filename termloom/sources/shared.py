@@ -1,5 +1,6 @@
 """Working tables in the folder that driver and executors share."""
 
+import re
 import tempfile
 import uuid
 
@@ -10,21 +11,25 @@ from pyspark.sql import functions as F
 # most 50 characters and a few numbers: some 20 MB).  Larger sides are shuffled.
 BROADCAST_ROWS = 200_000
 
+_fallback: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Where the setting is absent, a session on one machine gets a temporary folder; a
-    cluster session is an error, as its executors could not read such a folder.
+    Where the setting is absent, a session whose only machine is this one gets a temporary
+    folder, kept for the session; on a cluster it is an error, as executors could not
+    read such a folder.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="termloom-"))
-    return context.getCheckpointDir()
+    if context.applicationId not in _fallback:
+        _fallback[context.applicationId] = tempfile.mkdtemp(prefix="termloom-")
+    return _fallback[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -66,8 +71,14 @@ def broadcast_within(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> D
 def spread_rows(df: DataFrame) -> DataFrame:
     """Deal rows out when the input has fewer splits than the session has cores.
 
-    That is so for a single small file.  A large input has many splits already and is
-    left as it is: its text is never shuffled.
+    That is so for a small input, by the planner's estimate of its size; asking for the
+    number of partitions would run its shuffles.  A large input has many splits already
+    and is left as it is: its text is never shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    return df.repartition(2 * cores) if size < cores * split else df

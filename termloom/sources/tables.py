@@ -53,14 +53,10 @@ def write_qrels(qrels: DataFrame, path: str, block_docs: int = 65_536) -> None:
     lists.select(F.to_json(F.create_map("query_text", "ids"))).write.text(path)
 
 
-def title_source(
-    docs: DataFrame, length: int = 60, keep_text: bool = False
-) -> DataFrame:
-    """``(doc_id, title)``: the first line of the text, cut to ``length`` characters."""
-    first_line = F.substring_index("text", "\n", 1)
+def title_source(docs: DataFrame, keep_text: bool = False) -> DataFrame:
+    """``(doc_id, title)``: the whole first line of the text."""
     text = ["text"] if keep_text else []
-    title = F.substring(first_line, 1, length).alias("title")
-    return docs.select("doc_id", *text, title)
+    return docs.select("doc_id", *text, F.substring_index("text", "\n", 1).alias("title"))
 
 
 def page_titles(pages: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ from termloom.functions.text import (
     BUILD_PATTERN,
     QUERY_PATTERN,
     drop_words,
-    first_words,
     term_counts,
     tokenize,
     total_count,
@@ -89,11 +88,10 @@ def test_drop_words_keeps_order_and_repeats(spark):
     assert kept == ["b", "a", "b"]
 
 
-def test_runs_and_first_words(spark):
+def test_word_runs(spark):
     text = F.lit("Aaa bbb ccc ddd")
-    row = spark.range(1).select(word_runs(tokenize(text), 3), first_words(text, 2)).first()
+    row = spark.range(1).select(word_runs(tokenize(text), 3)).first()
     assert row[0] == ["aaa bbb ccc", "bbb ccc ddd"]
-    assert row[1] == "aaa bbb"
     short = spark.range(1).select(word_runs(tokenize(F.lit("aaa")), 3)).first()
     assert short[0] == []
 
