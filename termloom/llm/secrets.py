@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import let, text_keys, text_of
+from termloom.llm.common import let, set_aside, text_keys, text_of
 from termloom.sources.shared import materialize
 
 MADE = ["spans", "n_live", "n_example"]
@@ -241,23 +241,28 @@ def redact(
 ) -> DataFrame:
     """``docs`` with every reported span replaced, and ``n_chars`` made anew.
 
-    Only texts with further candidates are joined to the counts; all others stay where they are.
+    The candidates are found once and stored without the texts; the texts meet the spans to
+    replace in one join.
     """
     rules = rules or Ownership()
-    found = with_candidates(docs, "text", rules)
-    narrow = found.drop("text").filter(F.size("_base") + F.size("_more") > 0)
-    narrow = materialize(narrow, "secret-candidates")
-    values = ownership(narrow, repository, rules)
-    judged = _judged(narrow.filter(F.size("_more") > 0), values).filter(F.size("_live") > 0)
-
-    asked = found.filter(F.size("_more") > 0)
-    asked = asked.join(judged, _same_document(asked, judged), "left")
+    own, back = set_aside(docs, ["spans"])
+    found = with_candidates(own, "text", rules)
+    narrow = found.select(*dict.fromkeys([*KEYS, repository]), "_base", "_more")
+    narrow = materialize(narrow, "secret-candidates").filter(F.size("_base") + F.size("_more") > 0)
+    judged = _judged(narrow, ownership(narrow, repository, rules))
     none = F.array().cast(f"array<{SPAN}>")
-    spans = F.array_sort(F.concat("_base", F.coalesce("_live", none)))
-    asked = asked.select(*(found[c] for c in docs.columns), spans.alias("_spans"))
-    plain = found.filter(F.size("_more") == 0).select(*docs.columns, F.col("_base").alias("_spans"))
-    df = plain.unionByName(asked).withColumn("text", redacted(F.col("text"), F.col("_spans")))
+    base = narrow.select(*KEYS, "_base").distinct()
+    spans = base.join(judged, _same_document(base, judged), "left").select(
+        *(base[k].alias(f"_of{k}") for k in KEYS),
+        F.array_sort(F.concat("_base", F.coalesce("_live", none))).alias("spans"),
+    )
+    spans = materialize(spans.filter(F.size("spans") > 0), "secret-spans")
+    k1, k2 = text_keys(text_of())
+    keyed = own.withColumns({"_k1": k1, "_k2": k2})
+    df = keyed.join(spans, _same_document(keyed, spans), "left")
+    hit = F.col("spans").isNotNull()
+    df = df.withColumn("text", F.when(hit, redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        made = F.when(F.size("_spans") > 0, F.length("text").cast("bigint"))
+        made = F.when(hit, F.length("text").cast("bigint"))
         df = df.withColumn("n_chars", made.otherwise(F.col("n_chars")))
-    return df.select(docs.columns)
+    return df.select(own.columns).withColumnsRenamed(back)
