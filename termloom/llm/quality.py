@@ -112,7 +112,10 @@ def with_features(docs: DataFrame, text_column: str = "text") -> DataFrame:
         "n_lines": F.col("_lines.col1"),
         "n_capitals": F.regexp_count(text, F.lit("[A-Z]")),
     }
-    return df.withColumns({k: v.cast("bigint") for k, v in made.items()}).drop("_words", "_lines")
+    # Made by a generator: filters on the features are then not pushed below it, where they
+    # would compute them a second time.
+    once = F.inline(F.array(F.struct(*(v.cast("bigint").alias(k) for k, v in made.items()))))
+    return df.select(*(c for c in df.columns if c not in ("_words", "_lines")), once)
 
 
 def base_failed(risk: Risk):
