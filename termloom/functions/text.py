@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 # A word is a letter, digit, underscore, '#' or '@', followed by further
 # word characters, each of which may be preceded by one apostrophe or hyphen.  The
@@ -61,8 +62,13 @@ def term_counts(tokens: Column) -> Column:
 
 
 def with_term_counts(rows: DataFrame, text: str, pattern: str) -> DataFrame:
-    """Add ``terms``, the term counts of column ``text``; a null text has none."""
-    counts = F.coalesce(term_counts(tokenize(F.col(text), pattern)), F.expr(NO_TERMS))
+    """Add ``terms``, the term counts of column ``text``; a null text has none.
+
+    A column of arrays holds the tokens themselves.
+    """
+    given = isinstance(rows.schema[text].dataType, ArrayType)
+    tokens = F.array_compact(text) if given else tokenize(F.col(text), pattern)
+    counts = F.coalesce(term_counts(tokens), F.expr(NO_TERMS))
     return rows.withColumn("terms", counts)
 
 

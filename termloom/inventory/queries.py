@@ -18,11 +18,12 @@ from termloom.inventory.registry import register
 from termloom.operators import matching, postings, query_terms, scoring
 from termloom.operators.ranking import top_per_group
 from termloom.plans import evaluate, requests, search
-from termloom.plans.build import BUCKETS, MIN_DF, add_documents, build_index
+from termloom.plans.build import BUCKETS, MIN_DF, add_documents, build_index, compact
 from termloom.sources import tables
 from termloom.sources.index_store import (
     Index,
     delete_index,
+    drop_old_versions,
     index_exists,
     read_index,
     write_postings,
@@ -85,6 +86,15 @@ def _(c):
     return tables.scan_pagerank(c.spark, path).select("id", "rank")
 
 
+@register("scan_pagerank_repeats", "SELECT id, rank FROM ranks")
+def _(c):
+    path = c.new_path("pagerank-files")
+    once = c.ranks().repartition(4)
+    tables.write_pagerank(once, f"{path}/a")
+    tables.write_pagerank(once.withColumn("rank", F.col("rank") + 5), f"{path}/b")
+    return requests.first_ranks(tables.scan_pagerank(c.spark, f"{path}/*"))
+
+
 @register("scan_pageviews", "SELECT id, views FROM views")
 def _(c):
     path = c.new_path("pageviews")
@@ -96,7 +106,7 @@ def _(c):
 def _(c):
     path = c.new_path("qrels")
     tables.write_qrels(c.qrels(), path)
-    return tables.scan_qrels(c.spark, path)
+    return tables.scan_qrels(c.spark, path).select("query_text", "doc_id")
 
 
 @register(
@@ -393,9 +403,7 @@ def _(c):
     """,
 )
 def _(c):
-    index = c.body_index()
-    lengths = index.docs().select("doc_id", "doc_len")
-    return index.postings().join(lengths, "doc_id")
+    return c.body_index().postings(lengths=True)
 
 
 def labels_as_titles(c: Corpus) -> DataFrame:
@@ -531,6 +539,18 @@ def _(c):
     return lists_as_text(postings.posting_lists(entries(c)))
 
 
+@register(
+    "posting_lists_anchor",
+    """
+    SELECT term, count(*) AS n, sum(tf)::BIGINT AS total FROM anchor_entries GROUP BY term
+    """,
+)
+def _(c):
+    lists = postings.posting_lists(c.anchor_index().postings())
+    total = F.aggregate("postings", F.lit(0).cast("bigint"), lambda a, p: a + p["tf"])
+    return lists.groupBy("term").agg(F.sum("n").alias("n"), F.sum(total).alias("total"))
+
+
 @register(
     "document_frequency", "SELECT term, count(*) AS df FROM entries GROUP BY term"
 )
@@ -569,6 +589,82 @@ def _(c):
     return add_documents(index, second).terms()
 
 
+def repeated_index(c: Corpus) -> Index:
+    """The documents, and the German ones a second time."""
+    index = build_index(c.titled_documents(), c.new_path("repeated"), min_df=0)
+    german = c.titled_documents(F.col("lang").eqNullSafe("de"))
+    return add_documents(index, german, repeats=True)
+
+
+@register(
+    "add_documents_repeats",
+    """
+    SELECT term, count(*) AS df, sum(tf)::BIGINT AS term_total
+    FROM (SELECT term, doc_id, tf FROM entries UNION ALL
+          SELECT term, doc_id, tf FROM entries
+          WHERE doc_id IN (SELECT doc_id FROM documents WHERE lang = 'de'))
+    GROUP BY term
+    """,
+)
+def _(c):
+    return repeated_index(c).terms()
+
+
+@register(
+    "search_repeats",
+    """
+    SELECT query_id, doc_id, sum(qtf)::BIGINT AS hits
+    FROM query_terms JOIN entries USING (term) GROUP BY query_id, doc_id
+    """,
+)
+def _(c):
+    return search.index_hits(repeated_index(c), c.queries())
+
+
+@register(
+    "append_anchors",
+    """
+    SELECT q.query_id, e.doc_id, sum(q.qtf)::BIGINT AS hits, min(t.n) AS rarest
+    FROM query_terms q JOIN anchor_entries e USING (term)
+    JOIN (SELECT term, count(*) AS n FROM anchor_entries GROUP BY term) t USING (term)
+    GROUP BY q.query_id, e.doc_id
+    """,
+)
+def _(c):
+    links = c.anchors()
+    first = F.pmod(F.xxhash64("doc_id", "text"), F.lit(2)) == 0
+    options = dict(min_df=0, single_row=False)
+    index = build_index(links.filter(first), c.new_path("anchors"), **options)
+    index = add_documents(index, links.filter(~first))
+    terms = known_words(index, c)
+    matches = matching.match_postings(index, terms.table, terms.rows)
+    return matches.groupBy("query_id", "doc_id").agg(
+        F.sum("qtf").alias("hits"), F.min("df").alias("rarest")
+    )
+
+
+@register(
+    "compact",
+    "SELECT term, doc_id, tf, 0 AS batches_before FROM postings",
+)
+def _(c):
+    english = F.col("lang").eqNullSafe("en")
+    index = build_index(c.titled_documents(english), c.new_path("grown"))
+    index = compact(add_documents(index, c.titled_documents(~english)))
+    drop_old_versions(index)
+    old = F.lit(index.version - index.base).alias("batches_before")
+    return read_index(c.spark, index.path).postings().select("*", old)
+
+
+@register(
+    "tokens_index",
+    "SELECT term, doc_id, tf FROM entries",
+)
+def _(c):
+    words = c.documents().select("doc_id", tokenize(F.col("text")).alias("tokens"))
+    return build_index(words, c.new_path("tokens"), min_df=0).postings()
+
+
 @register(
     "query_term_counts", "SELECT query_id, term, qtf, query_len FROM query_terms"
 )
@@ -891,6 +987,34 @@ def _(c):
     return search.search(c.body_index(), c.title_index(), c.queries())
 
 
+@register(
+    "search_few_pairs",
+    f"""
+    SELECT query_id, doc_id, round(sum(w), 6) AS w, count(*) AS n_pairs
+    FROM candidates WHERE ck <= {FEW_PAIRS} GROUP BY query_id, doc_id
+    """,
+)
+def _(c):
+    terms = body_terms(c, max_pairs=FEW_PAIRS)
+    rows = search.candidates(c.body_index(), terms, max_pairs=FEW_PAIRS)
+    per_doc = rows.groupBy("query_id", "doc_id")
+    return rounded(per_doc.agg(F.sum("w").alias("w"), F.count("*").alias("n_pairs")), "w")
+
+
+@register(
+    "search_all_pairs",
+    """
+    SELECT query_id, doc_id, round(sum(w), 6) AS w, count(*) AS n_pairs
+    FROM pairs GROUP BY query_id, doc_id
+    """,
+)
+def _(c):
+    terms = body_terms(c, max_pairs=None)
+    rows = search.candidates(c.body_index(), terms, max_pairs=None)
+    per_doc = rows.groupBy("query_id", "doc_id")
+    return rounded(per_doc.agg(F.sum("w").alias("w"), F.count("*").alias("n_pairs")), "w")
+
+
 @register("search_body", f"SELECT {SEARCH_COLUMNS} FROM ranked")
 def _(c):
     return search.search_body(c.body_index(), c.title_index(), c.queries())
@@ -941,6 +1065,23 @@ def _(c):
     return search.search_anchor(c.anchor_index(), titles, c.queries())
 
 
+@register(
+    "search_anchor_titled",
+    """
+    SELECT h.query_id, h.doc_id, t.title, h.hits
+    FROM anchor_hits h LEFT JOIN (
+        SELECT target, min(anchor_text) AS title FROM links
+        WHERE length(target) % 2 = 0 GROUP BY target) t ON t.target = h.doc_id
+    """,
+)
+def _(c):
+    # Addresses of links and of pages do not meet in these tables; every other target gets a
+    # title of its own here.
+    named = c.anchors().filter(F.length("doc_id") % 2 == 0)
+    titles = named.groupBy("doc_id").agg(F.min("text").alias("title"))
+    return search.search_anchor(c.anchor_index(), titles, c.queries())
+
+
 @register(
     "get_pagerank",
     "SELECT req_id, pos, id, rank FROM ranked_requests JOIN ranks USING (id)",
@@ -957,6 +1098,22 @@ def _(c):
     return requests.get_pageview(c.view_requests(), c.views())
 
 
+@register(
+    "evaluate_from_file",
+    """
+    SELECT query_text, n_hits, ap FROM average_precisions
+    JOIN (SELECT DISTINCT query_id, query_text FROM qrels) USING (query_id)
+    """,
+)
+def _(c):
+    path = c.new_path("truth")
+    tables.write_qrels(c.qrels(), path)
+    truth = tables.scan_qrels(c.spark, path)
+    scores = evaluate.evaluate(c.body_index(), c.title_index(), truth)
+    names = truth.select("query_id", "query_text").distinct()
+    return scores.join(names, "query_id").select("query_text", "n_hits", "ap")
+
+
 @register("evaluate", "SELECT query_id, n_hits, ap FROM average_precisions")
 def _(c):
     return evaluate.evaluate(c.body_index(), c.title_index(), c.qrels())

@@ -42,6 +42,8 @@ def match_postings(index: Index, query_terms: DataFrame, rows: int) -> DataFrame
     # scan to the buckets on that side.
     places = index.place(query_terms).filter(F.col("qtf") > 0)
     postings = index.posting_table()
+    if index.repeats or not index.single_row:
+        postings = postings.drop("doc_len")
     if rows <= SCAN_TERMS:
         few = [row.term for row in query_terms.select("term").collect()]
         postings = postings.filter(F.col("term").isin(few))
@@ -50,7 +52,12 @@ def match_postings(index: Index, query_terms: DataFrame, rows: int) -> DataFrame
         matches = postings.join(F.broadcast(places), keys)
     else:
         matches = _shuffled_match(postings, places, keys)
-    return matches.drop("bucket", "part")
+    matches = matches.drop("bucket", "part")
+    if index.scattered:
+        # One weight per query, term and document, whatever the number of entries.
+        others = [c for c in matches.columns if c != "tf"]
+        matches = matches.groupBy(*others).agg(F.sum("tf").cast("int").alias("tf"))
+    return matches
 
 
 def _shuffled_match(postings: DataFrame, places: DataFrame, keys: list[str]) -> DataFrame:
@@ -60,8 +67,11 @@ def _shuffled_match(postings: DataFrame, places: DataFrame, keys: list[str]) ->
     ``QUERIES_PER_COPY`` of the queries, which bounds the work of a key on both sides.
     """
     n_copies = F.ceil(F.count("*") / QUERIES_PER_COPY).cast("int").alias("n_copies")
-    wanted = places.groupBy(*keys).agg(n_copies).filter(F.col("n_copies") > 1)
-    wanted = materialize(wanted, "wanted-terms")
+    asked_for = materialize(places.groupBy(*keys).agg(n_copies), "wanted-terms")
+    # Far fewer than the query terms: where they can be broadcast, only their postings move.
+    distinct = broadcast_within(asked_for.select(*keys), rows_up_to_limit(asked_for))
+    postings = postings.join(distinct, keys, "left_semi")
+    wanted = asked_for.filter(F.col("n_copies") > 1)
     wanted = broadcast_within(wanted, rows_up_to_limit(wanted))
     copies = F.coalesce("n_copies", F.lit(1))
     some_copy = F.pmod(F.xxhash64("query_id"), copies).cast("int")

@@ -4,6 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from termloom.functions.stemmer import stemmed
 from termloom.functions.text import BUILD_PATTERN, kept_terms, with_term_counts
@@ -84,14 +85,18 @@ def term_statistics(
     return rows.groupBy(*keys).agg(*sizes, F.array(*bins).alias("tf_bins"))
 
 
-def posting_lists(postings: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
+def posting_lists(postings: DataFrame, block_docs: int = BLOCK_DOCS, string_blocks: int = 64) -> DataFrame:
     """``(term, block, n, postings)`` with the entries of a block sorted by document.
 
-    Blocks cut the id range, so the blocks of a term in order are its whole list.
+    Blocks cut the range of whole-number ids, so the blocks of a term in order are its
+    whole list.  String ids are dealt to ``string_blocks`` blocks by hash.
     """
-    block = F.floor(F.col("doc_id") / block_docs).alias("block")
+    if isinstance(postings.schema["doc_id"].dataType, StringType):
+        block = F.pmod(F.xxhash64("doc_id"), F.lit(string_blocks))
+    else:
+        block = F.floor(F.col("doc_id") / block_docs)
     entry = F.struct("doc_id", "tf")
-    return postings.groupBy("term", block).agg(
+    return postings.groupBy("term", block.alias("block")).agg(
         F.count("*").alias("n"), F.sort_array(F.collect_list(entry)).alias("postings")
     )
 

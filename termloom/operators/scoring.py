@@ -75,6 +75,17 @@ def with_floor(query_terms: DataFrame, k: int) -> DataFrame:
     ).drop("tf_bins")
 
 
+def without_floor(query_terms: DataFrame) -> DataFrame:
+    """The columns of ``with_floor`` where no pair may be left out."""
+    in_query = Window.partitionBy("query_id")
+    return query_terms.withColumns(
+        {
+            "floor": F.lit(float("-inf")),
+            "reach": F.sum("df").over(in_query).cast("bigint"),
+        }
+    ).drop("tf_bins")
+
+
 def raw_tf_weights(matches: DataFrame, n_docs: int) -> DataFrame:
     """Replace ``tf`` by ``w``, which is ``tf * log10(N / df)``.
 
@@ -83,7 +94,7 @@ def raw_tf_weights(matches: DataFrame, n_docs: int) -> DataFrame:
     weighted = matches.withColumn("w", F.col("tf") * _idf_of(matches, n_docs))
     if "floor" in matches.columns:
         weighted = weighted.filter(F.col("w") >= F.col("floor"))
-    return weighted.drop("tf", "df", "idf", "qtf", "floor")
+    return weighted.drop("tf", "df", "idf", "qtf", "floor", "doc_len")
 
 
 def _idf_of(rows: DataFrame, n_docs: int) -> Column:
@@ -95,9 +106,12 @@ def norm_tf_weights(
 ) -> DataFrame:
     """Replace ``tf`` by ``w``, which is ``(tf / doc_len) * log10(N / df)``.
 
-    If the number of matches is known and small, the lengths are read in place.
+    Matches that carry their document's length need no join.  Otherwise, if their number
+    is known and small, the lengths are read in place.
     """
     weight = (F.col("tf") / F.col("doc_len")) * _idf_of(matches, n_docs)
+    if "doc_len" in matches.columns:
+        return matches.withColumn("w", weight).drop("tf", "df", "idf", "qtf", "doc_len")
     side = matches if rows is None else broadcast_within(matches, rows)
     joined = docs.select("doc_id", "doc_len").join(side, "doc_id")
     return joined.withColumn("w", weight).drop("tf", "df", "idf", "qtf", "doc_len")

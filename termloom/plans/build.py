@@ -37,6 +37,7 @@ MAX_BUCKETS = 16_384
 SLICE_ROWS = 50_000_000  # entries per file above which a bucket gets more files
 PART_ROWS = 1_000_000  # entries per part of a term
 MAX_HOT_TERMS = 100_000  # most terms that may have more than one part
+MAX_BATCHES = 100  # batches an index may have before they are rewritten as one
 
 
 def build_index(
@@ -49,10 +50,12 @@ def build_index(
     buckets: int | None = None,
     part_rows: int | None = None,
     single_row: bool = True,
+    last_batch: str = "",
 ) -> Index:
     """Index ``docs(doc_id, text[, title])`` under ``path``.
 
-    The text is tokenised once, into the ``documents`` table; terms and postings come
+    Instead of ``text`` the documents may have ``tokens``, an array of words that are
+    taken as they are.  Rows with the same id are one document.  The text is tokenised once, into the ``documents`` table; terms and postings come
     from that table.  ``single_row=False`` is for inputs where a document's text is
     spread over many rows, such as the anchors that point to it.
     """
@@ -74,58 +77,90 @@ def build_index(
         part_rows=part_rows or 0,
         single_row=single_row,
         id_type=id_type_of(docs),
+        fixed_sizes=bool(buckets and part_rows),
+        last_batch=last_batch,
     )
-    return _store_batch(draft, docs, None)
+    return _store_batch(draft, _tokenised(docs, draft), None)
 
 
-def add_documents(index: Index, docs: DataFrame, *, repeats: bool = False) -> Index:
+def add_documents(
+    index: Index, docs: DataFrame, *, repeats: bool = False, batch: str = ""
+) -> Index:
     """Append ``docs`` to a stored index and return the new version.
 
     Documents already in the index are left out; ``repeats=True`` adds them again, with
-    second entries and raised document frequencies.
+    second entries and raised document frequencies, and searches then sum a document's
+    entries of a term.  An index of documents spread over rows takes further rows.
+    ``batch`` names the batch of a stream: one that was stored last is not stored again.
+
+    An index that has outgrown its buckets, or has very many batches, is compacted.
     """
+    if batch and batch == index.last_batch:
+        return index
     if not repeats and index.single_row:
         docs = _without_known(docs, index)
-    draft = _changed(index, version=index.version + 1)
-    return _store_batch(draft, docs, index)
+    draft = _changed(
+        index,
+        version=index.version + 1,
+        repeats=index.repeats or (repeats and index.single_row),
+        last_batch=batch,
+    )
+    stored = _store_batch(draft, _tokenised(docs, draft), index)
+    return compact(stored) if _outgrown(stored) else stored
+
+
+def compact(index: Index) -> Index:
+    """Rewrite all batches as one, with sizes chosen for what there is now.
+
+    Nothing is tokenised again.  ``drop_old_versions`` removes the earlier batches.
+    """
+    number = index.version + 1
+    sizes = {} if index.fixed_sizes else dict(buckets=0, part_rows=0)
+    draft = _changed(index, version=number, base=number, **sizes)
+    return _store_batch(draft, index.forward().drop("batch"), None)
+
+
+def _outgrown(index: Index) -> bool:
+    if index.version - index.base >= MAX_BATCHES:
+        return True
+    wanted = _with_sizes(_changed(index, buckets=0, part_rows=0), index.n_postings)
+    grown = wanted.buckets >= 2 * index.buckets or wanted.part_rows >= 2 * index.part_rows
+    return grown and not index.fixed_sizes
 
 
-def _store_batch(draft: Index, docs: DataFrame, old: Index | None) -> Index:
+def _store_batch(draft: Index, rows: DataFrame, old: Index | None) -> Index:
     batch = draft.version
     seen = Observation()
-    rows = _tokenised(docs, draft).observe(
+    rows = rows.observe(
         seen,
         F.count("*").alias("rows"),
         F.coalesce(F.sum(F.size("terms").cast("bigint")), F.lit(0)).alias("entries"),
     )
     write_documents(rows, draft.path, batch)
+    added = draft.forward().filter(F.col("batch") == batch)
+    if draft.single_row and not draft.repeats:
+        twice = added.groupBy("doc_id").count().filter(F.col("count") > 1)
+        draft = _changed(draft, repeats=not twice.isEmpty())
     if not draft.buckets or not draft.part_rows:
-        # Sizes are chosen once, from the first batch, and stay with the index.
         draft = _with_sizes(draft, seen.get["entries"])
 
-    added = draft.forward().filter(F.col("batch") == batch)
-    entries = added.select("doc_id", F.inline("terms"))
+    entries = added.select("doc_id", "doc_len", F.inline("terms"))
     if not draft.single_row:
-        entries = materialize(merge_counts(entries), "entries")
-
-    statistics = term_statistics(entries)
-    if old is not None:
-        before = old.term_table().select(*statistics.columns)
-        statistics = term_statistics(statistics.unionByName(before), merge=True)
+        merged = merge_counts(entries)
+        entries = materialize(merged.withColumn("doc_len", F.lit(None).cast("bigint")), "entries")
+    statistics = _statistics(entries, draft, old)
     bucket = bucket_of(F.col("term"), F.lit(0), draft.buckets)
-    totals = Observation()
-    statistics = statistics.withColumn("bucket", bucket).observe(
-        totals,
+    write_terms(statistics.withColumn("bucket", bucket), draft.path, batch, draft.buckets)
+    # Read back: a sum observed while writing would count a task that ran twice twice.
+    totals = draft.term_table().agg(
         F.coalesce(F.sum("df"), F.lit(0)).alias("n_postings"),
         F.coalesce(F.max("df"), F.lit(0)).alias("max_df"),
     )
-    write_terms(statistics, draft.path, batch)
-
-    if draft.single_row:
-        n_docs = seen.get["rows"] + (old.n_docs if old else 0)
+    if draft.single_row and not draft.repeats:
+        n_docs = added.count() + (old.n_docs if old else 0)
     else:
         n_docs = draft.docs().count()
-    draft = _changed(draft, n_docs=n_docs, **totals.get)
+    draft = _changed(draft, n_docs=n_docs, **totals.first().asDict())
     # Only this batch's entries are written, so the total is an upper bound.
     slices = draft.buckets * max(1, draft.n_postings // (draft.buckets * SLICE_ROWS))
     write_postings(_with_parts(entries, draft), draft.path, batch, draft.buckets, slices)
@@ -133,12 +168,30 @@ def _store_batch(draft: Index, docs: DataFrame, old: Index | None) -> Index:
     return draft
 
 
+def _statistics(entries: DataFrame, draft: Index, old: Index | None) -> DataFrame:
+    """Statistics of all terms after the entries of a batch came in."""
+    added = term_statistics(entries)
+    if old is None:
+        return added
+    before = old.term_table().select(*added.columns)
+    if draft.single_row:
+        return term_statistics(added.unionByName(before), merge=True)
+    # A document may have had the term before; its terms are counted anew, the others stay.
+    touched = materialize(entries.select("term").distinct(), "touched-terms")
+    touched = broadcast_within(touched, rows_up_to_limit(touched))
+    there = old.posting_table().join(touched, "term", "left_semi")
+    both = there.select("term", "doc_id", "tf").unionByName(entries.select("term", "doc_id", "tf"))
+    again = term_statistics(merge_counts(both))
+    return again.unionByName(before.join(touched, "term", "left_anti"))
+
+
 def _tokenised(docs: DataFrame, index: Index) -> DataFrame:
     title = F.col("title") if "title" in docs.columns else F.lit(None).cast("string")
+    given = "tokens" if "tokens" in docs.columns else "text"
     rows = spread_rows(docs).select(
-        F.col("doc_id").cast(index.id_type).alias("doc_id"), title.alias("title"), "text"
+        F.col("doc_id").cast(index.id_type).alias("doc_id"), title.alias("title"), given
     )
-    counted = with_terms(rows, "text", index.pattern, index.stopwords)
+    counted = with_terms(rows, given, index.pattern, index.stopwords)
     sized = counted.withColumn("doc_len", total_count(F.col("terms")))
     return sized.select("doc_id", "title", "doc_len", "terms")
 

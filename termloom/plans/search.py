@@ -28,6 +28,7 @@ from termloom.operators.scoring import (
     sparse_rows,
     top_candidates,
     with_floor,
+    without_floor,
 )
 from termloom.sources.index_store import Index, n_parts
 from termloom.sources.shared import broadcast_within, materialize, rows_up_to_limit
@@ -55,7 +56,7 @@ def query_terms(
     pattern: str = QUERY_PATTERN,
     stopwords: Sequence[str] = QUERY_STOPWORDS,
     n_docs: int | None = None,
-    max_pairs: int = MAX_PAIRS,
+    max_pairs: int | None = MAX_PAIRS,
     skip_zeros: bool = True,
 ) -> QueryTerms:
     """Tokenise, look up and weigh ``queries(query_id, query_text)``."""
@@ -64,7 +65,9 @@ def query_terms(
     known = lookup_terms(index, counted, rows_up_to_limit(counted))
     known = known.withColumn("idf", idf(total, F.col("df")))
     vector = query_tfidf(known, total, skip_zeros)
-    return _measured(index, with_floor(vector, max_pairs))
+    # With several entries per term and document, their counts say nothing about weights.
+    open_end = max_pairs is None or index.scattered
+    return _measured(index, without_floor(vector) if open_end else with_floor(vector, max_pairs))
 
 
 def _measured(index: Index, terms: DataFrame) -> QueryTerms:
@@ -99,11 +102,11 @@ def candidates(
     terms: QueryTerms,
     *,
     n_docs: int | None = None,
-    max_pairs: int = MAX_PAIRS,
+    max_pairs: int | None = MAX_PAIRS,
 ) -> DataFrame:
     """The best (document, term) pairs of each query by raw TF-IDF, numbered ``ck``."""
     weights = pair_weights(index, terms, n_docs)
-    return top_candidates(weights, max_pairs, terms.reach, "term_no")
+    return top_candidates(weights, max_pairs or max(1, terms.reach), terms.reach, "term_no")
 
 
 def body_scores(
@@ -112,12 +115,12 @@ def body_scores(
     *,
     scoring: str = "positional",
     n_docs: int | None = None,
-    max_pairs: int = MAX_PAIRS,
+    max_pairs: int | None = MAX_PAIRS,
 ) -> DataFrame:
     """``(query_id, doc_id, score, best_w, best_no)`` from the best pairs."""
     dot = {"positional": dot_positional, "aligned": dot_aligned}[scoring]
     pairs = pair_weights(index, terms, n_docs)
-    if terms.reach > max_pairs:
+    if max_pairs is not None and terms.reach > max_pairs:
         pairs = top_candidates(pairs, max_pairs, terms.reach, "term_no")
     pairs = pairs.select("query_id", "doc_id", "term_no", "w")
     vector = terms.table.select("query_id", "term_no", "ord", "weight")
@@ -166,7 +169,7 @@ def search(
     *,
     scoring: str = "positional",
     n: int = MAX_RESULTS,
-    max_pairs: int = MAX_PAIRS,
+    max_pairs: int | None = MAX_PAIRS,
     pattern: str = QUERY_PATTERN,
     stopwords: Sequence[str] = QUERY_STOPWORDS,
     n_docs: int | None = None,
@@ -175,7 +178,8 @@ def search(
     """``(query_id, rank, doc_id, title, hits, score)``, up to ``n`` rows per query.
 
     Documents are scored on the body's best ``max_pairs`` pairs, then ordered by title
-    hits and score.  A query has at most ``max_pairs`` documents left by then.
+    hits and score.  A query has at most ``max_pairs`` documents left by then; None cuts
+    nothing.
     """
     terms = query_terms(
         body,

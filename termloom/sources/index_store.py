@@ -1,7 +1,7 @@
 """The stored index: four Parquet tables under one folder.
 
 ``documents``  doc_id, title, doc_len, terms        one folder per batch
-``postings``   term, part, doc_id, tf               one folder per batch and bucket
+``postings``   term, part, doc_id, tf, doc_len      one folder per batch and bucket
 ``terms``      term, df, term_total, tf_bins        one folder per version and bucket
 ``meta``       corpus size and parameters           one row per version
 
@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 META_SCHEMA = (
     "n_docs bigint, n_postings bigint, max_df bigint, min_df int, pattern string, "
     "stopwords array<string>, buckets int, part_rows bigint, single_row boolean, "
-    "id_type string, version int"
+    "id_type string, repeats boolean, fixed_sizes boolean, base int, last_batch string, "
+    "version int"
 )
 
 
@@ -53,6 +54,15 @@ class Index:
     part_rows: int
     single_row: bool
     id_type: str
+    repeats: bool = False  # whether a document may have several rows and entries
+    fixed_sizes: bool = False  # whether the caller chose buckets and parts
+    base: int = 0  # first batch that counts; earlier ones were rewritten by ``compact``
+    last_batch: str = ""  # name of the stream batch that came last
+
+    @property
+    def scattered(self) -> bool:
+        """Whether a document may have several entries of one term."""
+        return self.repeats or (not self.single_row and self.version > self.base)
 
     def _read(self, table: str, schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{table}")
@@ -64,12 +74,12 @@ class Index:
             "terms array<struct<term: string, tf: int>>, batch int"
         )
         rows = self._read("documents", schema)
-        return rows.filter(F.col("batch") <= self.version)
+        return rows.filter(F.col("batch").between(self.base, self.version))
 
     def docs(self) -> DataFrame:
         """``(doc_id, title, doc_len)``, one row per document."""
         rows = self.forward().select("doc_id", "title", "doc_len")
-        if self.single_row:
+        if self.single_row and not self.repeats:
             return rows
         return rows.groupBy("doc_id").agg(
             F.min("title").alias("title"), F.sum("doc_len").alias("doc_len")
@@ -95,18 +105,30 @@ class Index:
     def posting_table(self) -> DataFrame:
         """All entries with part and bucket, before the document-frequency filter."""
         schema = (
-            f"term string, part int, doc_id {self.id_type}, tf int, batch int, bucket int"
+            f"term string, part int, doc_id {self.id_type}, tf int, doc_len bigint, "
+            "batch int, bucket int"
         )
         rows = self._read("postings", schema)
-        return rows.filter(F.col("batch") <= self.version).drop("batch")
+        return rows.filter(F.col("batch").between(self.base, self.version)).drop("batch")
+
+    def postings(self, lengths: bool = False) -> DataFrame:
+        """``(term, doc_id, tf)`` of the vocabulary, with ``doc_len`` if asked for.
 
-    def postings(self) -> DataFrame:
-        """``(term, doc_id, tf)`` of the vocabulary."""
+        Repeated documents keep their repeated entries; a document spread over rows has
+        one entry per term.
+        """
         rows = self.posting_table()
         if self.min_df > 0:
             places = self.place(self.vocabulary().select("term", "df"))
             rows = rows.join(places, ["bucket", "term", "part"], "left_semi")
-        return rows.select("term", "doc_id", "tf")
+        if not self.single_row and self.scattered:
+            rows = rows.groupBy("term", "doc_id").agg(F.sum("tf").cast("int").alias("tf"))
+        if not lengths:
+            return rows.select("term", "doc_id", "tf")
+        if self.single_row and not self.repeats:
+            return rows.select("term", "doc_id", "tf", "doc_len")
+        sizes = self.docs().select("doc_id", "doc_len")
+        return rows.select("term", "doc_id", "tf").join(sizes, "doc_id")
 
     def place(self, terms: DataFrame) -> DataFrame:
         """Add ``part`` and ``bucket`` to rows with ``term`` and ``df``, a row per part."""
@@ -131,9 +153,9 @@ def write_documents(rows: DataFrame, path: str, batch: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/documents/batch={batch}")
 
 
-def write_terms(terms: DataFrame, path: str, version: int) -> None:
-    """Write term statistics by bucket, sorted by term."""
-    bucketed = terms.repartition("bucket")
+def write_terms(terms: DataFrame, path: str, version: int, buckets: int) -> None:
+    """Write term statistics by bucket, each by a task of its own, sorted by term."""
+    bucketed = terms.repartitionById(buckets, F.col("bucket"))
     ordered = bucketed.sortWithinPartitions("bucket", "term")
     target = f"{path}/terms/version={version}"
     ordered.write.mode("overwrite").partitionBy("bucket").parquet(target)
@@ -142,7 +164,7 @@ def write_terms(terms: DataFrame, path: str, version: int) -> None:
 def write_postings(
     entries: DataFrame, path: str, batch: int, buckets: int, slices: int
 ) -> None:
-    """Write ``(term, part, doc_id, tf)`` rows by bucket, sorted by term and document.
+    """Write ``(term, part, doc_id, tf[, doc_len])`` rows by bucket, sorted by term and document.
 
     Every task owns one slice of one bucket and so writes one file.  ``slices`` is a
     multiple of ``buckets``.
@@ -168,6 +190,10 @@ def write_meta(index: Index) -> None:
         F.lit(index.part_rows).cast("bigint").alias("part_rows"),
         F.lit(index.single_row).alias("single_row"),
         F.lit(index.id_type).alias("id_type"),
+        F.lit(index.repeats).alias("repeats"),
+        F.lit(index.fixed_sizes).alias("fixed_sizes"),
+        F.lit(index.base).alias("base"),
+        F.lit(index.last_batch).alias("last_batch"),
     )
     row.write.mode("overwrite").parquet(f"{index.path}/meta/version={index.version}")
 
@@ -207,6 +233,19 @@ def delete_index(spark: SparkSession, path: str) -> bool:
     return removed
 
 
+def drop_old_versions(index: Index) -> None:
+    """Remove what only earlier versions than ``index`` read."""
+    for table, key, last in (
+        ("meta", "version", index.version - 1),
+        ("terms", "version", index.version - 1),
+        ("postings", "batch", index.base - 1),
+        ("documents", "batch", index.base - 1),
+    ):
+        for number in range(last + 1):
+            files, folder = _hadoop(index.spark, f"{index.path}/{table}/{key}={number}")
+            files.delete(folder, True)
+
+
 def id_type_of(docs: DataFrame) -> str:
     """SQL name of the document id type; ids are bigint or string."""
     return "string" if isinstance(docs.schema["doc_id"].dataType, T.StringType) else "bigint"

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from termloom.sources.shared import spread_rows
 
@@ -15,9 +16,17 @@ def scan_documents(spark: SparkSession, path: str, id_column: str = "id") -> Dat
 
 
 def scan_pagerank(spark: SparkSession, path: str) -> DataFrame:
-    """``(id, rank, row_no)`` from CSV without a header; ``row_no`` follows file order."""
+    """``(id, rank, row_no)`` from CSV without a header.
+
+    ``row_no`` follows file order: it sorts by file path, then place in the file.
+    """
     rows = spark.read.schema("id bigint, rank double").csv(path, header=False)
-    return rows.withColumn("row_no", F.monotonically_increasing_id())
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    return rows.select("id", "rank", place.alias("row_no"))
 
 
 def write_pagerank(ranks: DataFrame, path: str) -> None:
@@ -30,15 +39,16 @@ def scan_pageviews(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_qrels(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """``(query_text, doc_id)`` from JSON objects ``{query: [id, ...], ...}``.
+    """``(query_id, query_text, doc_id)`` from JSON objects ``{query: [id, ...], ...}``.
 
-    Normally a line holds an object, so large files are read in splits.  ``whole_files``
+    The query id is a hash of the text.  Normally a line holds an object, so large files are read in splits.  ``whole_files``
     is for an object that spans lines, one per file.
     """
     lines = spark.read.text(path, wholetext=whole_files)
     parsed = F.from_json("value", "map<string,array<bigint>>")
     per_query = lines.select(F.explode(parsed).alias("query_text", "ids"))
-    return per_query.select("query_text", F.explode("ids").alias("doc_id"))
+    query_id = F.xxhash64("query_text").alias("query_id")
+    return per_query.select(query_id, "query_text", F.explode("ids").alias("doc_id"))
 
 
 def write_qrels(qrels: DataFrame, path: str, block_docs: int = 65_536) -> None:
@@ -46,7 +56,10 @@ def write_qrels(qrels: DataFrame, path: str, block_docs: int = 65_536) -> None:
 
     A query with many relevant documents takes several lines, one per range of ids.
     """
-    block = F.floor(F.col("doc_id") / block_docs)
+    if isinstance(qrels.schema["doc_id"].dataType, StringType):
+        block = F.pmod(F.xxhash64("doc_id"), F.lit(64))
+    else:
+        block = F.floor(F.col("doc_id") / block_docs)
     lists = qrels.groupBy("query_text", block.alias("block")).agg(
         F.sort_array(F.collect_list("doc_id")).alias("ids")
     )
@@ -67,9 +80,12 @@ def page_titles(pages: DataFrame) -> DataFrame:
 
 def anchor_source(pages: DataFrame) -> DataFrame:
     """``(target, anchor_text)``, one row per link in ``pages(html)``."""
-    pattern = F.lit(LINK_PATTERN)
-    pairs = F.arrays_zip(
-        F.regexp_extract_all("html", pattern, F.lit(1)).alias("target"),
-        F.regexp_extract_all("html", pattern, F.lit(2)).alias("anchor_text"),
+    links = F.regexp_extract_all("html", F.lit(LINK_PATTERN), F.lit(0))
+    parts = F.transform(
+        links,
+        lambda link: F.struct(
+            F.regexp_extract(link, LINK_PATTERN, 1).alias("target"),
+            F.regexp_extract(link, LINK_PATTERN, 2).alias("anchor_text"),
+        ),
     )
-    return spread_rows(pages).select(F.inline(pairs).alias("target", "anchor_text"))
+    return spread_rows(pages).select(F.inline(parts).alias("target", "anchor_text"))

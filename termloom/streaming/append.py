@@ -12,17 +12,17 @@ def append_stream(
 ) -> StreamingQuery:
     """Append what has arrived on ``docs(doc_id, text[, title])`` and stop.
 
-    The first batch builds the index with ``settings``, later ones append to it.  A batch
-    that is run again after a failure adds nothing twice, as documents already in the
-    index are left out.
+    The first batch builds the index with ``settings``, later ones append to it.  The
+    index keeps the name of the batch that came last, so a batch that is run again after a
+    failure adds nothing twice, whatever its documents.
     """
 
-    def store(batch: DataFrame, _batch_id: int) -> None:
-        spark = batch.sparkSession
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark, name = batch.sparkSession, f"{checkpoint}#{batch_id}"
         if index_exists(spark, path):
-            add_documents(read_index(spark, path), batch)
+            add_documents(read_index(spark, path), batch, batch=name)
         else:
-            build_index(batch, path, **settings)
+            build_index(batch, path, last_batch=name, **settings)
 
     writer = docs.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

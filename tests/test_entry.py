@@ -8,7 +8,13 @@ import pytest
 import __spark_entry__ as entry_module
 
 DATA = Path("/root/testdata/sf0.001")
-SAMPLE = ["min_df_filter", "scan_index", "search", "search_body_cosine", "search_title"]
+SAMPLE = [
+    "add_documents_repeats", "append_anchors", "compact", "doc_matrix_dense", "evaluate",
+    "evaluate_from_file", "in_vocabulary", "min_df_filter", "posting_lists_anchor", "scan_index",
+    "scan_pagerank_repeats", "scan_qrels", "search", "search_all_pairs", "search_anchor_titled",
+    "search_body_cosine", "search_few_pairs", "search_repeats", "search_title",
+    "tokenize_no_stop_rare",
+]
 
 
 def test_names_agree():

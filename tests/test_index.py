@@ -7,7 +7,9 @@ from conftest import MINI_STOP
 from termloom import add_documents, build_index, delete_index, read_index
 from termloom.operators import postings as ops
 from termloom.plans import build as build_module
-from termloom.sources.index_store import index_exists
+from termloom.plans import search
+from termloom.plans.build import compact
+from termloom.sources.index_store import drop_old_versions, index_exists
 from termloom.streaming.append import append_stream
 
 DF = dict(boat=2, dinghy=1, duck=3, food=1, life=1, pond=2, race=1, rubber=2)
@@ -173,3 +175,93 @@ def test_properties_on_documents(spark, build):
     assert totals[1] >= 0
     lengths = index.docs().agg(F.sum("doc_len")).first()[0]
     assert lengths == index.terms().agg(F.sum("term_total")).first()[0]
+
+
+def asked(spark, text):
+    return spark.createDataFrame([(1, text)], "query_id bigint, query_text string")
+
+
+def test_a_document_added_again_is_one_document(build, mini, spark):
+    once = build(mini)
+    twice = add_documents(once, mini.filter("doc_id = 1"), repeats=True)
+    assert twice.repeats and twice.n_docs == 5
+    rows = search.search_body_cosine(twice, twice, asked(spark, "rubber duck")).collect()
+    assert all(r.score <= 1.0 for r in rows) and len({r.doc_id for r in rows}) == len(rows)
+    ranked = search.search(twice, twice, asked(spark, "rubber duck")).collect()
+    assert [r.rank for r in ranked] == list(range(1, len(ranked) + 1))
+    terms = search.query_terms(twice, asked(spark, "rubber duck"))
+    pairs = [(r.doc_id, r.term) for r in search.candidates(twice, terms).collect()]
+    assert len(set(pairs)) == len(pairs)
+
+
+def test_an_id_given_twice_in_a_batch(build, mini, spark):
+    rows = spark.createDataFrame([(7, "duck boat", None), (7, "duck", None)], mini.schema)
+    index = build(mini.unionByName(rows))
+    assert index.repeats and index.n_docs == 6
+    hits = {r.doc_id: r.hits for r in search.index_hits(index, asked(spark, "duck boat")).collect()}
+    assert hits[7] == 2
+    docs = {r.doc_id: r.doc_len for r in index.docs().collect()}
+    assert docs[7] == 3
+
+
+def test_rows_of_a_document_in_two_batches(build, spark):
+    def rows(*pairs):
+        return spark.createDataFrame(pairs, "doc_id string, text string")
+
+    index = build(rows(("x", "rubber duck"), ("y", "duck")), single_row=False)
+    index = add_documents(index, rows(("x", "duck"), ("z", "rubber")))
+    assert {r.term: r.df for r in index.terms().collect()} == {"duck": 2, "rubber": 2}
+    hits = {r.doc_id: r.hits for r in search.index_hits(index, asked(spark, "rubber duck")).collect()}
+    assert hits == {"x": 2, "y": 1, "z": 1}
+    whole = build(rows(("x", "rubber duck"), ("y", "duck"), ("x", "duck"), ("z", "rubber")), single_row=False)
+    assert content(index) == content(whole) == content(compact(index))
+
+
+def test_a_stream_batch_is_stored_once(build, spark):
+    links = spark.createDataFrame([("x", "duck")], "doc_id string, text string")
+    index = build(links, single_row=False, last_batch="s#0")
+    assert add_documents(index, links, batch="s#0") is index
+    more = add_documents(index, links, batch="s#1")
+    assert read_index(spark, more.path).last_batch == "s#1"
+
+
+def test_growth_brings_more_buckets(build, mini, spark, monkeypatch):
+    for name, value in (("SMALL_BUCKET_ROWS", 20), ("PART_ROWS", 10)):
+        monkeypatch.setattr(build_module, name, value)
+    words = [(100 + i, " ".join(f"word{(i * 7 + k) % 40}" for k in range(8)), None) for i in range(60)]
+    more = spark.createDataFrame(words, mini.schema)
+    index = build(mini, buckets=None)
+    assert index.buckets == 1
+    grown = add_documents(index, more)
+    assert grown.buckets > 4 and grown.base == grown.version
+    whole = build(mini.unionByName(more))
+    assert content(grown) == content(whole)
+    drop_old_versions(grown)
+    assert content(read_index(spark, grown.path)) == content(whole)
+    assert content(add_documents(grown, mini)) == content(whole)
+
+
+def test_many_batches_are_compacted(build, mini, monkeypatch):
+    monkeypatch.setattr(build_module, "MAX_BATCHES", 3)
+    index = build(mini.filter("doc_id = 1"))
+    for i in range(2, 6):
+        index = add_documents(index, mini.filter(f"doc_id = {i}"))
+    assert index.version - index.base < 3
+    assert content(index) == content(build(mini))
+
+
+def test_documents_given_as_tokens(build, mini, spark):
+    rows = [(1, ["Duck", "duck", None, "the"]), (2, None), (3, [])]
+    index = build(spark.createDataFrame(rows, "doc_id bigint, tokens array<string>"))
+    assert content(index)[0] == [("Duck", 1, 1), ("duck", 1, 1)]
+
+
+def test_posting_lists_of_string_ids(build, spark):
+    rows = spark.createDataFrame([("a", "red red"), ("b", "red")], "doc_id string, text string")
+    lists = ops.posting_lists(build(rows).postings()).collect()
+    entries = sorted((p.doc_id, p.tf) for r in lists for p in r.postings)
+    assert entries == [("a", 2), ("b", 1)]
+
+
+def test_no_index_where_there_is_nothing(spark, tmp_path):
+    assert not index_exists(spark, str(tmp_path / "none"))
