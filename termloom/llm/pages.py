@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from termloom.llm.common import bounded_sample
+
 # Fixed values of HTML: block elements, those whose content is not markup, those without content.
 BLOCKS = set(
     "address article aside blockquote body button caption center dd details dialog div dl dt "
@@ -430,9 +432,12 @@ def labelled_pages(texts: list[str], count: int, seed: int = 11) -> list[tuple[s
 
 def fit(pages: DataFrame, html_column: str = "html", max_pages: int = 200, count: int = 500) -> Model:
     """Trains on ``count`` labelled pages filled with the text of ``max_pages`` given ones."""
-    order = [F.xxhash64(html_column), F.col(html_column)]
-    sample = pages.select(html_column).filter(F.col(html_column).isNotNull()).orderBy(*order)
-    texts = [b.text for row in sample.limit(max_pages).collect() for b in leaf_blocks(row[0])]
+    # Chosen by hash and looked up, so that no more than the sample's pages leave their tasks.
+    name = F.xxhash64(html_column).alias("name")
+    given = pages.filter(F.col(html_column).isNotNull()).select(name, F.col(html_column).alias("html"))
+    chosen = bounded_sample(given.select("name").distinct(), "name", max_pages, "pages")
+    sample = given.join(F.broadcast(chosen), "name").dropDuplicates(["name"]).orderBy("name")
+    texts = [b.text for row in sample.select("html").collect() for b in leaf_blocks(row[0])]
     known = []
     for page, labels in labelled_pages(texts, count):
         blocks = leaf_blocks(page)
