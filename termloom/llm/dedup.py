@@ -51,7 +51,7 @@ POISSON = {
     for area in {*HEIGHTS.tolist(), 1.0}
 }
 # Elements handled at once, so that very long texts need no more memory than short ones.
-ELEMENTS = 200_000
+ELEMENTS = 30_000
 STEP = U64(0x9E3779B97F4A7C15)
 
 
