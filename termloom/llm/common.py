@@ -1,5 +1,7 @@
 """What several of these operators share: words, folds, bounded samples, document keys."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -45,6 +47,18 @@ def set_aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str
     return df.withColumnsRenamed(moved), {new: name for name, new in moved.items()}
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500):
+    """Arrow batches of few rows for the jobs run inside; texts and sets make rows large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def bounded_sample(df: DataFrame, key: str, rows: int, seed: str) -> DataFrame:
     """``rows`` rows by least hash of ``key`` (all, if fewer).
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termloom.llm.common import WORD, text_of
+from termloom.llm.common import WORD, small_batches, text_of
 from termloom.llm.components import connected
 from termloom.llm.hashing import U64, RunHasher, WordHasher, mix, unit
 from termloom.sources.shared import materialize
@@ -200,7 +200,9 @@ def classes(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     made = ["node", "class_id", "class_size", "kept"]
     docs = docs.drop(*(c for c in made if c != "doc_id"))
     node = F.xxhash64(text_of())
-    roots = materialize(roots_of(docs.select(node.alias("node"), text_of().alias("text")), rounds), "dedup-roots")
+    texts = docs.select(node.alias("node"), text_of().alias("text"))
+    with small_batches(docs.sparkSession):
+        roots = materialize(roots_of(texts, rounds), "dedup-roots")
     blank = ~F.regexp_like(text_of(), F.lit(WORD))
     named = docs.withColumns({"node": node, "_blank": blank}).drop("text")
     rows = named.join(roots.withColumnRenamed("node", "_of"), F.col("node") == F.col("_of"), "left")
