@@ -14,6 +14,10 @@ pairs are listed: every member is compared with two of them, the least and the g
 *Classes.*  Connected components of the links.  Where a bucket still holds several classes, one
 member of each class (another in every bucket and round) is compared with up to ``SLICES`` of the
 bucket's largest class and of one other, ``ROUNDS`` times.  At similarity 0.8 a pair shares a bucket with a chance of 0.9998.
+*Rest.*  Buckets that then still hold several classes are settled exactly: of the members of such buckets
+all pairs of different classes are compared, but for those that a prefix filter proves to be less
+similar.  Shingles are put in one order, rare ones first; two texts similar enough have their
+first common shingle so early in both that enough shingles are left after it.
 
 Copies are one text from the start: a group of copies is one node.  Texts are named by 64-bit hashes.
 
@@ -42,6 +46,12 @@ BANDS, ROWS = 16, 4
 K = BANDS * ROWS
 ROUNDS = 3
 SLICES = 8
+# Of the shingles of two texts together, the share that similar enough ones have in common.
+COMMON = LEAST_SIMILARITY / (1 + LEAST_SIMILARITY)
+# Counters by which shingles are put in order; two in one counter only look more frequent.
+COUNTERS = 1 << 20
+# A shingle that begins more texts than this meets its other join side in several pieces.
+PIECE_ROWS = 1_000
 # Heights of the cells below 1, lowest first; from 1 on every cell has height 1.
 LOW = [0.0, *(2.0**-i for i in range(6, 0, -1))]
 HEIGHTS = np.diff([*LOW, 1.0])
@@ -259,9 +269,111 @@ def roots_of(texts: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = materialize(connected(links), "dedup-round")
+    more = _rest(members, roots, sets)
+    if more is not None:
+        found = materialize(_checked(more, sets), "dedup-links")
+        if not found.isEmpty():
+            roots = materialize(connected(links.unionByName(found)), "dedup-round")
     return roots
 
 
+def _rest(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """Pairs of different classes, of all nodes in buckets that still hold several classes: every
+    pair that can reach the limit is among them."""
+    rows = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # In a bucket of three every pair has met already.
+    held = rows.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    held = held.filter((F.col("n") > 3) & (F.col("low") != F.col("high"))).select("bucket")
+    nodes = materialize(rows.join(held, "bucket").select("node", "root").distinct(), "dedup-open")
+    if nodes.isEmpty():
+        return None
+    left = materialize(sets.join(nodes, "node"), "dedup-open-sets")
+    entries = materialize(_first_shingles(left, _frequencies(left)), "dedup-first")
+
+    per_class = entries.groupBy("shingle", "root").agg(F.count("*").alias("n"))
+    shared = per_class.groupBy("shingle").agg(
+        F.max_by("root", F.struct("n", "root")).alias("largest"),
+        F.sum("n").alias("n"),
+        F.count("*").alias("classes"),
+    )
+    pieces = F.ceil(F.col("n") / PIECE_ROWS).cast("int").alias("pieces")
+    shared = materialize(shared.filter(F.col("classes") > 1).select("shingle", "largest", pieces), "dedup-shared")
+    met = materialize(entries.join(shared, "shingle"), "dedup-met")
+    # The largest class of a shingle meets the others there, but not itself.
+    own = F.col("root") == F.col("largest")
+    before = F.col("size") - F.col("at")
+    a = met.filter(before + 1e-6 >= 2 * COMMON * F.col("size")).select(
+        "shingle",
+        F.pmod(F.xxhash64("node"), "pieces").cast("int").alias("piece"),
+        F.explode(F.when(own, F.array(F.lit(False))).otherwise(F.array(F.lit(True), F.lit(False)))).alias("with_own"),
+        F.col("node").alias("a"), F.col("root").alias("root_a"),
+        F.col("size").alias("size_a"), before.alias("rest_a"),
+    )
+    b = met.select(
+        "shingle",
+        F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"),
+        own.alias("with_own"),
+        F.col("node").alias("b"), F.col("root").alias("root_b"),
+        F.col("size").alias("size_b"), before.alias("rest_b"),
+    )
+    pairs = a.join(b, ["shingle", "piece", "with_own"]).filter(
+        (F.col("root_a") != F.col("root_b"))
+        & ((F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b"))))
+        & (F.col("size_a") + 1e-6 >= LEAST_SIMILARITY * F.col("size_b"))
+        & (F.least("rest_a", "rest_b") + 1e-6 >= COMMON * (F.col("size_a") + F.col("size_b")))
+    )
+    pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    return materialize(pairs.distinct(), "dedup-pairs")
+
+
+def _counter(shingles: np.ndarray) -> np.ndarray:
+    return (shingles * np.uint32(0x9E3779B1)) >> np.uint32(32 - COUNTERS.bit_length() + 1)
+
+
+def _frequencies(sets: DataFrame) -> np.ndarray:
+    """In how many sets the shingles of each counter are."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(COUNTERS, dtype=np.int64)
+        for batch in batches:
+            for s in batch["shingles"]:
+                np.add.at(total, _counter(np.frombuffer(s, np.uint32)), 1)
+        used = np.flatnonzero(total)
+        yield pd.DataFrame({"counter": used.astype(np.int32), "n": total[used]})
+
+    per_task = sets.select("shingles").mapInPandas(run, "counter int, n long")
+    # Counters not given are 1: the shingle is in one set.
+    summed = per_task.groupBy("counter").agg(F.sum("n").alias("n")).filter(F.col("n") > 1).toArrow()
+    out = np.ones(COUNTERS, dtype=np.int64)
+    out[summed["counter"].to_numpy()] = summed["n"].to_numpy()
+    return out
+
+
+def _first_shingles(sets: DataFrame, frequencies: np.ndarray) -> DataFrame:
+    """``(shingle, node, root, size, at)``: of each set the rarest shingles, as far as the first one
+    in common with a similar set can be, but for those that no other set has."""
+    schema = "shingle int, node long, root long, size int, at int"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for node, root, s in zip(batch["node"], batch["root"], batch["shingles"], strict=True):
+                own = np.frombuffer(s, np.uint32)
+                often = frequencies[_counter(own)]
+                n = int(len(own) * (1 - LEAST_SIMILARITY) + 1e-6) + 1
+                order = np.lexsort((own, often))[:n]
+                at = np.flatnonzero(often[order] > 1)
+                yield pd.DataFrame(
+                    {
+                        "shingle": own[order][at].view(np.int32), "node": node, "root": root,
+                        "size": np.int32(len(own)), "at": at.astype(np.int32),
+                    }
+                )
+
+    return sets.select("node", "root", "shingles").mapInPandas(run, schema)
+
+
 def _between_classes(members: DataFrame, roots: DataFrame, number: int) -> DataFrame:
     """Pairs across the classes of a bucket: a member of each class with some members of the
     largest class and of another one, which changes from round to round."""

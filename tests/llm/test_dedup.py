@@ -105,6 +105,23 @@ def test_classes_equal_brute_force(docs_of):
     assert all(r.class_size == sizes[r.class_id] for r in rows)
 
 
+def test_pairs_on_one_template(docs_of):
+    """Many near-duplicate pairs in the same buckets, all on one passage; of different lengths too."""
+    pick = random.Random(6)
+    passage = prose(pick, 300)
+    texts = {}
+    for i in range(300):
+        own = [f"o{pick.randrange(10**7)}" for _ in range(pick.choice([50, 51, 52]))]
+        copy = list(own)
+        for k in range(7):
+            copy[4 + 6 * k] = f"x{pick.randrange(10**7)}"
+        texts[2 * i], texts[2 * i + 1] = " ".join(passage + own), " ".join(passage + copy)
+    rows = dedup.classes(docs_of(list(texts.items()))).collect()
+    wanted = brute_classes(texts)
+    assert len(set(wanted.values())) == 300
+    assert {r.doc_id: r.class_id for r in rows} == wanted
+
+
 def test_dedup_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     rows = queries.op3_minhash_dedup(spark, DATA).collect()
