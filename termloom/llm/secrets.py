@@ -5,7 +5,8 @@ JSON web tokens, private keys, passwords in addresses, opaque tokens) are report
 says so: the value of every candidate is hashed and counted by distinct repositories and owners.
 A value held by more than ``max_owners`` owners is a widely copied *example*; one of few owners
 that looks random is *live*; the rest is weak.  Only live further candidates outside base spans
-become spans.
+become spans.  Where candidates overlap, the live ones of the first kind in ``FURTHER`` take the place, so that
+a weak or example candidate hides nothing; example ones count outside those.
 
 Counting needs no text: rows of hashes are pre-aggregated to distinct (hash, repository, owner),
 so a value in a third of all rows is a few rows per task.  An owner is the part of the
@@ -51,13 +52,23 @@ FURTHER = {
         14,
     ),
     "jwt": (r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 29),
-    "private": (r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}", 0, 40),
+    "private": (
+        r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?:\s{1,64}[A-Za-z][A-Za-z0-9-]*+:[^\r\n]*+){0,64}"
+        r"[A-Za-z0-9+/=\s]{16,}",
+        0,
+        40,
+    ),
     "url": (r"[A-Za-z][A-Za-z0-9+.-]{1,15}://[^\s/:@]{1,64}:([^\s/:@]{6,128})@", 1, 6),
     "opaque": (r"[A-Za-z0-9+/_-]{24,}", 0, 24),
 }
 KINDS = {**BASE, **FURTHER}
 NUMBER = {kind: i for i, kind in enumerate(KINDS)}
-PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your[_-]|x{6,}|(.)\1{5,}|123456"
+WORDS = r"(?i)example|sample|dummy|changeme|placeholder|your[_-]|123456"
+PLACEHOLDER = WORDS + r"|x{6,}|(.)\1{5,}"
+# Runs of one letter are part of every key of some formats: base64 of zeros.
+ENCODED = ("jwt", "private")
+# What is the same in private keys: the first line and header lines.
+ARMOR = r"-----BEGIN [A-Z ]*PRIVATE KEY-----|(?m)^\s*[A-Za-z][A-Za-z0-9-]*:.*$"
 
 
 @dataclass(frozen=True)
@@ -70,8 +81,10 @@ class Ownership:
 
 
 def _random_looking(kind: str, value: Column, rules: Ownership) -> Column:
+    if kind == "private":
+        value = F.regexp_replace(value, ARMOR, "")
     different = F.size(F.array_distinct(F.split(value, "")))
-    good = (different >= rules.min_distinct) & ~value.rlike(PLACEHOLDER)
+    good = (different >= rules.min_distinct) & ~value.rlike(WORDS if kind in ENCODED else PLACEHOLDER)
     if kind == "opaque":
         good = good & value.rlike("[0-9]") & value.rlike("[a-z]") & value.rlike("[A-Z]")
     return good
@@ -128,16 +141,19 @@ def with_candidates(docs: DataFrame, text_column: str, rules: Ownership) -> Data
         return F.array_sort(reduce(F.concat, [find(text, k, rules) for k in kinds]))
 
     df = docs.withColumns({"_k1": k1, "_k2": k2, "_base": both(BASE)})
-    # Each kind in turn, so that a further candidate is taken once.
-    more = reduce(
-        lambda taken, kind: let(
-            taken,
-            lambda t: F.concat(t, _outside(find(text, kind, rules), F.concat(F.col("_base"), t))),
-        ),
-        list(FURTHER)[1:],
-        _outside(find(text, list(FURTHER)[0], rules), F.col("_base")),
+    # Those of different kinds may overlap until it is known which are live.
+    return df.withColumn("_more", _outside(both(FURTHER), F.col("_base")))
+
+
+def _taken(spans: Column, taken: Column) -> Column:
+    """``taken`` and those of ``spans`` outside it, each kind in turn, so that kinds do not overlap."""
+
+    def of(kind):
+        return F.filter(spans, lambda s: s["kind"] == NUMBER[kind])
+
+    return reduce(
+        lambda before, kind: let(before, lambda t: F.concat(t, _outside(of(kind), t))), FURTHER, taken
     )
-    return df.withColumn("_more", F.array_sort(more))
 
 
 def ownership(found: DataFrame, repository: str, rules: Ownership) -> DataFrame:
@@ -167,11 +183,22 @@ def _judged(found: DataFrame, values: DataFrame) -> DataFrame:
     """Per document: the live further spans and the number of live and example candidates."""
     rows = found.select(*KEYS, F.explode(F.concat("_base", "_more")).alias("s")).distinct()
     rows = rows.withColumn("hash", F.col("s.hash")).join(values.select("hash", "state"), "hash")
-    live = (F.col("state") == "live") & (F.col("s.kind") >= len(BASE))
-    return rows.groupBy(*(F.col(k).alias(f"_of{k}") for k in KEYS)).agg(
-        F.collect_list(F.when(live, F.col("s"))).alias("_live"),
-        F.count_if(F.col("state") == "live").alias("n_live"),
-        F.count_if(F.col("state") == "example").alias("n_example"),
+    live, example = F.col("state") == "live", F.col("state") == "example"
+    further = F.col("s.kind") >= len(BASE)
+    per_document = rows.groupBy(*(F.col(k).alias(f"_of{k}") for k in KEYS)).agg(
+        F.collect_list(F.when(live & further, F.col("s"))).alias("_live"),
+        F.collect_list(F.when(example & further, F.col("s"))).alias("_example"),
+        F.count_if(live & ~further).alias("n_live"),
+        F.count_if(example & ~further).alias("n_example"),
+    )
+    none = F.array().cast(f"array<{SPAN}>")
+    placed = per_document.withColumn("_live", _taken(F.col("_live"), none))
+    both = F.size(_taken(F.col("_example"), F.col("_live")))
+    return placed.select(
+        *(f"_of{k}" for k in KEYS),
+        "_live",
+        (F.col("n_live") + F.size("_live")).alias("n_live"),
+        (F.col("n_example") + both - F.size("_live")).alias("n_example"),
     )
 
 
