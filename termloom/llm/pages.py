@@ -38,6 +38,8 @@ BLOCKS = set(
 )
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math"}
 RAW_END = {name: re.compile(f"</{name}", re.I) for name in RAW}
+# Start tags that leave an open head open; any other one, or text, ends it.
+IN_HEAD = set("html head title meta link base basefont bgsound style script noscript noframes template".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 # An opening tag ends an open element of these names, up to the named boundary.
 ENDS = {
@@ -85,6 +87,12 @@ def leaf_blocks(page) -> list[Block]:
         parts.clear()
         linked = 0
 
+    def end_head() -> None:
+        for k, (tag, _) in enumerate(stack):
+            if tag == "head":
+                close(k)
+                break
+
     def close(upto: int) -> None:
         nonlocal links
         if any(tag in BLOCKS for tag, _ in stack[upto:]):
@@ -97,6 +105,8 @@ def leaf_blocks(page) -> list[Block]:
         m = TOKEN.search(page, at)
         piece = page[at : m.start()] if m else page[at:]
         if piece:
+            if piece.strip():
+                end_head()
             parts.append(piece)
             if links:
                 linked += len(piece.strip())
@@ -116,6 +126,8 @@ def leaf_blocks(page) -> list[Block]:
                 if name in BLOCKS:
                     flush()
             continue
+        if name not in IN_HEAD:
+            end_head()
         if name == "br":
             parts.append(" ")
             continue
@@ -138,11 +150,6 @@ def leaf_blocks(page) -> list[Block]:
                         break
                     if stack[k][0] in ends:
                         close(k)
-            if name in ("body", "article", "main", "nav", "header", "div") and stack:
-                for k, (tag, _) in enumerate(stack):  # an unclosed head ends where a body part starts
-                    if tag == "head":
-                        close(k)
-                        break
         if name in VOID:
             continue
         words: tuple = ()

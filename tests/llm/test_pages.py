@@ -25,6 +25,13 @@ def test_blocks():
     assert texts(page) == ["a & b", "c d e", "f", "g", "h", "stray", "<i>"]
 
 
+@pytest.mark.parametrize("tag", ["h1", "p", "section", "ul", "table", "blockquote", "a", "span", "body"])
+def test_open_head_ends_at_body_content(tag):
+    page = f"<html><head><meta charset=x><title>no</title><script>no</script><{tag}>one</{tag}><p>two"
+    assert texts(page) == ["one", "two"]
+    assert texts("<head><title>no</title> bare<p>two") == ["bare", "two"]
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<script>x", "</p></p>", "<a href='x>y", "&#x0;<p>&bad;"])
 def test_broken_markup(page, model):
     assert isinstance(pages.main_text(page, model), str)
