@@ -4,18 +4,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
-
-MINI_STOP = ("the", "and")
-MINI_DOCS = [
-    (1, "Rubber duck rubber boat", "Rubber duck"),
-    (2, "Duck pond and duck food", "Duck"),
-    (3, "Boat race: rubber rubber rubber dinghy", "Dinghy race"),
-    (4, "Pond life", "Pond life"),
-    (5, "The duck!", None),
-]
-MINI_ANCHORS = [(1, "rubber duck"), (1, "duck"), (2, "duck pond"), (3, "boat")]
-MINI_QUERIES = [(1, "rubber duck"), (2, "duck boat zebra"), (3, "duck duck"), (4, "")]
+HERE = Path(__file__).resolve().parent
+sys.path[:0] = [str(HERE.parent), str(HERE)]
+
+from mini import MINI_ANCHORS, MINI_DOCS, MINI_QUERIES, MINI_STOP  # noqa: E402
 
 
 @pytest.fixture(scope="session")

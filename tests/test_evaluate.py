@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import MINI_STOP
+from mini import MINI_STOP
 from termloom import evaluate, get_pagerank, get_pageview, mean_average_precision
 from termloom.functions.weights import cosine
 from termloom.operators.ranking import top_per_group

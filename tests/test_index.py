@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import MINI_STOP
+from mini import MINI_STOP
 from termloom import add_documents, build_index, delete_index, read_index
 from termloom.operators import postings as ops
 from termloom.plans import build as build_module

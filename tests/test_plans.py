@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import MINI_STOP
+from mini import MINI_STOP
 from termloom.functions.text import BUILD_PATTERN
 from termloom.operators.matching import match_postings
 from termloom.operators.postings import document_frequency, word_count

@@ -6,7 +6,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import MINI_STOP
+from mini import MINI_STOP
 from termloom import (
     search,
     search_anchor,
