@@ -4,7 +4,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import bpe, dedup, language, mixing, pages, quality, repeats, secrets, topk, toxicity
+from termloom.llm import (
+    bpe,
+    dedup,
+    language,
+    mixing,
+    pages,
+    quality,
+    repeats,
+    secrets,
+    topk,
+    toxicity,
+    whitening,
+)
 from termloom.llm.common import held_out, table, text_of
 from termloom.llm.sql import ORACLE_SQL  # noqa: F401  (read by the entry point)
 
@@ -114,6 +126,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, model = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    explained = model.explained if model else []
+    per_component = found.select("id", "n", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    share = F.element_at(F.lit(explained).cast("array<double>"), F.col("place") + 1)
+    return per_component.select(
+        F.col("id").alias("vec_id"),
+        (F.col("place") + 1).alias("component"),
+        "n",
+        F.col("deviation").try_cast("bigint").alias("deviation"),
+        "whitened",
+        share.alias("explained"),
+        F.lit(model.identity_error if model else None).cast("double").alias("identity_error"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
@@ -125,4 +153,5 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_topk": op9_topk,
     "op10_quality_rules": op10_quality_rules,
+    "op12_whitening": op12_whitening,
 }
