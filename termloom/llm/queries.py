@@ -5,10 +5,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm import (
+    alignment,
     bpe,
     dedup,
     language,
     mixing,
+    neighbours,
     pages,
     quality,
     repeats,
@@ -126,6 +128,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, model = whitening.whiten(table(spark, sf_dir, "embeddings"))
     explained = model.explained if model else []
@@ -142,6 +149,16 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    aligned = alignment.align(table(spark, sf_dir, "documents"), *paths)
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    counted = alignment.with_counts(aligned.withColumn("groups_sha256", digest).drop("groups"))
+    return counted.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
@@ -153,5 +170,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_topk": op9_topk,
     "op10_quality_rules": op10_quality_rules,
+    "op11_multi_index": op11_multi_index,
     "op12_whitening": op12_whitening,
+    "op13_alignment": op13_alignment,
 }
