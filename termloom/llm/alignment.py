@@ -26,6 +26,7 @@ import json
 import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -39,7 +40,8 @@ from termloom.llm.common import small_batches
 from termloom.sources.shared import broadcast_within, materialize
 
 # Bytes of text in work at once; one longer text is taken alone.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
+ROW_UNITS = 32
 # Units remembered per task, some 100 MB; results do not depend on it.
 CACHE_UNITS = 400_000
 # Most pairs whose counts are sent to all tasks, some 5 MB.
@@ -49,6 +51,16 @@ MERGE_ROWS = 500_000
 # Bits of a key that hold the byte offset of an end.
 END_BITS = 40
 
+# How a byte-level vocabulary cuts texts before merging, and characters whose classes
+# in that pattern are the same in all versions of Unicode in use (letters, digits, signs; no rare spaces).
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+COMMON = (
+    r"\A[\x00-\x7f\x{a1}-\x{2ac}\x{391}-\x{3a1}\x{3a3}-\x{3ce}\x{400}-\x{482}\x{5d0}-\x{5ea}"
+    r"\x{621}-\x{63a}\x{641}-\x{64a}\x{905}-\x{939}\x{e01}-\x{e30}\x{2010}-\x{2027}\x{2030}-\x{205e}"
+    r"\x{3001}-\x{3003}\x{3041}-\x{3094}\x{30a1}-\x{30fa}\x{4e00}-\x{9fa5}\x{ac00}-\x{d7a3}]*\z"
+)
+CLOSED = r"[\pL\pN!-~]\z"
+
 Encoder = Callable[[list[str]], list[list[int]]]
 
 
@@ -61,15 +73,41 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Vocabulary:
-    """A tokenizer with the bytes of its tokens as Arrow arrays by id."""
+    """A tokenizer with the bytes of its tokens as Arrow arrays by id.
+
+    ``encode`` gives the ids of each unit, ``encode_all`` those of units of the characters in ``common`` in a row.
+    """
 
-    def __init__(self, encode: Encoder, tokens: list[bytes | None], by_unit: bool):
-        self.encode, self.by_unit = encode, by_unit
+    def __init__(self, encode: Encoder, encode_all: Callable[[list[str]], np.ndarray], common: str, tokens: list[bytes | None], by_unit: bool):
+        self.encode, self.encode_all, self.common, self.by_unit = encode, encode_all, common, by_unit
         known = [t or b"" for t in tokens]
         self.bytes = pa.array(known, pa.large_binary())
         self.lengths = pa.array([len(t) for t in known], pa.int64())
         self.names = pa.array([str(i) for i in range(len(known))])
 
+    def lists(self, units: pa.Array) -> pa.ListArray:
+        """The ids of distinct units.
+
+        Units that leave a cut behind them are encoded as one long text, and its tokens dealt back to
+        them by their bytes; all others one by one.
+        """
+        if not (self.by_unit and len(units)):
+            return pa.array(self.encode(units.to_pylist()), pa.list_(pa.int32()))
+        plain = pc.and_(pc.match_substring_regex(units, CLOSED), pc.match_substring_regex(units, self.common))
+        long, single = units.filter(plain), units.filter(pc.invert(plain))
+        ids = pa.array(self.encode_all(long.to_pylist()) if len(long) else [], pa.int32())
+        ends = np.cumsum(pc.binary_length(long).to_numpy().astype(np.int64) + 1)
+        total = pc.cumulative_sum(self.lengths.take(ids)).to_numpy()
+        stops = np.searchsorted(total, ends) + 1
+        if len(long) and not (stops[-1] == len(ids) and np.array_equal(total[stops - 1], ends)):
+            # Not given back byte for byte, so not to be told apart.
+            return pa.array(self.encode(units.to_pylist()), pa.list_(pa.int32()))
+        offsets = pa.array(np.insert(stops, 0, 0).astype(np.int32))
+        apart = pa.array(self.encode(single.to_pylist()) if len(single) else [], pa.list_(pa.int32()))
+        both = pa.concat_arrays([pa.ListArray.from_arrays(offsets, ids), apart])
+        plain = plain.to_numpy(zero_copy_only=False)
+        return both.take(pa.array(np.where(plain, np.cumsum(plain) - 1, len(long) + np.cumsum(~plain) - 1)))
+
 
 class Coder:
     """The ids of units by both tokenizers, as lists; units met before are not encoded again."""
@@ -91,20 +129,25 @@ class Coder:
         new = [u for u in wanted if u not in place]
         if new:
             place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
-            for i, v in enumerate(self.vocabularies):
-                self.lists[i] = pa.concat_arrays([self.lists[i], pa.array(v.encode(new), pa.list_(pa.int32()))])
+            fresh = pa.array(new, pa.string())
+            self.lists = [pa.concat_arrays([m, v.lists(fresh)]) for m, v in zip(self.lists, self.vocabularies, strict=True)]
         at = pa.array([place[u] for u in wanted], pa.int32()).take(coded.indices)
         return [lists.take(at) for lists in self.lists]
 
 
 @lru_cache(maxsize=2)
 def byte_bpe(file: bytes) -> Vocabulary:
-    """Tokenizer A from the content of its JSON file."""
+    """Tokenizer A from the content of its JSON file.
+
+    Where ids follow the order of the merges, ``tiktoken`` gives the same ids from the file's own vocabulary
+    in a fifth of the time; it is asked for common characters only.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(file.decode())
     tokenizer.encode_special_tokens = True
+    content = json.loads(file)
     alphabet, tokens = byte_alphabet(), {}
     for token, i in tokenizer.get_vocab().items():
         tokens[i] = bytes(map(alphabet.__getitem__, token)) if all(c in alphabet for c in token) else token.encode()
@@ -113,10 +156,34 @@ def byte_bpe(file: bytes) -> Vocabulary:
         given = [f" {u}" for u in units]
         return [e.ids for e in tokenizer.encode_batch_fast(given, add_special_tokens=False)]
 
-    pre = json.loads(file).get("pre_tokenizer") or {}
+    def encode_all(units: list[str]) -> np.ndarray:
+        return _flat(encode(_rows(units)))
+
+    if _merges_in_order(content["model"]):
+        from tiktoken import Encoding
+
+        own = set(content["model"]["vocab"].values())
+        ranks = {t: i for i, t in tokens.items() if i in own}
+        by_rank = Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+        def encode_all(units: list[str]) -> np.ndarray:
+            text = " ".join(["", *units])
+            return by_rank.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
+
+    pre = content.get("pre_tokenizer") or {}
     usual = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-    plain = usual and not json.loads(file).get("normalizer")
-    return Vocabulary(encode, [tokens.get(i) for i in range(max(tokens) + 1)], plain)
+    plain = usual and not content.get("normalizer")
+    return Vocabulary(encode, encode_all, COMMON, [tokens.get(i) for i in range(max(tokens) + 1)], plain)
+
+
+def _merges_in_order(model: dict) -> bool:
+    """Whether an earlier merge always makes a token with a smaller id, and merging has no options."""
+    options = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")
+    if model.get("type") != "BPE" or any(model.get(o) for o in (*options, "fuse_unk", "ignore_merges")):
+        return False
+    merged = ("".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"])
+    ids = [model["vocab"][m] for m in merged]
+    return ids == sorted(set(ids))
 
 
 @lru_cache(maxsize=2)
@@ -131,7 +198,20 @@ def sentence_piece(file: bytes) -> Vocabulary:
         for i, p in enumerate(pieces)
     ]
     by_unit = all("▁" not in p.lstrip("▁") for p in pieces)
-    return Vocabulary(lambda units: model.encode(units, num_threads=1), tokens, by_unit)
+
+    def encode(units: list[str]) -> list[list[int]]:
+        return model.encode(units, num_threads=1)
+
+    return Vocabulary(encode, lambda units: _flat(encode(_rows(units))), "", tokens, by_unit)
+
+
+def _rows(units: list[str]) -> list[str]:
+    """Units in rows of some, which costs less than one by one or all at once."""
+    return [" ".join(units[i : i + ROW_UNITS]) for i in range(0, len(units), ROW_UNITS)]
+
+
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int32)
 
 
 def units_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -139,11 +219,13 @@ def units_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     words = pc.split_pattern(texts, " ")
     flat, parent = pc.list_flatten(words), pc.list_parent_indices(words).to_numpy()
     coded = flat.dictionary_encode()
-    closed = pc.match_substring_regex(coded.dictionary, r"[\pL\pN!-~]\z").take(coded.indices)
-    # A word after a space that may not be cut belongs to the unit before it.
+    closed = pc.match_substring_regex(coded.dictionary, CLOSED).take(coded.indices)
+    # A word after a space that may not be cut belongs to the unit before it, and so does an empty one.
     closed = closed.to_numpy(zero_copy_only=False)
-    begins = np.ones(len(flat), dtype=bool)
-    begins[1:] = closed[:-1] | (parent[1:] != parent[:-1])
+    begins = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False).copy()
+    begins[1:] &= closed[:-1]
+    begins[1:] |= parent[1:] != parent[:-1]
+    begins[:1] = True
     if begins.all():
         return flat, parent
     starts = np.flatnonzero(begins)
@@ -204,7 +286,9 @@ def align_texts(texts: pa.Array, coder: Coder) -> dict[str, pa.Array]:
     good = good.to_numpy(zero_copy_only=False)
     ta, tb = (t.keep(good) for t in tokens)
     links = ta.join(tb.rename_columns(["key", "bt"]), "key", join_type="inner", use_threads=False)
-    links = links.combine_chunks().sort_by("key")
+    links = links.combine_chunks()
+    if (np.diff(links["key"].to_numpy()) < 0).any():
+        links = links.sort_by("key")
     at_a, at_b = (links[c].to_numpy() for c in ("at", "bt"))
     doc = links["key"].to_numpy() >> END_BITS
     cut = _firsts(links["key"].to_numpy())
