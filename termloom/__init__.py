@@ -5,7 +5,7 @@
 column expressions, and ``sources`` the readers and the stored index.
 """
 
-from termloom.plans.build import add_documents, build_index
+from termloom.plans.build import add_documents, add_stems, build_index
 from termloom.plans.evaluate import evaluate, mean_average_precision
 from termloom.plans.requests import get_pagerank, get_pageview
 from termloom.plans.search import (
@@ -13,6 +13,7 @@ from termloom.plans.search import (
     search_anchor,
     search_body,
     search_body_cosine,
+    search_stemmed,
     search_title,
 )
 from termloom.sources.index_store import Index, delete_index, read_index
@@ -20,6 +21,7 @@ from termloom.sources.index_store import Index, delete_index, read_index
 __all__ = [
     "Index",
     "add_documents",
+    "add_stems",
     "build_index",
     "delete_index",
     "evaluate",
@@ -31,5 +33,6 @@ __all__ = [
     "search_anchor",
     "search_body",
     "search_body_cosine",
+    "search_stemmed",
     "search_title",
 ]

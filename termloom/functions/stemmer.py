@@ -1,13 +1,13 @@
-"""Porter's suffix-stripping algorithm (1980), with the usual later amendments.
+"""Porter's suffix-stripping algorithm (1980), with the usual later amendments, in column expressions.
 
-It is applied to distinct terms only, never to running text.
+It is applied to distinct terms, never to running text.  Beside a word goes its shape, a string of
+c (consonant) and v (vowel); the measure of what a suffix leaves is the number of ``vc`` in as much
+of the shape.  Every step is a projection, so no expression is computed twice.
 """
 
-import sys
+from functools import reduce
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Words with a stem of their own.
@@ -37,110 +37,137 @@ STEP_4 = (
     "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
 )
 
+VOWELS = "aeiou"
+WORD, SHAPE = "_stem_word", "_stem_shape"
 
-def _shape(word: str) -> str:
-    """The word as a string of c (consonant) and v (vowel)."""
-    shape = ""
-    for letter in word:
-        if letter == "y":
-            shape += "v" if shape.endswith("c") else "c"
-        else:
-            shape += "v" if letter in "aeiou" else "c"
-    return shape
 
+def shape(word: Column) -> Column:
+    """``y`` is a vowel after a consonant, and a consonant elsewhere."""
+    letters = F.translate(F.regexp_replace(word, f"[^{VOWELS}y]", "c"), VOWELS, "v" * len(VOWELS))
+    first = F.regexp_replace(letters, "(^|v)y", "$1c")
+    # Only runs of y after a consonant are left, in which vowels and consonants take turns.
+    return F.replace(F.replace(first, F.lit("yy"), F.lit("vc")), F.lit("y"), F.lit("v"))
 
-def _measure(word: str) -> int:
+
+def _head(text: Column, less: int) -> Column:
+    """``text`` without its last letters."""
+    return F.substring(text, F.lit(1), F.length(text) - less)
+
+
+def _measure(shaped: Column) -> Column:
     """How often a vowel is followed by a consonant."""
-    return _shape(word).count("vc")
+    return F.regexp_count(shaped, F.lit("vc"))
 
 
-def _short_ending(word: str) -> bool:
+def _short_ending(word: Column, shaped: Column) -> Column:
     """Consonant, vowel, consonant other than w, x, y; or just vowel and consonant."""
-    shape = _shape(word)
-    return (shape.endswith("cvc") and word[-1] not in "wxy") or shape == "vc"
-
-
-def _plural(word: str) -> str:
-    if word.endswith("ies"):
-        return word[:-1] if len(word) == 4 else word[:-2]
-    if word.endswith("sses"):
-        return word[:-2]
-    return word[:-1] if word.endswith("s") and not word.endswith("ss") else word
-
-
-def _past(word: str) -> str:
-    if word.endswith("ied"):
-        return word[:-1] if len(word) == 4 else word[:-2]
-    if word.endswith("eed"):
-        return word[:-1] if _measure(word[:-3]) > 0 else word
-    for suffix in ("ed", "ing"):
-        stem = word.removesuffix(suffix)
-        if stem != word and "v" in _shape(stem):
-            break
-    else:
-        return word
-    if stem.endswith(("at", "bl", "iz")):
-        return stem + "e"
-    if stem[-2:-1] == stem[-1] and _shape(stem)[-1] == "c":
-        return stem if stem[-1] in "lsz" else stem[:-1]
-    return stem + "e" if _measure(stem) == 1 and _short_ending(stem) else stem
-
-
-def _final_y(word: str) -> str:
-    stem = word[:-1]
-    long_consonant = len(stem) > 1 and _shape(stem)[-1] == "c"
-    return stem + "i" if word.endswith("y") and long_consonant else word
-
-
-def _replace(word: str, rules) -> str:
-    for suffix, replacement in rules:
-        if word.endswith(suffix):
-            stem = word[: -len(suffix)]
-            return stem + replacement if _measure(stem) > 0 else word
-    return word
-
-
-def _double_suffix(word: str) -> str:
-    if word.endswith("alli") and _measure(word[:-4]) > 0:
-        return _double_suffix(word[:-2])
-    if word.endswith("logi"):
-        return word[:-1] if _measure(word[:-3]) > 0 else word
-    return _replace(word, STEP_2)
-
-
-def _last_suffix(word: str) -> str:
-    for suffix in STEP_4:
-        if word.endswith(suffix):
-            stem = word[: -len(suffix)]
-            fits = _measure(stem) > 1 and (suffix != "ion" or stem[-1] in "st")
-            return stem if fits else word
-    return word
-
-
-def _final_e(word: str) -> str:
-    if word.endswith("e"):
-        stem = word[:-1]
-        size = _measure(stem)
-        if size > 1 or (size == 1 and not _short_ending(stem)):
-            word = stem
-    return word[:-1] if word.endswith("ll") and _measure(word[:-1]) > 1 else word
-
-
-def stem(word: str) -> str:
-    word = word.lower()
-    if word in IRREGULAR or len(word) <= 2:
-        return IRREGULAR.get(word, word)
-    word = _double_suffix(_final_y(_past(_plural(word))))
-    return _final_e(_last_suffix(_replace(word, STEP_3)))
-
-
-def stemmed(term: Column) -> Column:
-    """Stem of a term, computed on Arrow batches."""
-    # Executors get this module with the function and need no copy of the package.
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-    @F.pandas_udf("string")
-    def stems(terms: pd.Series) -> pd.Series:
-        return terms.map(stem)
-
-    return stems(term)
+    return (F.endswith(shaped, F.lit("cvc")) & ~F.regexp_like(word, F.lit("[wxy]$"))) | (shaped == "vc")
+
+
+def _ends(word: Column, suffix: str) -> Column:
+    return F.endswith(word, F.lit(suffix))
+
+
+def _cases(word: Column, rules: list[tuple[Column, Column]]) -> Column:
+    """The value of the first rule that holds, else the word."""
+    start = F.when(*rules[0])
+    return reduce(lambda done, rule: done.when(*rule), rules[1:], start).otherwise(word)
+
+
+def _plural(word: Column, shaped: Column) -> Column:
+    return _cases(word, [
+        (_ends(word, "ies"), F.when(F.length(word) == 4, _head(word, 1)).otherwise(_head(word, 2))),
+        (_ends(word, "sses"), _head(word, 2)),
+        (_ends(word, "s") & ~_ends(word, "ss"), _head(word, 1)),
+    ])
+
+
+def _past(word: Column, shaped: Column) -> Column:
+    def repaired(n: int) -> Column:
+        stem, left = _head(word, n), _head(shaped, n)
+        twice = F.regexp_like(stem, F.lit(r"(?s)(.)\1$")) & F.endswith(left, F.lit("c"))
+        return (
+            F.when(F.regexp_like(stem, F.lit("(at|bl|iz)$")), F.concat(stem, F.lit("e")))
+            .when(twice, F.when(F.regexp_like(stem, F.lit("[lsz]$")), stem).otherwise(_head(stem, 1)))
+            .when((_measure(left) == 1) & _short_ending(stem, left), F.concat(stem, F.lit("e")))
+            .otherwise(stem)
+        )
+
+    def dropped(suffix: str) -> Column:
+        return _ends(word, suffix) & F.contains(_head(shaped, len(suffix)), F.lit("v"))
+
+    return _cases(word, [
+        (_ends(word, "ied"), F.when(F.length(word) == 4, _head(word, 1)).otherwise(_head(word, 2))),
+        (_ends(word, "eed"), F.when(_measure(_head(shaped, 3)) > 0, _head(word, 1)).otherwise(word)),
+        (dropped("ed"), repaired(2)),
+        (dropped("ing"), repaired(3)),
+    ])
+
+
+def _final_y(word: Column, shaped: Column) -> Column:
+    stem = _head(shaped, 1)
+    long_consonant = (F.length(stem) > 1) & F.endswith(stem, F.lit("c"))
+    return _cases(word, [(_ends(word, "y") & long_consonant, F.concat(_head(word, 1), F.lit("i")))])
+
+
+def _replace(word: Column, shaped: Column, rules) -> Column:
+    return _cases(word, [
+        (
+            _ends(word, suffix),
+            F.when(
+                _measure(_head(shaped, len(suffix))) > 0,
+                F.concat(_head(word, len(suffix)), F.lit(replacement)),
+            ).otherwise(word),
+        )
+        for suffix, replacement in rules
+    ])
+
+
+def _adverb(word: Column, shaped: Column) -> Column:
+    return _cases(word, [(_ends(word, "alli") & (_measure(_head(shaped, 4)) > 0), _head(word, 2))])
+
+
+def _double_suffix(word: Column, shaped: Column) -> Column:
+    logy = F.when(_measure(_head(shaped, 3)) > 0, _head(word, 1)).otherwise(word)
+    return F.when(_ends(word, "logi"), logy).otherwise(_replace(word, shaped, STEP_2))
+
+
+def _last_suffix(word: Column, shaped: Column) -> Column:
+    def fits(suffix: str) -> Column:
+        long = _measure(_head(shaped, len(suffix))) > 1
+        return long & F.regexp_like(word, F.lit("[st]ion$")) if suffix == "ion" else long
+
+    return _cases(word, [
+        (_ends(word, suffix), F.when(fits(suffix), _head(word, len(suffix))).otherwise(word))
+        for suffix in STEP_4
+    ])
+
+
+def _final_e(word: Column, shaped: Column) -> Column:
+    stem, left = _head(word, 1), _head(shaped, 1)
+    size = _measure(left)
+    return _cases(word, [(_ends(word, "e") & ((size > 1) | ((size == 1) & ~_short_ending(stem, left))), stem)])
+
+
+def _final_l(word: Column, shaped: Column) -> Column:
+    return _cases(word, [(_ends(word, "ll") & (_measure(_head(shaped, 1)) > 1), _head(word, 1))])
+
+
+STEPS = (
+    _plural, _past, _final_y, _adverb, _double_suffix,
+    lambda word, shaped: _replace(word, shaped, STEP_3),
+    _last_suffix, _final_e, _final_l,
+)
+
+
+def with_stem(rows: DataFrame, term: str = "term", name: str = "stem") -> DataFrame:
+    """``rows`` with the stem of column ``term``; words of up to two letters are their own stem."""
+    lower = F.lower(F.col(term))
+    known = F.create_map(*(F.lit(text) for pair in IRREGULAR.items() for text in pair))
+    df = rows.withColumn(WORD, lower)
+    for step in STEPS:
+        df = df.withColumn(SHAPE, shape(F.col(WORD)))
+        df = df.withColumn(WORD, step(F.col(WORD), F.col(SHAPE)))
+    short = F.when(F.length(lower) <= 2, lower)
+    stem = F.coalesce(F.element_at(known, lower), short, F.col(WORD))
+    return df.withColumn(name, stem).drop(WORD, SHAPE)

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions.text import tokenize, word_runs
-from termloom.plans.build import build_index
+from termloom.plans.build import add_stems, build_index
 from termloom.sources.index_store import Index
 from termloom.sources.shared import (
     broadcast_within,
@@ -117,14 +117,23 @@ class Corpus:
 
         return self._index("title", docs, min_df=0)
 
+    def stemmed_indexes(self) -> tuple[Index, Index]:
+        """The body and title indexes with statistics by stem, over the same postings."""
+        for field, index in (("body", self.body_index()), ("title", self.title_index())):
+            _indexes[self._key(field)] = add_stems(index)
+        return self.body_index(), self.title_index()
+
     def anchor_index(self) -> Index:
         return self._index("anchor", self.anchors, min_df=0, single_row=False)
 
     def new_path(self, name: str) -> str:
         return new_path(self.spark, name)
 
+    def _key(self, field: str) -> tuple[str, str, str]:
+        return (self.spark.sparkContext.applicationId, self.sf_dir, field)
+
     def _index(self, field: str, docs, **options) -> Index:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, field)
+        key = self._key(field)
         if key not in _indexes:
             path = self.new_path(f"{field}-index")
             _indexes[key] = build_index(docs(), path, **options)

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termloom.functions.stemmer import with_stem
 from termloom.functions.text import BUILD_PATTERN, QUERY_PATTERN, drop_words, tokenize
 from termloom.functions.weights import idf, query_weight, smoothed_idf
 from termloom.functions.words import BUILD_STOPWORDS, CORPUS, ENGLISH, QUERY_STOPWORDS
@@ -330,21 +331,70 @@ def _(c):
 @register(
     "tokenize_no_stop_rare",
     f"""
-    SELECT doc_id, pos, term FROM tokens
-    WHERE term NOT IN {parts.BUILD_STOP} AND term IN (SELECT term FROM terms)
+    SELECT doc_id, pos, term
+    FROM (SELECT doc_id, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS pos FROM doc_words)
+    SEMI JOIN (SELECT term FROM (SELECT unnest(list_distinct(w)) AS term FROM doc_words)
+               WHERE term NOT IN {parts.BUILD_STOP}
+               GROUP BY term HAVING count(*) > {MIN_DF}) USING (term)
     """,
 )
 def _(c):
-    kept = word_rows(c).filter(~F.col("term").isin(*BUILD_STOPWORDS))
-    rare_free = postings.drop_rare(kept, entries(c), MIN_DF)
-    return rare_free.select("doc_id", "pos", "term")
+    words = word_rows(c).filter(~F.col("term").isin(*BUILD_STOPWORDS))
+    kept = materialize(words, "words")
+    return postings.drop_rare(kept, postings.term_documents(kept), MIN_DF).select("doc_id", "pos", "term")
 
 
-@register("stem_vocabulary")
+@register(
+    "stem_vocabulary",
+    """
+    SELECT stem, doc_id, sum(tf)::BIGINT AS tf
+    FROM postings JOIN stems USING (term) GROUP BY stem, doc_id
+    """,
+)
 def _(c):
     return postings.stem_vocabulary(c.body_index().postings())
 
 
+@register(
+    "tokenize_stemmed",
+    f"""
+    SELECT query_id, pos, stem FROM (
+        SELECT query_id, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS pos
+        FROM (SELECT query_id, list_filter(regexp_extract_all(lower(query_text), {parts.QUERY}),
+                                           x -> x NOT IN {parts.QUERY_STOP}) AS w FROM query_texts))
+    JOIN stems USING (term)
+    """,
+)
+def _(c):
+    tokens = drop_words(tokenize(F.col("query_text"), QUERY_PATTERN), QUERY_STOPWORDS)
+    rows = c.queries().select("query_id", F.posexplode(tokens).alias("pos", "term"))
+    return with_stem(rows.withColumn("pos", F.col("pos") + 1)).drop("term")
+
+
+@register("stem_terms", "SELECT term, df, term_total FROM stem_terms")
+def _(c):
+    body, _ = c.stemmed_indexes()
+    return body.stemmed().terms()
+
+
+@register("stem_postings", "SELECT term, doc_id, tf FROM stem_postings")
+def _(c):
+    body, _ = c.stemmed_indexes()
+    return body.stemmed().postings()
+
+
+@register(
+    "posting_lookup_stemmed",
+    """
+    SELECT q.query_id, p.term, p.doc_id, p.tf
+    FROM stem_query_terms q JOIN stem_title_entries p USING (term)
+    """,
+)
+def _(c):
+    _, titles = c.stemmed_indexes()
+    return looked_up(titles.stemmed(), c)
+
+
 # Joins
 
 
@@ -1015,6 +1065,11 @@ def _(c):
     return rounded(per_doc.agg(F.sum("w").alias("w"), F.count("*").alias("n_pairs")), "w")
 
 
+@register("search_stemmed", f"SELECT {SEARCH_COLUMNS} FROM stem_ranked")
+def _(c):
+    return search.search_stemmed(*c.stemmed_indexes(), c.queries())
+
+
 @register("search_body", f"SELECT {SEARCH_COLUMNS} FROM ranked")
 def _(c):
     return search.search_body(c.body_index(), c.title_index(), c.queries())

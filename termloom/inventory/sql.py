@@ -2,6 +2,7 @@
 
 import re
 
+from termloom.functions.stemmer import IRREGULAR, STEP_2, STEP_3, STEP_4
 from termloom.functions.text import BUILD_PATTERN, QUERY_PATTERN
 from termloom.functions.words import BUILD_STOPWORDS, QUERY_STOPWORDS
 from termloom.inventory.corpus import TRUTH_WORDS
@@ -27,15 +28,78 @@ QUERY_STOP = words(QUERY_STOPWORDS)
 UNION_STOP = "(VALUES " + ", ".join(f"({text(w)})" for w in BUILD_STOPWORDS) + ")"
 
 
-def _ranking(prefix: str, vector: str, pairs: int, skip_zeros: bool) -> dict[str, str]:
-    """The search ranking over a given query vector."""
+def _stems(source: str) -> str:
+    """``term, stem`` of the words of ``source``: Porter's steps as nested selects over word and shape."""
+
+    def head(value: str, less: int) -> str:
+        return f"left({value}, length({value}) - {less})" if less else value
+
+    def measure(less: int, of: str = "s") -> str:
+        return f"len(regexp_extract_all({head(of, less)}, 'vc'))"
+
+    def short(less: int) -> str:
+        left, word = head("s", less), head("w", less)
+        return f"(({left} LIKE '%cvc' AND NOT regexp_matches({word}, '[wxy]$')) OR {left} = 'vc')"
+
+    def suffixes(rules, value) -> str:
+        return "CASE " + " ".join(f"WHEN suffix(w, '{rule[0]}') THEN {value(*rule)}" for rule in rules) + " ELSE w END"
+
+    def replaced(suffix: str, new: str) -> str:
+        return f"CASE WHEN {measure(len(suffix))} > 0 THEN {head('w', len(suffix))} || '{new}' ELSE w END"
+
+    def dropped(suffix: str) -> str:
+        also = " AND regexp_matches(w, '[st]ion$')" if suffix == "ion" else ""
+        return f"CASE WHEN {measure(len(suffix))} > 1{also} THEN {head('w', len(suffix))} ELSE w END"
+
+    def repaired(less: int) -> str:
+        stem, twice = head("w", less), f"right({head('w', less)}, 1) = left(right({head('w', less)}, 2), 1)"
+        return f"""CASE WHEN regexp_matches({stem}, '(at|bl|iz)$') THEN {stem} || 'e'
+            WHEN length({stem}) > 1 AND {twice} AND {head("s", less)} LIKE '%c'
+                THEN CASE WHEN regexp_matches({stem}, '[lsz]$') THEN {stem} ELSE {head("w", less + 1)} END
+            WHEN {measure(less)} = 1 AND {short(less)} THEN {stem} || 'e' ELSE {stem} END"""
+
+    ie = "CASE WHEN length(w) = 4 THEN {0} ELSE {1} END".format(head("w", 1), head("w", 2))
+    steps = [
+        f"""CASE WHEN suffix(w, 'ies') THEN {ie} WHEN suffix(w, 'sses') THEN {head("w", 2)}
+            WHEN suffix(w, 's') AND NOT suffix(w, 'ss') THEN {head("w", 1)} ELSE w END""",
+        f"""CASE WHEN suffix(w, 'ied') THEN {ie}
+            WHEN suffix(w, 'eed') THEN CASE WHEN {measure(3)} > 0 THEN {head("w", 1)} ELSE w END
+            WHEN suffix(w, 'ed') AND contains({head("s", 2)}, 'v') THEN {repaired(2)}
+            WHEN suffix(w, 'ing') AND contains({head("s", 3)}, 'v') THEN {repaired(3)} ELSE w END""",
+        f"""CASE WHEN suffix(w, 'y') AND length(w) > 2 AND {head("s", 1)} LIKE '%c' THEN {head("w", 1)} || 'i' ELSE w END""",
+        f"CASE WHEN suffix(w, 'alli') AND {measure(4)} > 0 THEN {head('w', 2)} ELSE w END",
+        f"""CASE WHEN suffix(w, 'logi') THEN CASE WHEN {measure(3)} > 0 THEN {head("w", 1)} ELSE w END
+            ELSE {suffixes(STEP_2, replaced)} END""",
+        suffixes(STEP_3, replaced),
+        suffixes([(x,) for x in STEP_4], dropped),
+        f"""CASE WHEN suffix(w, 'e') AND ({measure(1)} > 1 OR ({measure(1)} = 1 AND NOT {short(1)}))
+            THEN {head("w", 1)} ELSE w END""",
+        f"CASE WHEN suffix(w, 'll') AND {measure(1)} > 1 THEN {head('w', 1)} ELSE w END",
+    ]
+    shaped = "translate(regexp_replace(w, '[^aeiouy]', 'c', 'g'), 'aeiou', 'vvvvv')"
+    shaped = f"regexp_replace({shaped}, '(^|v)y', '\\1c', 'g')"
+    shaped = f"replace(replace({shaped}, 'yy', 'vc'), 'y', 'v')"
+    made = f"SELECT term, lower(term) AS w FROM {source}"
+    for step in steps:
+        made = f"SELECT term, {step} AS w FROM (SELECT term, w, {shaped} AS s FROM ({made}))"
+    known = " ".join(f"WHEN '{word}' THEN '{stem}'" for word, stem in IRREGULAR.items())
+    return f"""
+        SELECT term, CASE lower(term) {known}
+                     ELSE CASE WHEN length(term) <= 2 THEN lower(term) ELSE w END END AS stem
+        FROM ({made})"""
+
+
+def _ranking(
+    prefix: str, vector: str, pairs: int, skip_zeros: bool, of: str = ""
+) -> dict[str, str]:
+    """The search ranking over a given query vector; ``of`` is put before the names of the index's tables."""
     zero = "weight = 0," if skip_zeros else ""
     return {
         f"{prefix}vector": f"""
             SELECT q.query_id, q.term, q.qtf, q.query_len, t.df,
                    row_number() OVER (PARTITION BY q.query_id ORDER BY q.term) AS term_no,
                    (q.qtf / q.query_len) * log10(n.n / (t.df + 1e-7)) AS weight
-            FROM {vector} q JOIN terms t USING (term) CROSS JOIN corpus n""",
+            FROM {vector} q JOIN {of}terms t USING (term) CROSS JOIN corpus n""",
         f"{prefix}q": f"""
             SELECT *, row_number() OVER (PARTITION BY query_id
                                          ORDER BY {zero} term) AS ord
@@ -43,7 +107,7 @@ def _ranking(prefix: str, vector: str, pairs: int, skip_zeros: bool) -> dict[str
         f"{prefix}pairs": f"""
             SELECT q.query_id, p.doc_id, p.term, q.term_no,
                    p.tf * log10(n.n / q.df) AS w
-            FROM {prefix}q q JOIN postings p USING (term) CROSS JOIN corpus n""",
+            FROM {prefix}q q JOIN {of}postings p USING (term) CROSS JOIN corpus n""",
         f"{prefix}candidates": f"""
             SELECT *, row_number() OVER (PARTITION BY query_id
                                          ORDER BY w DESC, term, doc_id) AS ck
@@ -64,7 +128,7 @@ def _ranking(prefix: str, vector: str, pairs: int, skip_zeros: bool) -> dict[str
             GROUP BY s.query_id, s.doc_id""",
         f"{prefix}hits": f"""
             SELECT q.query_id, e.doc_id, sum(q.qtf)::BIGINT AS hits
-            FROM {prefix}q q JOIN title_entries e USING (term)
+            FROM {prefix}q q JOIN {of}title_entries e USING (term)
             GROUP BY q.query_id, e.doc_id""",
         f"{prefix}ranked": f"""
             SELECT query_id, doc_id, title, hits, score,
@@ -107,6 +171,23 @@ PARTS = {
         FROM entries GROUP BY term""",
     "terms": f"SELECT * FROM all_terms WHERE df > {MIN_DF}",
     "postings": "SELECT * FROM entries WHERE term IN (SELECT term FROM terms)",
+    "words": """
+        SELECT DISTINCT term FROM (SELECT term FROM entries UNION ALL SELECT term FROM title_entries
+                                   UNION ALL SELECT term FROM query_tokens)""",
+    "stems": _stems("words"),
+    "stem_entries": """
+        SELECT stem AS term, doc_id, sum(tf)::BIGINT AS tf
+        FROM entries JOIN stems USING (term) GROUP BY stem, doc_id""",
+    "stem_terms": f"""
+        SELECT term, count(*) AS df, sum(tf)::BIGINT AS term_total
+        FROM stem_entries GROUP BY term HAVING count(*) > {MIN_DF}""",
+    "stem_postings": "SELECT * FROM stem_entries WHERE term IN (SELECT term FROM stem_terms)",
+    "stem_title_entries": """
+        SELECT stem AS term, doc_id, sum(tf)::BIGINT AS tf
+        FROM title_entries JOIN stems USING (term) GROUP BY stem, doc_id""",
+    "stem_query_terms": """
+        SELECT query_id, stem AS term, sum(qtf)::BIGINT AS qtf, query_len
+        FROM query_terms JOIN stems USING (term) GROUP BY query_id, stem, query_len""",
     "doc_lengths": """
         SELECT doc_id, sum(tf)::BIGINT AS doc_len FROM entries GROUP BY doc_id""",
     "title_entries": f"""
@@ -153,6 +234,7 @@ PARTS = {
         SELECT user_id AS id, count(*) AS views FROM events
         WHERE event_type = 'view' GROUP BY user_id""",
     **_ranking("", "query_terms", MAX_PAIRS, True),
+    **_ranking("stem_", "stem_query_terms", MAX_PAIRS, True, of="stem_"),
     "norm_pairs": """
         SELECT q.query_id, p.doc_id, p.term, (p.tf / l.doc_len) * log10(n.n / q.df) AS w
         FROM q JOIN postings p USING (term) JOIN doc_lengths l USING (doc_id)

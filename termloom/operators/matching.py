@@ -34,26 +34,30 @@ def lookup_terms(index: Index, query_terms: DataFrame, rows: int) -> DataFrame:
 def match_postings(index: Index, query_terms: DataFrame, rows: int) -> DataFrame:
     """Join ``query_terms`` (with ``df``) to the index's postings.
 
-    The small side is one row per query, term and part of the term.  It is broadcast
+    The small side is one row per query, term and part of the term (by stem: of each of its words).  It is broadcast
     when ``rows``, the number of such rows, is within the limit, and postings then stay
     where they are.  Otherwise both sides are shuffled; see ``_shuffled_match``.
     """
     # Always true, but it marks the side as selective, so that the planner prunes the
     # scan to the buckets on that side.
     places = index.place(query_terms).filter(F.col("qtf") > 0)
-    postings = index.posting_table()
+    # In an index of one batch the terms asked for are none of its rare ones.
+    one_batch = index.version == index.base and not index.by_stem
+    postings = index.posting_table(rare=False if one_batch else None)
     if index.repeats or not index.single_row:
         postings = postings.drop("doc_len")
+    word = "variant" if index.by_stem else "term"
+    postings = postings.withColumnRenamed("term", word)
     if rows <= SCAN_TERMS:
-        few = [row.term for row in query_terms.select("term").collect()]
-        postings = postings.filter(F.col("term").isin(few))
-    keys = ["bucket", "term", "part"]
+        few = [row[0] for row in places.select(word).distinct().collect()]
+        postings = postings.filter(F.col(word).isin(few))
+    keys = ["bucket", word, "part"]
     if rows <= BROADCAST_ROWS:
         matches = postings.join(F.broadcast(places), keys)
     else:
         matches = _shuffled_match(postings, places, keys)
-    matches = matches.drop("bucket", "part")
-    if index.scattered:
+    matches = matches.drop("bucket", "part", "variant")
+    if index.scattered or index.by_stem:
         # One weight per query, term and document, whatever the number of entries.
         others = [c for c in matches.columns if c != "tf"]
         matches = matches.groupBy(*others).agg(F.sum("tf").cast("int").alias("tf"))
@@ -87,17 +91,9 @@ def hit_counts(matches: DataFrame) -> DataFrame:
     return matches.groupBy("query_id", "doc_id").agg(F.sum("qtf").alias("hits"))
 
 
-def with_titles(results: DataFrame, docs: DataFrame, rows: int | None = None) -> DataFrame:
-    """Add ``title``; a document without one stays, with a null.
-
-    If the number of result rows is known to be within the broadcast limit, the titles
-    wanted are picked out of ``docs`` in place, rather than by shuffling ``docs``.
-    """
-    titles = docs.select("doc_id", "title")
-    if rows is not None and rows <= BROADCAST_ROWS:
-        wanted = results.select("doc_id").distinct()
-        titles = titles.join(F.broadcast(wanted), "doc_id", "left_semi")
-    return results.join(titles, "doc_id", "left")
+def with_titles(results: DataFrame, docs: DataFrame) -> DataFrame:
+    """Add ``title``; a document without one stays, with a null."""
+    return results.join(docs.select("doc_id", "title"), "doc_id", "left")
 
 
 def with_titles_strict(results: DataFrame, docs: DataFrame) -> DataFrame:

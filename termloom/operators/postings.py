@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from termloom.functions.stemmer import stemmed
+from termloom.functions.stemmer import with_stem
 from termloom.functions.text import BUILD_PATTERN, kept_terms, with_term_counts
 from termloom.functions.words import BUILD_STOPWORDS
+from termloom.sources.shared import broadcast_within, materialize, rows_up_to_limit
 
 # A posting list is given out in blocks of this many neighbouring document ids, so one
 # array never holds more entries than that, however frequent the term.
@@ -17,9 +18,6 @@ BLOCK_DOCS = 65_536
 # Lower ends of the bins in which the documents of a term are counted by ``tf``.
 TF_EDGES = (1, 2, 4, 8, 16, 32)
 
-# Hot terms meet their other join side in this many pieces.
-SALTS = 16
-
 
 def word_count(
     docs: DataFrame,
@@ -102,8 +100,12 @@ def posting_lists(postings: DataFrame, block_docs: int = BLOCK_DOCS, string_bloc
 
 
 def min_df_filter(postings: DataFrame, min_df: int) -> DataFrame:
-    """Keep the entries of terms found in more than ``min_df`` documents."""
-    return drop_rare(postings, postings, min_df)
+    """Keep the entries of terms found in more than ``min_df`` documents.
+
+    The entries are written once, and counted and filtered from there.
+    """
+    postings = materialize(postings, "entries")
+    return drop_rare(postings, document_frequency(postings), min_df)
 
 
 def append_postings(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -114,29 +116,29 @@ def append_postings(old: DataFrame, new: DataFrame) -> DataFrame:
 def stem_vocabulary(postings: DataFrame) -> DataFrame:
     """``(stem, doc_id, tf)``: postings merged by the stem of their term.
 
-    A distinct term is stemmed once; hot terms meet their stem in several pieces.
+    A distinct term is stemmed once.
     """
-    terms = postings.select("term").distinct()
-    stems = _salt_copies(terms.withColumn("stem", stemmed(F.col("term"))))
-    joined = _salted(postings).join(stems, ["term", "_salt"])
+    stems = materialize(with_stem(postings.select("term").distinct()), "stems")
+    joined = by_term(postings, stems, "inner")
     return joined.groupBy("stem", "doc_id").agg(F.sum("tf").alias("tf"))
 
 
-def drop_rare(tokens: DataFrame, postings: DataFrame, min_df: int) -> DataFrame:
-    """Keep the rows of ``tokens(doc_id, .., term)`` whose term is not rare.
+def drop_rare(tokens: DataFrame, frequencies: DataFrame, min_df: int) -> DataFrame:
+    """Keep the rows of ``tokens(.., term)`` whose ``df`` in ``frequencies(term, df)`` exceeds ``min_df``."""
+    frequent = frequencies.filter(F.col("df") > min_df).select("term")
+    return by_term(tokens, materialize(frequent, "frequent-terms"), "left_semi")
 
-    ``postings`` are of the same documents; a term in at most ``min_df`` of them is rare.
-    """
-    frequent = document_frequency(postings).filter(F.col("df") > min_df).select("term")
-    kept = _salted(tokens).join(_salt_copies(frequent), ["term", "_salt"], "left_semi")
-    return kept.drop("_salt")
 
+def by_term(rows: DataFrame, terms: DataFrame, how: str) -> DataFrame:
+    """Join rows to a written table with one row per term.
 
-def _salted(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    A small table is broadcast.  A larger one is joined by shuffle as a plain table, and so are ``rows`` if they
+    are a table: then the planner splits the partition of a term in very many rows, as the other side of such a
+    key is one row.
+    """
+    return rows.join(broadcast_within(terms, rows_up_to_limit(terms)), "term", how)
 
 
-def _salt_copies(terms: DataFrame) -> DataFrame:
-    """One copy per salt of a table with one row per term."""
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    return terms.withColumn("_salt", F.explode(salts))
+def term_documents(tokens: DataFrame) -> DataFrame:
+    """Number of documents per term, from rows ``(doc_id, .., term)`` that may repeat both."""
+    return document_frequency(tokens.select("term", "doc_id").distinct())

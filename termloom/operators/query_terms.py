@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from termloom.functions.stemmer import with_stem
 from termloom.functions.text import (
     QUERY_PATTERN,
     kept_terms,
@@ -19,19 +20,24 @@ def query_term_counts(
     queries: DataFrame,
     pattern: str = QUERY_PATTERN,
     stopwords: Sequence[str] = QUERY_STOPWORDS,
+    stem: bool = False,
 ) -> DataFrame:
     """``(query_id, query_text)`` to ``(query_id, term, qtf, query_len)``.
 
     ``query_len`` counts all kept words, known to the index or not.  An empty query
-    gives no rows.
+    gives no rows.  With ``stem`` the terms are the stems of the words that are no stop words.
     """
     texts = queries.select("query_id", "query_text")
     counted = with_term_counts(texts, "query_text", pattern)
     kept = kept_terms(stopwords)
     sized = counted.withColumn("query_len", total_count(kept))
-    return sized.select("query_id", "query_len", F.inline(kept)).select(
+    counts = sized.select("query_id", "query_len", F.inline(kept)).select(
         "query_id", "term", F.col("tf").cast("bigint").alias("qtf"), "query_len"
     )
+    if not stem:
+        return counts
+    per_stem = with_stem(counts).groupBy("query_id", F.col("stem").alias("term"), "query_len")
+    return per_stem.agg(F.sum("qtf").alias("qtf")).select("query_id", "term", "qtf", "query_len")
 
 
 def in_vocabulary(query_terms: DataFrame, terms: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from termloom.functions.stemmer import with_stem
 from termloom.functions.text import BUILD_PATTERN, total_count, with_terms
 from termloom.functions.words import BUILD_STOPWORDS
 from termloom.operators.postings import merge_counts, term_statistics
@@ -14,6 +15,7 @@ from termloom.sources.index_store import (
     id_type_of,
     index_exists,
     n_parts,
+    write_docs,
     write_documents,
     write_meta,
     write_postings,
@@ -37,6 +39,7 @@ MAX_BUCKETS = 16_384
 SLICE_ROWS = 50_000_000  # entries per file above which a bucket gets more files
 PART_ROWS = 1_000_000  # entries per part of a term
 MAX_HOT_TERMS = 100_000  # most terms that may have more than one part
+DOC_BUCKET_ROWS = 100_000  # documents per bucket of the table that titles are read from
 MAX_BATCHES = 100  # batches an index may have before they are rewritten as one
 
 
@@ -50,6 +53,7 @@ def build_index(
     buckets: int | None = None,
     part_rows: int | None = None,
     single_row: bool = True,
+    stem: bool = False,
     last_batch: str = "",
 ) -> Index:
     """Index ``docs(doc_id, text[, title])`` under ``path``.
@@ -57,7 +61,8 @@ def build_index(
     Instead of ``text`` the documents may have ``tokens``, an array of words that are
     taken as they are.  Rows with the same id are one document.  The text is tokenised once, into the ``documents`` table; terms and postings come
     from that table.  ``single_row=False`` is for inputs where a document's text is
-    spread over many rows, such as the anchors that point to it.
+    spread over many rows, such as the anchors that point to it.  ``stem=True`` stores statistics by stem
+    beside those by term; ``Index.stemmed()`` is the index by stem, over the same postings.
     """
     spark = docs.sparkSession
     path = path.rstrip("/")
@@ -79,10 +84,21 @@ def build_index(
         id_type=id_type_of(docs),
         fixed_sizes=bool(buckets and part_rows),
         last_batch=last_batch,
+        stem=stem,
     )
     return _store_batch(draft, _tokenised(docs, draft), None)
 
 
+def add_stems(index: Index) -> Index:
+    """Store statistics by stem beside an index that has none; its postings stay as they are."""
+    if index.stem:
+        return index
+    index = _changed(index, stem=True)
+    _write_stems(index)
+    write_meta(index)
+    return index
+
+
 def add_documents(
     index: Index, docs: DataFrame, *, repeats: bool = False, batch: str = ""
 ) -> Index:
@@ -138,9 +154,13 @@ def _store_batch(draft: Index, rows: DataFrame, old: Index | None) -> Index:
     )
     write_documents(rows, draft.path, batch)
     added = draft.forward().filter(F.col("batch") == batch)
+    if batch == draft.base:
+        draft = _changed(draft, doc_buckets=_doc_buckets(seen.get["rows"]))
+    described = added.select("doc_id", "title", "doc_len")
+    write_docs(described, draft.path, batch, draft.doc_buckets, draft.single_row)
     if draft.single_row and not draft.repeats:
-        twice = added.groupBy("doc_id").count().filter(F.col("count") > 1)
-        draft = _changed(draft, repeats=not twice.isEmpty())
+        again = draft.doc_table().agg(F.max("n_rows")).first()[0]
+        draft = _changed(draft, repeats=(again or 0) > 1)
     if not draft.buckets or not draft.part_rows:
         draft = _with_sizes(draft, seen.get["entries"])
 
@@ -157,17 +177,47 @@ def _store_batch(draft: Index, rows: DataFrame, old: Index | None) -> Index:
         F.coalesce(F.max("df"), F.lit(0)).alias("max_df"),
     )
     if draft.single_row and not draft.repeats:
-        n_docs = added.count() + (old.n_docs if old else 0)
+        n_docs = seen.get["rows"] + (old.n_docs if old else 0)
     else:
         n_docs = draft.docs().count()
     draft = _changed(draft, n_docs=n_docs, **totals.first().asDict())
     # Only this batch's entries are written, so the total is an upper bound.
     slices = draft.buckets * max(1, draft.n_postings // (draft.buckets * SLICE_ROWS))
-    write_postings(_with_parts(entries, draft), draft.path, batch, draft.buckets, slices)
+    parted = _with_parts(entries, draft)
+    write_postings(parted, draft.path, batch, draft.buckets, slices, draft.min_df)
+    if draft.stem:
+        _write_stems(draft)
     write_meta(draft)
     return draft
 
 
+def _doc_buckets(rows: int) -> int:
+    return max(1, min(MAX_BUCKETS, rows // DOC_BUCKET_ROWS))
+
+
+def _write_stems(index: Index) -> None:
+    """Statistics by stem, from those by term and from the postings of stems with several terms.
+
+    Documents with several terms of a stem count once for it, so these terms' postings are merged; a stem
+    of one term takes the term's statistics.
+    """
+    terms = materialize(with_stem(index.term_table().drop("bucket")), "stems")
+    variant = F.struct("term", "df")
+    families = terms.groupBy("stem").agg(F.sort_array(F.collect_list(variant)).alias("variants"))
+    families = materialize(families, "stem-families")
+    single = families.filter(F.size("variants") == 1).join(terms.drop("term"), "stem")
+    words = families.filter(F.size("variants") > 1).select("stem", F.inline("variants"))
+    words = materialize(words.select("stem", "term"), "stem-words")
+    words = broadcast_within(words, rows_up_to_limit(words))
+    entries = index.posting_table().select("term", "doc_id", "tf").join(words, "term")
+    merged = entries.groupBy("stem", "doc_id").agg(F.sum("tf").alias("tf"))
+    several = term_statistics(merged, ["stem"]).join(families, "stem")
+    columns = ["stem", "df", "term_total", "tf_bins", "variants"]
+    rows = single.select(columns).unionByName(several.select(columns)).withColumnRenamed("stem", "term")
+    bucket = bucket_of(F.col("term"), F.lit(0), index.buckets)
+    write_terms(rows.withColumn("bucket", bucket), index.path, index.version, index.buckets, "stems")
+
+
 def _statistics(entries: DataFrame, draft: Index, old: Index | None) -> DataFrame:
     """Statistics of all terms after the entries of a batch came in."""
     added = term_statistics(entries)
@@ -212,7 +262,9 @@ def _with_parts(entries: DataFrame, index: Index) -> DataFrame:
     if index.max_df <= index.part_rows:
         return entries.withColumn("part", F.lit(0))
     hot = index.term_table().filter(F.col("df") > index.part_rows)
-    hot = hot.select("term", n_parts(F.col("df"), index.part_rows).alias("n_parts"))
+    hot = hot.select(
+        "term", n_parts(F.col("df"), index.part_rows).alias("n_parts"), F.col("df").alias("hot_df")
+    )
     hot = broadcast_within(hot, rows_up_to_limit(hot))
     part = F.pmod(F.xxhash64("doc_id"), F.coalesce("n_parts", F.lit(1))).cast("int")
     return entries.join(hot, "term", "left").withColumn("part", part).drop("n_parts")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions.text import BUILD_PATTERN
 from termloom.functions.words import QUERY_STOPWORDS
-from termloom.plans.search import search
+from termloom.plans.search import ranked
 from termloom.sources.index_store import Index
 
 # Fixed values of the evaluation: depth of the cut, and pairs considered per query.
@@ -78,10 +78,10 @@ def predict(
     max_pairs: int = EVALUATION_PAIRS,
     **options,
 ) -> DataFrame:
-    """Run the queries of ``qrels(query_id, query_text, doc_id)`` through ``search``."""
+    """Rank the queries of ``qrels(query_id, query_text, doc_id)`` as ``search`` does; titles are not looked up."""
     queries = qrels.select("query_id", "query_text").distinct()
     settings = dict(pattern=pattern, stopwords=stopwords, max_pairs=max_pairs)
-    return search(body, titles, queries, skip_zeros=False, **settings, **options)
+    return ranked(body, titles, queries, skip_zeros=False, **settings, **options)[0]
 
 
 def evaluate(

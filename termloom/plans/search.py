@@ -30,7 +30,7 @@ from termloom.operators.scoring import (
     with_floor,
     without_floor,
 )
-from termloom.sources.index_store import Index, n_parts
+from termloom.sources.index_store import Index
 from termloom.sources.shared import broadcast_within, materialize, rows_up_to_limit
 
 # Results per query, and the (document, term) pairs a search considers.
@@ -60,7 +60,7 @@ def query_terms(
     skip_zeros: bool = True,
 ) -> QueryTerms:
     """Tokenise, look up and weigh ``queries(query_id, query_text)``."""
-    counted = query_term_counts(queries, pattern, stopwords)
+    counted = query_term_counts(queries, pattern, stopwords, stem=index.by_stem)
     total = n_docs or index.n_docs
     known = lookup_terms(index, counted, rows_up_to_limit(counted))
     known = known.withColumn("idf", idf(total, F.col("df")))
@@ -72,7 +72,7 @@ def query_terms(
 
 def _measured(index: Index, terms: DataFrame) -> QueryTerms:
     totals = Observation()
-    pieces = F.sum(n_parts(F.col("df"), index.part_rows))
+    pieces = F.sum(index.pieces())
     firsts = F.count_if(F.col("ord") == 1) if "ord" in terms.columns else F.lit(0)
     reach = F.max("reach") if "reach" in terms.columns else F.lit(0)
     observed = terms.observe(
@@ -86,12 +86,17 @@ def _measured(index: Index, terms: DataFrame) -> QueryTerms:
     return QueryTerms(table, **totals.get)
 
 
+def _words(index: Index) -> list[str]:
+    """The column that places stems."""
+    return ["variants"] if index.by_stem else []
+
+
 def pair_weights(
     index: Index, terms: QueryTerms, n_docs: int | None = None
 ) -> DataFrame:
     """``(query_id, term, term_no, doc_id, w)``: the pairs that can be among the best."""
     wanted = terms.table.select(
-        "query_id", "term", "term_no", "qtf", "df", "idf", "floor"
+        "query_id", "term", "term_no", "qtf", "df", "idf", "floor", *_words(index)
     )
     matches = match_postings(index, wanted, terms.rows)
     return raw_tf_weights(matches, n_docs or index.n_docs)
@@ -131,9 +136,10 @@ def body_scores(
 def title_hits(titles: Index, terms: QueryTerms) -> DataFrame:
     """``(query_id, doc_id, hits)`` of the given query terms in the titles."""
     words = terms.table.select("query_id", "term", "qtf")
-    found = lookup_terms(titles, words, terms.rows).select("query_id", "term", "qtf", "df")
-    if titles.max_df > titles.part_rows:
-        # Hot title terms take more rows, so these are counted anew.
+    found = lookup_terms(titles, words, terms.rows)
+    found = found.select("query_id", "term", "qtf", "df", *_words(titles))
+    if titles.max_df > titles.part_rows or titles.by_stem:
+        # Hot title terms and stems take more rows, so these are counted anew.
         known = _measured(titles, found)
         return hit_counts(match_postings(titles, known.table, known.rows))
     return hit_counts(match_postings(titles, found, terms.rows))
@@ -162,7 +168,7 @@ def rerank_by_title(scores: DataFrame, hits: DataFrame, n: int) -> DataFrame:
     return best.select("query_id", "rank", "doc_id", "hits", "score")
 
 
-def search(
+def ranked(
     body: Index,
     titles: Index,
     queries: DataFrame,
@@ -174,13 +180,8 @@ def search(
     stopwords: Sequence[str] = QUERY_STOPWORDS,
     n_docs: int | None = None,
     skip_zeros: bool = True,
-) -> DataFrame:
-    """``(query_id, rank, doc_id, title, hits, score)``, up to ``n`` rows per query.
-
-    Documents are scored on the body's best ``max_pairs`` pairs, then ordered by title
-    hits and score.  A query has at most ``max_pairs`` documents left by then; None cuts
-    nothing.
-    """
+) -> tuple[DataFrame, int]:
+    """``(query_id, rank, doc_id, hits, score)`` of a search, and a bound of its rows."""
     terms = query_terms(
         body,
         queries,
@@ -191,8 +192,23 @@ def search(
         skip_zeros=skip_zeros,
     )
     scores = body_scores(body, terms, scoring=scoring, n_docs=n_docs, max_pairs=max_pairs)
-    best = rerank_by_title(scores, title_hits(titles, terms), n)
-    return _presented(best, titles, n * terms.n_queries)
+    return rerank_by_title(scores, title_hits(titles, terms), n), n * terms.n_queries
+
+
+def search(body: Index, titles: Index, queries: DataFrame, **options) -> DataFrame:
+    """``(query_id, rank, doc_id, title, hits, score)``, up to ``n`` rows per query; options as for ``ranked``.
+
+    Documents are scored on the body's best ``max_pairs`` pairs, then ordered by title
+    hits and score.  A query has at most ``max_pairs`` documents left by then; None cuts
+    nothing.
+    """
+    best, rows = ranked(body, titles, queries, **options)
+    return _presented(best, titles, rows)
+
+
+def search_stemmed(body: Index, titles: Index, queries: DataFrame, **options) -> DataFrame:
+    """``search`` by stems: a query word finds all words of its stem, in texts and titles."""
+    return search(body.stemmed(), titles.stemmed(), queries, **options)
 
 
 def search_body(body: Index, titles: Index, queries: DataFrame, **options) -> DataFrame:
@@ -227,7 +243,9 @@ def normalised_weights(
     index: Index, terms: QueryTerms, n_docs: int | None = None
 ) -> DataFrame:
     """Length-normalised TF-IDF of every pair the queries' terms match."""
-    wanted = terms.table.select("query_id", "term", "term_no", "qtf", "df", "idf")
+    wanted = terms.table.select(
+        "query_id", "term", "term_no", "qtf", "df", "idf", *_words(index)
+    )
     matches = match_postings(index, wanted, terms.rows)
     total = n_docs or index.n_docs
     return norm_tf_weights(matches, index.docs(), total, terms.n_pairs)
@@ -255,8 +273,9 @@ def search_title(
     Sorted by query, hits (most first) and document.
     """
     hits = index_hits(titles, queries, pattern=pattern, stopwords=stopwords)
+    hits = materialize(hits, "title-hits")
     titled = with_titles_strict if strict else with_titles
-    return _listed(titled(hits, titles.docs()))
+    return _listed(titled(hits, titles.docs_of(hits, rows_up_to_limit(hits))))
 
 
 def search_anchor(
@@ -296,9 +315,9 @@ def known_terms(
     stopwords: Sequence[str] = QUERY_STOPWORDS,
 ) -> QueryTerms:
     """``(query_id, term, qtf, df)`` of the query terms that ``index`` knows."""
-    counted = query_term_counts(queries, pattern, stopwords)
+    counted = query_term_counts(queries, pattern, stopwords, stem=index.by_stem)
     known = lookup_terms(index, counted, rows_up_to_limit(counted))
-    return _measured(index, known.select("query_id", "term", "qtf", "df"))
+    return _measured(index, known.select("query_id", "term", "qtf", "df", *_words(index)))
 
 
 def sorted_by_hits(results: DataFrame) -> DataFrame:
@@ -311,6 +330,7 @@ def _listed(results: DataFrame) -> DataFrame:
 
 def _presented(best: DataFrame, titles: Index, rows: int) -> DataFrame:
     # Written out once: both the title look-up and the result read it.
-    results = with_titles(materialize(best, "results"), titles.docs(), rows)
+    results = materialize(best, "results")
+    results = with_titles(results, titles.docs_of(results, rows))
     front = ["query_id", "rank", "doc_id", "title"]
     return results.select(*front, *(c for c in best.columns if c not in front))

@@ -1,8 +1,10 @@
-"""The stored index: four Parquet tables under one folder.
+"""The stored index: Parquet tables under one folder.
 
 ``documents``  doc_id, title, doc_len, terms        one folder per batch
-``postings``   term, part, doc_id, tf, doc_len      one folder per batch and bucket
+``docs``       doc_id, title, doc_len, n_rows       one folder per batch and bucket of the id
+``postings``   term, part, doc_id, tf, doc_len      one folder per batch, kind and bucket
 ``terms``      term, df, term_total, tf_bins        one folder per version and bucket
+``stems``      the same for stems, and their terms  one folder per version and bucket, if asked for
 ``meta``       corpus size and parameters           one row per version
 
 A term's bucket follows from the term, so looking up query terms opens only their
@@ -10,21 +12,28 @@ buckets (partition pruning).  Inside a bucket, files are sorted by term.  A term
 than ``part_rows`` documents is cut into parts, which land in different buckets: neither
 a file nor a join key ever holds much more than ``part_rows`` entries.
 
+Postings of a batch lie apart by whether their term is ``rare`` in the batch, in at most ``min_df`` of its
+documents.  The others are in the vocabulary whatever comes, so reading the postings of an index
+of one batch needs no look at its terms, and no shuffle.
+
 The ``meta`` row is written last.  Readers take the batches up to the newest version, so
 a build or an append that dies half-way stays invisible and can be repeated.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from termloom.sources.shared import BROADCAST_ROWS, broadcast_within
+
 META_SCHEMA = (
     "n_docs bigint, n_postings bigint, max_df bigint, min_df int, pattern string, "
     "stopwords array<string>, buckets int, part_rows bigint, single_row boolean, "
     "id_type string, repeats boolean, fixed_sizes boolean, base int, last_batch string, "
-    "version int"
+    "doc_buckets int, stem boolean, version int"
 )
 
 
@@ -33,6 +42,10 @@ def n_parts(df: Column, part_rows: int) -> Column:
     return F.ceil(df / part_rows).cast("int")
 
 
+def doc_bucket_of(doc_id: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(buckets)).cast("int")
+
+
 def bucket_of(term: Column, part: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term, part), F.lit(buckets)).cast("int")
 
@@ -58,6 +71,9 @@ class Index:
     fixed_sizes: bool = False  # whether the caller chose buckets and parts
     base: int = 0  # first batch that counts; earlier ones were rewritten by ``compact``
     last_batch: str = ""  # name of the stream batch that came last
+    doc_buckets: int = 1
+    stem: bool = False  # whether statistics by stem are stored
+    by_stem: bool = False  # whether this is the view whose terms are stems
 
     @property
     def scattered(self) -> bool:
@@ -76,22 +92,49 @@ class Index:
         rows = self._read("documents", schema)
         return rows.filter(F.col("batch").between(self.base, self.version))
 
+    def doc_table(self) -> DataFrame:
+        """``(bucket, doc_id, title, doc_len, n_rows)``, one row per document and batch."""
+        schema = f"doc_id {self.id_type}, title string, doc_len bigint, n_rows bigint, batch int, bucket int"
+        return self._read("docs", schema).filter(F.col("batch").between(self.base, self.version)).drop("batch")
+
     def docs(self) -> DataFrame:
         """``(doc_id, title, doc_len)``, one row per document."""
-        rows = self.forward().select("doc_id", "title", "doc_len")
-        if self.single_row and not self.repeats:
+        rows = self.doc_table().select("doc_id", "title", "doc_len")
+        return self._one_per_document(rows)
+
+    def _one_per_document(self, rows: DataFrame) -> DataFrame:
+        if self.version == self.base or not (self.repeats or not self.single_row):
             return rows
         return rows.groupBy("doc_id").agg(
             F.min("title").alias("title"), F.sum("doc_len").alias("doc_len")
         )
 
+    def docs_of(self, ids: DataFrame, rows: int | None = None) -> DataFrame:
+        """``docs`` of the given ``doc_id`` rows, opening only their buckets.
+
+        ``rows`` bounds the number of ids; within the broadcast limit the documents stay where they are.
+        """
+        # Always true, but it marks the side as selective, so that the planner prunes the scan.
+        bucket = doc_bucket_of(F.col("doc_id"), self.doc_buckets)
+        wanted = ids.select("doc_id").distinct().withColumn("bucket", bucket).filter(F.col("bucket") >= 0)
+        wanted = broadcast_within(wanted, BROADCAST_ROWS + 1 if rows is None else rows)
+        found = self.doc_table().join(wanted, ["bucket", "doc_id"], "left_semi")
+        return self._one_per_document(found.select("doc_id", "title", "doc_len"))
+
+    def stemmed(self) -> "Index":
+        """The same index with stems as its terms; their entries are those of all their words."""
+        if not self.stem:
+            raise ValueError("build the index with stem=True, or call add_stems")
+        return replace(self, by_stem=True)
+
     def term_table(self) -> DataFrame:
-        """Statistics of every term, with bucket, before the document-frequency filter."""
-        schema = (
-            "term string, df bigint, term_total bigint, "
-            "tf_bins array<bigint>, version int, bucket int"
-        )
-        rows = self._read("terms", schema)
+        """Statistics of every term, with bucket, before the document-frequency filter.
+
+        By stem there is a column ``variants`` more, the words of the stem with their own frequencies.
+        """
+        more = ", variants array<struct<term: string, df: bigint>>" if self.by_stem else ""
+        schema = f"term string, df bigint, term_total bigint, tf_bins array<bigint>{more}, version int, bucket int"
+        rows = self._read("stems" if self.by_stem else "terms", schema)
         return rows.filter(F.col("version") == self.version).drop("version")
 
     def vocabulary(self) -> DataFrame:
@@ -102,42 +145,76 @@ class Index:
         """``(term, df, term_total)`` of the vocabulary."""
         return self.vocabulary().select("term", "df", "term_total")
 
-    def posting_table(self) -> DataFrame:
-        """All entries with part and bucket, before the document-frequency filter."""
+    def posting_table(self, rare: bool | None = None) -> DataFrame:
+        """All entries with part and bucket, before the document-frequency filter; or one kind of them."""
         schema = (
             f"term string, part int, doc_id {self.id_type}, tf int, doc_len bigint, "
-            "batch int, bucket int"
+            "batch int, rare boolean, bucket int"
         )
         rows = self._read("postings", schema)
-        return rows.filter(F.col("batch").between(self.base, self.version)).drop("batch")
+        rows = rows.filter(F.col("batch").between(self.base, self.version))
+        rows = rows if rare is None else rows.filter(F.col("rare") == rare)
+        return rows.drop("batch", "rare")
+
+    def vocabulary_postings(self) -> DataFrame:
+        """The entries of the vocabulary's terms, with part and bucket.
+
+        The vocabulary is looked at for terms that are rare in their batch only, and if there are several.
+        """
+        often = self.posting_table(rare=False)
+        if self.version == self.base or self.min_df <= 0:
+            return often
+        grown = self.place(self.vocabulary().select("term", "df"))
+        rare = self.posting_table(rare=True).join(grown, ["bucket", "term", "part"], "left_semi")
+        return often.unionByName(rare)
 
     def postings(self, lengths: bool = False) -> DataFrame:
         """``(term, doc_id, tf)`` of the vocabulary, with ``doc_len`` if asked for.
 
         Repeated documents keep their repeated entries; a document spread over rows has
-        one entry per term.
+        one entry per term, and so has a stem.
         """
-        rows = self.posting_table()
-        if self.min_df > 0:
-            places = self.place(self.vocabulary().select("term", "df"))
-            rows = rows.join(places, ["bucket", "term", "part"], "left_semi")
-        if not self.single_row and self.scattered:
-            rows = rows.groupBy("term", "doc_id").agg(F.sum("tf").cast("int").alias("tf"))
+        if self.by_stem:
+            rows = self._postings_by_stem()
+        else:
+            rows = self.vocabulary_postings()
+            if not self.single_row and self.scattered:
+                rows = rows.groupBy("term", "doc_id").agg(F.sum("tf").cast("int").alias("tf"))
         if not lengths:
             return rows.select("term", "doc_id", "tf")
-        if self.single_row and not self.repeats:
+        if self.single_row and not self.repeats and not self.by_stem:
             return rows.select("term", "doc_id", "tf", "doc_len")
         sizes = self.docs().select("doc_id", "doc_len")
         return rows.select("term", "doc_id", "tf").join(sizes, "doc_id")
 
+    def _postings_by_stem(self) -> DataFrame:
+        words = self.place(self.vocabulary().select("term", "df", "variants")).drop("df")
+        entries = self.posting_table().withColumnRenamed("term", "variant")
+        joined = entries.join(words, ["bucket", "variant", "part"])
+        return joined.groupBy("term", "doc_id").agg(F.sum("tf").cast("int").alias("tf"))
+
     def place(self, terms: DataFrame) -> DataFrame:
-        """Add ``part`` and ``bucket`` to rows with ``term`` and ``df``, a row per part."""
+        """Add ``part`` and ``bucket`` to rows with ``term`` and ``df``, a row per part.
+
+        By stem there is a row for each part of each of its words, named ``variant``.
+        """
+        word, df = F.col("term"), F.col("df")
+        if self.by_stem:
+            others = [c for c in terms.columns if c != "variants"]
+            terms = terms.select(*others, F.inline("variants").alias("variant", "variant_df"))
+            word, df = F.col("variant"), F.col("variant_df")
         part = F.lit(0)
         if self.max_df > self.part_rows:
-            last = n_parts(F.col("df"), self.part_rows) - 1
-            part = F.explode(F.sequence(F.lit(0), last))
-        return terms.withColumn("part", part).withColumn(
-            "bucket", bucket_of(F.col("term"), F.col("part"), self.buckets)
+            part = F.explode(F.sequence(F.lit(0), n_parts(df, self.part_rows) - 1))
+        placed = terms.withColumn("part", part)
+        return placed.withColumn("bucket", bucket_of(word, F.col("part"), self.buckets)).drop("variant_df")
+
+    def pieces(self):
+        """The number of rows that ``place`` makes of a row, as a column."""
+        if not self.by_stem:
+            return n_parts(F.col("df"), self.part_rows)
+        return F.aggregate(
+            "variants", F.lit(0), lambda sum_, v: sum_ + n_parts(v["df"], self.part_rows)
         )
 
     def meta(self) -> DataFrame:
@@ -153,29 +230,54 @@ def write_documents(rows: DataFrame, path: str, batch: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/documents/batch={batch}")
 
 
-def write_terms(terms: DataFrame, path: str, version: int, buckets: int) -> None:
+def write_docs(rows: DataFrame, path: str, batch: int, buckets: int, single_row: bool) -> None:
+    """Write one row per document from ``(doc_id, title, doc_len)`` rows, by bucket and sorted by id.
+
+    Rows of a document that are usually one are moved as they are, in one shuffle; many rows of a document
+    are added up before.
+    """
+    sums = [F.min("title").alias("title"), F.sum("doc_len").alias("doc_len")]
+    bucket = doc_bucket_of(F.col("doc_id"), buckets)
+    if single_row:
+        placed = rows.withColumn("bucket", bucket).repartitionById(buckets, F.col("bucket"))
+        placed = placed.groupBy("bucket", "doc_id").agg(*sums, F.count("*").alias("n_rows"))
+    else:
+        added = rows.groupBy("doc_id").agg(*sums, F.count("*").alias("n_rows"))
+        placed = added.withColumn("bucket", bucket).repartitionById(buckets, F.col("bucket"))
+    ordered = placed.sortWithinPartitions("bucket", "doc_id")
+    ordered.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/docs/batch={batch}")
+
+
+def write_terms(
+    terms: DataFrame, path: str, version: int, buckets: int, table: str = "terms"
+) -> None:
     """Write term statistics by bucket, each by a task of its own, sorted by term."""
     bucketed = terms.repartitionById(buckets, F.col("bucket"))
     ordered = bucketed.sortWithinPartitions("bucket", "term")
-    target = f"{path}/terms/version={version}"
+    target = f"{path}/{table}/version={version}"
     ordered.write.mode("overwrite").partitionBy("bucket").parquet(target)
 
 
 def write_postings(
-    entries: DataFrame, path: str, batch: int, buckets: int, slices: int
+    entries: DataFrame, path: str, batch: int, buckets: int, slices: int, min_df: int = 0
 ) -> None:
-    """Write ``(term, part, doc_id, tf[, doc_len])`` rows by bucket, sorted by term and document.
+    """Write ``(term, part, doc_id, tf[, doc_len])`` rows by kind and bucket, sorted by term and document.
 
-    Every task owns one slice of one bucket and so writes one file.  ``slices`` is a
-    multiple of ``buckets``.
+    Every task owns one slice of one bucket.  ``slices`` is a multiple of ``buckets``.  A term is counted where
+    its rows are anyway, but for those that may have several parts, which come with ``hot_df``.
     """
+    if "hot_df" not in entries.columns:
+        entries = entries.withColumn("hot_df", F.lit(None).cast("bigint"))
     slice_id = F.pmod(F.xxhash64("term", "part"), F.lit(slices)).cast("int")
-    placed = entries.withColumn("bucket", bucket_of(F.col("term"), F.col("part"), buckets))
-    ordered = placed.repartitionById(slices, slice_id).sortWithinPartitions(
-        "bucket", "term", "doc_id"
+    placed = entries.withColumns(
+        {"bucket": bucket_of(F.col("term"), F.col("part"), buckets), "slice": slice_id}
     )
+    sliced = placed.repartitionById(slices, F.col("slice"))
+    here = F.count("*").over(W.partitionBy("slice", "bucket", "term", "part"))
+    counted = sliced.withColumn("rare", F.coalesce("hot_df", here) <= min_df)
+    ordered = counted.drop("slice", "hot_df").sortWithinPartitions("rare", "bucket", "term", "doc_id")
     target = f"{path}/postings/batch={batch}"
-    ordered.write.mode("overwrite").partitionBy("bucket").parquet(target)
+    ordered.write.mode("overwrite").partitionBy("rare", "bucket").parquet(target)
 
 
 def write_meta(index: Index) -> None:
@@ -194,6 +296,8 @@ def write_meta(index: Index) -> None:
         F.lit(index.fixed_sizes).alias("fixed_sizes"),
         F.lit(index.base).alias("base"),
         F.lit(index.last_batch).alias("last_batch"),
+        F.lit(index.doc_buckets).alias("doc_buckets"),
+        F.lit(index.stem).alias("stem"),
     )
     row.write.mode("overwrite").parquet(f"{index.path}/meta/version={index.version}")
 
@@ -227,7 +331,7 @@ def delete_index(spark: SparkSession, path: str) -> bool:
     files, root = _hadoop(spark, path)
     removed = False
     # meta goes first: from then on no reader takes the rest for an index.
-    for table in ("meta", "terms", "postings", "documents"):
+    for table in ("meta", "stems", "terms", "postings", "docs", "documents"):
         folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, table)
         removed = files.delete(folder, True) or removed
     return removed
@@ -238,8 +342,10 @@ def drop_old_versions(index: Index) -> None:
     for table, key, last in (
         ("meta", "version", index.version - 1),
         ("terms", "version", index.version - 1),
+        ("stems", "version", index.version - 1),
         ("postings", "batch", index.base - 1),
         ("documents", "batch", index.base - 1),
+        ("docs", "batch", index.base - 1),
     ):
         for number in range(last + 1):
             files, folder = _hadoop(index.spark, f"{index.path}/{table}/{key}={number}")

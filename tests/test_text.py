@@ -7,7 +7,9 @@ import pytest
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
-from termloom.functions.stemmer import stem, stemmed
+from porter import stem
+
+from termloom.functions.stemmer import IRREGULAR, STEP_2, STEP_3, STEP_4, with_stem
 from termloom.functions.text import (
     BUILD_PATTERN,
     QUERY_PATTERN,
@@ -121,5 +123,18 @@ STEMS = {
 def test_stems(spark):
     assert {w: stem(w) for w in STEMS} == STEMS
     words = spark.createDataFrame([(w,) for w in STEMS], "term string")
-    rows = words.select("term", stemmed(F.col("term")).alias("stem")).collect()
-    assert {r.term: r.stem for r in rows} == STEMS
+    assert {r.term: r.stem for r in with_stem(words).collect()} == STEMS
+
+
+def test_stems_of_any_word_equal_the_plain_algorithm(spark):
+    """Every suffix on many beginnings, runs of y, signs, other alphabets, and the words of the tables."""
+    beginnings = ["", "a", "b", "y", "yy", "by", "oyy", "tr", "ee", "hopp", "controll", "fizz", "crat", "siz", "été", "w-x", "y'y", "syzyg", "ox", "motor"]
+    suffixes = {s for s, _ in (*STEP_2, *STEP_3)} | set(STEP_4)
+    suffixes |= {"", "s", "ies", "sses", "ss", "ed", "ing", "ied", "eed", "y", "e", "ll", "logi", "alli", "ally", "er", "ationalli"}
+    ends = ["", "s", "ed", "e", "y", "ing"]
+    words = {b + s + e for b in beginnings for s in suffixes for e in ends} | set(IRREGULAR) | {"😀ing", "2nd", "x_y", "news"}
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.explode(tokenize(F.col("text"))).alias("term"))
+    words |= {r.term for r in texts.distinct().collect()}
+    rows = with_stem(spark.createDataFrame([(w,) for w in words], "term string")).collect()
+    wrong = {(r.term, r.stem, stem(r.term)) for r in rows if r.stem != stem(r.term)}
+    assert not wrong and len(rows) == len(words)
