@@ -2,7 +2,7 @@
 
 It is applied to distinct terms, never to running text.  Beside a word goes its shape, a string of
 c (consonant) and v (vowel); the measure of what a suffix leaves is the number of ``vc`` in as much
-of the shape.  Every step is a projection, so no expression is computed twice.
+of the shape.  Every step binds both, so none is computed twice.
 """
 
 from functools import reduce
@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termloom.functions.text import let
+
 # Words with a stem of their own.
 IRREGULAR = {
     "sky": "sky", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie",
@@ -38,7 +40,6 @@ STEP_4 = (
 )
 
 VOWELS = "aeiou"
-WORD, SHAPE = "_stem_word", "_stem_shape"
 
 
 def shape(word: Column) -> Column:
@@ -160,14 +161,18 @@ STEPS = (
 )
 
 
-def with_stem(rows: DataFrame, term: str = "term", name: str = "stem") -> DataFrame:
-    """``rows`` with the stem of column ``term``; words of up to two letters are their own stem."""
-    lower = F.lower(F.col(term))
+def stemmed(term: Column) -> Column:
+    """Stem of a term; words of up to two letters are their own."""
+    lower = F.lower(term)
     known = F.create_map(*(F.lit(text) for pair in IRREGULAR.items() for text in pair))
-    df = rows.withColumn(WORD, lower)
-    for step in STEPS:
-        df = df.withColumn(SHAPE, shape(F.col(WORD)))
-        df = df.withColumn(WORD, step(F.col(WORD), F.col(SHAPE)))
+
+    def after(word: Column, step) -> Column:
+        return let(word, lambda w: let(shape(w), lambda s: step(w, s)))
+
     short = F.when(F.length(lower) <= 2, lower)
-    stem = F.coalesce(F.element_at(known, lower), short, F.col(WORD))
-    return df.withColumn(name, stem).drop(WORD, SHAPE)
+    return F.coalesce(F.element_at(known, lower), short, reduce(after, STEPS, lower))
+
+
+def with_stem(rows: DataFrame, term: str = "term", name: str = "stem") -> DataFrame:
+    """``rows`` with the stem of column ``term``."""
+    return rows.withColumn(name, stemmed(F.col(term)))

@@ -13,6 +13,7 @@ from termloom.sources.shared import (
     rows_up_to_limit,
     spread_rows,
 )
+from termloom.sources.links import link_source
 from termloom.sources.tables import anchor_source, page_titles, title_source
 
 TRUTH_WORDS = 8
@@ -58,6 +59,10 @@ class Corpus:
             F.col("target").alias("doc_id"), F.col("anchor_text").alias("text")
         )
 
+    def links(self) -> DataFrame:
+        """``(page, href, target, anchor_text)`` with the addresses of targets resolved."""
+        return link_source(self.table("pages"))
+
     def queries(self) -> DataFrame:
         """The text of each benchmark item as ``(query_id, query_text)``."""
         return self.table("benchmark").select(
@@ -126,6 +131,14 @@ class Corpus:
     def anchor_index(self) -> Index:
         return self._index("anchor", self.anchors, min_df=0, single_row=False)
 
+    def link_index(self) -> Index:
+        """The texts of links, by resolved target."""
+
+        def docs():
+            return self.links().select(F.col("target").alias("doc_id"), F.col("anchor_text").alias("text"))
+
+        return self._index("links", docs, min_df=0, single_row=False)
+
     def new_path(self, name: str) -> str:
         return new_path(self.spark, name)
 

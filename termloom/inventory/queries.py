@@ -29,6 +29,7 @@ from termloom.sources.index_store import (
     read_index,
     write_postings,
 )
+from termloom.sources.links import page_address
 from termloom.sources.shared import broadcast_within, materialize, spread_rows
 
 # Sizes small enough for the cuts to have an effect on the test tables.
@@ -181,8 +182,9 @@ def lists_as_text(lists: DataFrame) -> DataFrame:
 )
 def _(c):
     path = c.new_path("postings")
-    kept = postings.min_df_filter(entries(c), MIN_DF).withColumn("part", F.lit(0))
-    write_postings(kept, path, 0, BUCKETS, BUCKETS)
+    kept = materialize(postings.min_df_filter(entries(c), MIN_DF), "kept-entries")
+    parted = postings.with_parts(kept, postings.document_frequency(kept), LIST_BLOCK)
+    write_postings(parted, path, 0, BUCKETS, BUCKETS)
     stored = c.spark.read.parquet(f"{path}/postings")
     return postings.term_statistics(stored).drop("tf_bins")
 
@@ -360,8 +362,8 @@ def _(c):
     f"""
     SELECT query_id, pos, stem FROM (
         SELECT query_id, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS pos
-        FROM (SELECT query_id, list_filter(regexp_extract_all(lower(query_text), {parts.QUERY}),
-                                           x -> x NOT IN {parts.QUERY_STOP}) AS w FROM query_texts))
+        FROM (SELECT query_id, [x FOR x IN regexp_extract_all(lower(query_text), {parts.QUERY})
+                                IF x NOT IN {parts.QUERY_STOP}] AS w FROM query_texts))
     JOIN stems USING (term)
     """,
 )
@@ -456,36 +458,28 @@ def _(c):
     return c.body_index().postings(lengths=True)
 
 
-def labels_as_titles(c: Corpus) -> DataFrame:
-    """Titles of the labeled documents only, so that some results have none."""
-    labels = c.table("labels").select("doc_id")
-    return c.titles().join(labels, "doc_id", "left_semi")
-
-
 @register(
     "title_decorate",
     """
     SELECT h.query_id, h.doc_id, h.hits, t.title FROM title_hits h
-    LEFT JOIN (SELECT titles.doc_id, title FROM titles JOIN labels USING (doc_id)) t
-        USING (doc_id)
+    LEFT JOIN titles t USING (doc_id)
     """,
 )
 def _(c):
-    hits = search.index_hits(c.title_index(), c.queries())
-    return matching.with_titles(hits, labels_as_titles(c))
+    hits = materialize(search.index_hits(c.title_index(), c.queries()), "hits")
+    return matching.with_titles(hits, c.title_index().docs_of(hits))
 
 
 @register(
     "title_decorate_strict",
     """
     SELECT h.query_id, h.doc_id, h.hits, t.title FROM title_hits h
-    JOIN (SELECT titles.doc_id, title FROM titles JOIN labels USING (doc_id)) t
-        USING (doc_id)
+    JOIN titles t USING (doc_id) WHERE t.title IS NOT NULL
     """,
 )
 def _(c):
-    hits = search.index_hits(c.title_index(), c.queries())
-    return matching.with_titles_strict(hits, labels_as_titles(c))
+    hits = materialize(search.index_hits(c.title_index(), c.queries()), "hits")
+    return matching.with_titles_strict(hits, c.title_index().docs_of(hits))
 
 
 @register(
@@ -1125,18 +1119,36 @@ def _(c):
     """
     SELECT h.query_id, h.doc_id, t.title, h.hits
     FROM anchor_hits h LEFT JOIN (
-        SELECT target, min(anchor_text) AS title FROM links
-        WHERE length(target) % 2 = 0 GROUP BY target) t ON t.target = h.doc_id
+        SELECT target, min(anchor_text) AS title FROM links GROUP BY target) t ON t.target = h.doc_id
     """,
 )
 def _(c):
-    # Addresses of links and of pages do not meet in these tables; every other target gets a
-    # title of its own here.
-    named = c.anchors().filter(F.length("doc_id") % 2 == 0)
-    titles = named.groupBy("doc_id").agg(F.min("text").alias("title"))
+    # Addresses of links and of pages do not meet in these tables: a target's title is a text of its links here.
+    titles = c.anchors().groupBy("doc_id").agg(F.min("text").alias("title"))
     return search.search_anchor(c.anchor_index(), titles, c.queries())
 
 
+@register("link_source", "SELECT page, href, target, anchor_text FROM resolved_links")
+def _(c):
+    return c.links()
+
+
+@register(
+    "search_anchor_resolved",
+    """
+    SELECT h.query_id, h.doc_id, p.title, h.hits
+    FROM link_hits h LEFT JOIN (
+        SELECT regexp_replace(url, '#.*$', '') AS address, min(title) AS title
+        FROM page_titles GROUP BY 1) p ON p.address = h.doc_id
+    ORDER BY query_id, hits DESC, doc_id
+    """,
+)
+def _(c):
+    address = page_address(F.col("url")).alias("doc_id")
+    titles = c.page_titles().groupBy(address).agg(F.min("title").alias("title"))
+    return search.search_anchor(c.link_index(), titles, c.queries())
+
+
 @register(
     "get_pagerank",
     "SELECT req_id, pos, id, rank FROM ranked_requests JOIN ranks USING (id)",

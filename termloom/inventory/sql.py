@@ -199,6 +199,18 @@ PARTS = {
         SELECT unnest(regexp_extract_all(html, {LINK}, 1)) AS target,
                unnest(regexp_extract_all(html, {LINK}, 2)) AS anchor_text
         FROM pages""",
+    "resolved_links": """
+        SELECT regexp_replace(url, '#.*$', '') AS page, target AS href, anchor_text,
+               regexp_extract(url, '^([^:/?#]+://[^/?#]*)', 1) || target AS target
+        FROM (SELECT url, unnest(regexp_extract_all(html, '<a href="(/[^"]*)">([^<]*)</a>', 1)) AS target,
+                     unnest(regexp_extract_all(html, '<a href="(/[^"]*)">([^<]*)</a>', 2)) AS anchor_text
+              FROM pages)""",
+    "link_hits": f"""
+        SELECT q.query_id, e.target AS doc_id, sum(q.qtf)::BIGINT AS hits
+        FROM query_terms q JOIN (
+            SELECT DISTINCT target, unnest(regexp_extract_all(lower(anchor_text), {BUILD})) AS term
+            FROM resolved_links) e USING (term)
+        WHERE e.term NOT IN {BUILD_STOP} GROUP BY q.query_id, e.target""",
     "anchor_entries": f"""
         SELECT term, target AS doc_id, count(*) AS tf
         FROM (SELECT target, unnest(regexp_extract_all(lower(anchor_text), {BUILD})) AS term

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -83,14 +83,31 @@ def term_statistics(
     return rows.groupBy(*keys).agg(*sizes, F.array(*bins).alias("tf_bins"))
 
 
-def posting_lists(postings: DataFrame, block_docs: int = BLOCK_DOCS, string_blocks: int = 64) -> DataFrame:
+def numbered(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """``rows`` with ``place``, the number from 0 of a row among those of its key by ``order``.
+
+    Rows are dealt out by ranges of key and order and written.  A row's place is the one it has in its range
+    after the rows that its key has in earlier ranges; so a key in very many rows is in many tasks.
+    """
+    ranged = rows.repartitionByRange(key, order).withColumn("_range", F.spark_partition_id())
+    ranged = materialize(ranged, "ranges")
+    sizes = ranged.groupBy(key, "_range").agg(F.count("*").alias("_size"))
+    earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(key, "_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy(key, "_range").orderBy(order)) - 1
+    placed = ranged.withColumn("_inside", inside).join(starts, [key, "_range"])
+    return placed.select(*rows.columns, (F.col("_start") + F.col("_inside")).alias("place"))
+
+
+def posting_lists(postings: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """``(term, block, n, postings)`` with the entries of a block sorted by document.
 
-    Blocks cut the range of whole-number ids, so the blocks of a term in order are its
-    whole list.  String ids are dealt to ``string_blocks`` blocks by hash.
+    The blocks of a term in order are its whole list.  Whole-number ids are cut into ranges of ``block_docs``;
+    of string ids, so many neighbours make a block, and a term has as many blocks as its entries need.
     """
     if isinstance(postings.schema["doc_id"].dataType, StringType):
-        block = F.pmod(F.xxhash64("doc_id"), F.lit(string_blocks))
+        postings = numbered(postings.select("term", "doc_id", "tf"), "term", "doc_id")
+        block = F.floor(F.col("place") / block_docs)
     else:
         block = F.floor(F.col("doc_id") / block_docs)
     entry = F.struct("doc_id", "tf")
@@ -99,6 +116,18 @@ def posting_lists(postings: DataFrame, block_docs: int = BLOCK_DOCS, string_bloc
     )
 
 
+def with_parts(entries: DataFrame, frequencies: DataFrame, part_rows: int) -> DataFrame:
+    """Add ``part``, zero but for terms in more than ``part_rows`` documents: theirs is drawn from the document.
+
+    ``hot_df`` is the frequency of such terms, null for others.
+    """
+    hot = frequencies.filter(F.col("df") > part_rows)
+    hot = hot.select("term", F.ceil(F.col("df") / part_rows).cast("int").alias("n_parts"), F.col("df").alias("hot_df"))
+    hot = broadcast_within(hot, rows_up_to_limit(hot))
+    part = F.pmod(F.xxhash64("doc_id"), F.coalesce("n_parts", F.lit(1))).cast("int")
+    return entries.join(hot, "term", "left").withColumn("part", part).drop("n_parts")
+
+
 def min_df_filter(postings: DataFrame, min_df: int) -> DataFrame:
     """Keep the entries of terms found in more than ``min_df`` documents.
 

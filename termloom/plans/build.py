@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 from termloom.functions.stemmer import with_stem
 from termloom.functions.text import BUILD_PATTERN, total_count, with_terms
 from termloom.functions.words import BUILD_STOPWORDS
-from termloom.operators.postings import merge_counts, term_statistics
+from termloom.operators.postings import merge_counts, term_statistics, with_parts
 from termloom.sources.index_store import (
     Index,
     bucket_of,
     id_type_of,
     index_exists,
-    n_parts,
     write_docs,
     write_documents,
     write_meta,
@@ -261,13 +260,7 @@ def _with_parts(entries: DataFrame, index: Index) -> DataFrame:
     """Add ``part``: zero, but for hot terms a number drawn from the document id."""
     if index.max_df <= index.part_rows:
         return entries.withColumn("part", F.lit(0))
-    hot = index.term_table().filter(F.col("df") > index.part_rows)
-    hot = hot.select(
-        "term", n_parts(F.col("df"), index.part_rows).alias("n_parts"), F.col("df").alias("hot_df")
-    )
-    hot = broadcast_within(hot, rows_up_to_limit(hot))
-    part = F.pmod(F.xxhash64("doc_id"), F.coalesce("n_parts", F.lit(1))).cast("int")
-    return entries.join(hot, "term", "left").withColumn("part", part).drop("n_parts")
+    return with_parts(entries, index.term_table(), index.part_rows)
 
 
 def _without_known(docs: DataFrame, index: Index) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from termloom.operators.postings import numbered
 from termloom.sources.shared import spread_rows
 
 # Fixed value: a link of a page, with its address and its text.
@@ -54,10 +55,12 @@ def scan_qrels(spark: SparkSession, path: str, whole_files: bool = False) -> Dat
 def write_qrels(qrels: DataFrame, path: str, block_docs: int = 65_536) -> None:
     """Write ``(query_text, doc_id)`` as such lines.
 
-    A query with many relevant documents takes several lines, one per range of ids.
+    A query with many relevant documents takes several lines, one per range of ids, or of neighbours if the ids
+    are strings.
     """
     if isinstance(qrels.schema["doc_id"].dataType, StringType):
-        block = F.pmod(F.xxhash64("doc_id"), F.lit(64))
+        qrels = numbered(qrels.select("query_text", "doc_id"), "query_text", "doc_id")
+        block = F.floor(F.col("place") / block_docs)
     else:
         block = F.floor(F.col("doc_id") / block_docs)
     lists = qrels.groupBy("query_text", block.alias("block")).agg(
