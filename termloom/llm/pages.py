@@ -80,7 +80,7 @@ def leaf_blocks(page) -> list[Block]:
 
     def flush() -> None:
         nonlocal linked
-        text = " ".join(entities.unescape("".join(parts)).split())
+        text = " ".join("".join(parts).split())
         if text and not any(tag == "head" for tag, _ in stack):
             path = tuple(e for e in stack if e[0] in BLOCKS)
             found.append(Block(path, text, linked))
@@ -107,7 +107,8 @@ def leaf_blocks(page) -> list[Block]:
         if piece:
             if piece.strip():
                 end_head()
-            parts.append(piece)
+            # Each piece for itself: a reference does not go on behind a tag.
+            parts.append(entities.unescape(piece) if "&" in piece else piece)
             if links:
                 linked += len(piece.strip())
         if not m:
