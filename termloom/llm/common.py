@@ -1,5 +1,6 @@
 """What several of these operators share: words, folds, bounded samples, document keys."""
 
+import re
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def letter_words(text: str) -> list[str]:
+    """The runs of letters of a text, as ``\\p{L}+`` finds them in the JVM."""
+    found = []
+    for word in _LETTERS.findall(text):
+        # The pattern also takes number signs such as \u00bd for letters.
+        found += [word] if word.isalpha() else "".join(c if c.isalpha() else " " for c in word).split()
+    return found
+
+
 def text_of(column: str = "text") -> Column:
     """The whole text; a null one counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -16,7 +16,6 @@ frequent language.  Ties go to the first language by name.  Other columns pass t
 ``lang_pred`` and ``score`` are replaced.
 """
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,10 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termloom.llm.common import sample_per_group
+from termloom.llm.common import letter_words, sample_per_group
 from termloom.sources.shared import broadcast_within, materialize, rows_up_to_limit
 
-LETTERS = re.compile(r"[^\W\d_]+")
 JVM_LETTERS = r"\p{L}+"
 LONGEST = 4
 CACHE_WORDS = 400_000
@@ -147,7 +145,7 @@ class Scorer:
         return self.none
 
     def predict(self, text) -> tuple[str, float]:
-        words = LETTERS.findall(text.lower()) if isinstance(text, str) else []
+        words = letter_words(text.lower()) if isinstance(text, str) else []
         if not words or not self.m.languages:
             return UNKNOWN, 0.0
         rows, total = self.rows, self.m.prior.copy()

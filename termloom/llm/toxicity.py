@@ -20,7 +20,6 @@ examples all scores are 0.  Repeated rows each get a row.  Other columns pass th
 ``score`` and ``predicted`` are replaced.
 """
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,10 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termloom.llm.common import bounded_sample
+from termloom.llm.common import bounded_sample, letter_words
 from termloom.sources.shared import materialize
 
-LETTERS = re.compile(r"[^\W\d_]+")
 JVM_LETTERS = r"\p{L}+"
 
 
@@ -160,7 +158,7 @@ def nonnegative_pu(
 def score_text(text, model: Model) -> float:
     if not len(model.weights):
         return 0.0
-    words = set(LETTERS.findall(text.lower())) if isinstance(text, str) else ()
+    words = set(letter_words(text.lower())) if isinstance(text, str) else ()
     known = [model.words[w] for w in words if w in model.words]
     return float(sigmoid(model.weights[:, known].sum(axis=1) + model.weights[:, -1]).mean())
 
