@@ -29,6 +29,8 @@ from termloom.sources.shared import materialize
 
 MADE = ["spans", "n_live", "n_example"]
 KEYS = ["doc_id", "_k1", "_k2"]
+# Names used beside a table's own columns, which are set aside under such names.
+HELPERS = ["spans", "_k1", "_k2", "_base", "_more", "_live", "_example", *(f"_of{k}" for k in KEYS)]
 SPAN = "struct<start:bigint,kind:int,end:bigint,hash:bigint,random:boolean>"
 MARK = "<secret>"
 
@@ -214,7 +216,7 @@ def scan(
 ) -> DataFrame:
     """``docs`` without the text, with ``base_spans`` and ``MADE``; needs a column doc_id."""
     rules = rules or Ownership()
-    docs = docs.drop(*MADE, "base_spans")
+    docs, back = set_aside(docs.drop(*MADE, "base_spans"), HELPERS)
     found = with_candidates(docs, text_column, rules).drop(text_column)
     found = materialize(found, "secret-candidates")
     values = ownership(found, repository, rules)
@@ -227,7 +229,7 @@ def scan(
         F.col("_base").alias("base_spans"),
         spans.alias("spans"),
         *(F.coalesce(judged[c], F.lit(0)).cast("bigint").alias(c) for c in MADE[1:]),
-    )
+    ).withColumnsRenamed(back)
 
 
 def listed(spans: Column) -> Column:
@@ -272,7 +274,7 @@ def redact(
     replace in one join.
     """
     rules = rules or Ownership()
-    own, back = set_aside(docs, ["spans"])
+    own, back = set_aside(docs, HELPERS)
     found = with_candidates(own, "text", rules)
     narrow = found.select(*dict.fromkeys([*KEYS, repository]), "_base", "_more")
     narrow = materialize(narrow, "secret-candidates").filter(F.size("_base") + F.size("_more") > 0)
