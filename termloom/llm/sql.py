@@ -1,5 +1,6 @@
 """SQL that must return the rows of those queries that SQL can express."""
 
+from termloom.llm.common import WORD
 from termloom.llm.mixing import MARGINALS, Mix
 from termloom.llm.quality import SHARES, Risk
 
@@ -140,4 +141,49 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLE_SQL = {"op8_mixing": _mixing(), "op9_topk": TOP_K, "op10_quality_rules": _quality()}
+OP3 = f"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM texts WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+    SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE c.n >= 0.8 * (x.n + y.n - c.n)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM texts
+    UNION SELECT r.doc_id, w.b FROM reached r JOIN ways w ON w.a = r.other),
+classes AS (SELECT doc_id, min(other) AS class_id, count(*) AS class_size FROM reached GROUP BY doc_id)
+SELECT doc_id, class_id, class_size, doc_id = class_id AS kept FROM classes
+"""
+
+OP4 = f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+windows AS (
+    SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS name
+    FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM texts WHERE len(w) >= 35)),
+again AS (SELECT name FROM windows GROUP BY name HAVING count(*) > 1),
+gone AS (
+    SELECT DISTINCT r, unnest(range(i, i + 35)) AS pos FROM windows SEMI JOIN again USING (name)),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM texts),
+kept AS (
+    SELECT r, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n
+    FROM words ANTI JOIN gone USING (r, pos) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (r)
+"""
+
+ORACLE_SQL = {
+    "op3_minhash_dedup": OP3,
+    "op4_substring_dedup": OP4,
+    "op8_mixing": _mixing(),
+    "op9_topk": TOP_K,
+    "op10_quality_rules": _quality(),
+}
