@@ -27,5 +27,8 @@ def odd(spark):
         (6, "token = abcdefgh12345678 " * 30), (7, "あい\U0001f600 été  x"),
     ]
     made = documents(spark, rows)
-    clashes = ["key", "node", "spans", "text_", "score", "_rank", "weight", "rank", "hash"]
+    clashes = [
+        "key", "node", "spans", "text_", "score", "_rank", "weight", "rank", "hash", "root", "_of", "_least",
+        "_root", "_size", "_blank", "_id", "_node", "_text", "_k1", "_k2", "k1", "k2", "_base", "_more", "_live",
+    ]
     return made.withColumns({name: F.lit("mine") for name in clashes})

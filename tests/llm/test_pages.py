@@ -77,3 +77,9 @@ def test_odd_rows(spark, model):
     found = pages.extract(df, model).collect()
     assert len(found) == 4 and all(r.n_chars == len(r.text) for r in found)
     assert pages.extract(df.limit(0), pages.fit(df.limit(0))).count() == 0
+
+
+def test_references_end_with_their_piece():
+    """A reference does not go on behind a tag; one that is whole is decoded once."""
+    blocks = pages.leaf_blocks("<p>A&am<b>p;</b> &lt;x&gt; &amp;lt; &amp; caf&eacute;</p>")
+    assert [b.text for b in blocks] == ["A&amp; <x> &lt; & caf\u00e9"]

@@ -134,3 +134,23 @@ def test_language_query_on_held_out_texts(spark):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     right = [r.lang_pred == truth[r.doc_id] for r in rows if r.held_out]
     assert sum(right) >= 0.95 * len(right) and len(rows) == len(truth)
+
+
+def test_letters_are_those_of_the_jvm(spark):
+    """Number signs are no letters; Python's word class takes them for some."""
+    from termloom.llm.common import letter_words
+
+    texts = ["\u00bd \u2461 \u2167", "a\u00bdb x_1y", "\u00e9t\u00e9 \u4e2d\u6587 \u0663ab", "", "don't 2nd \u02b0\u00aa"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = df.select("text", F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0)).alias("w")).collect()
+    assert {r.text: r.w for r in rows} == {t: letter_words(t) for t in texts}
+
+
+def test_a_text_without_letters_has_no_language(docs_of):
+    from termloom.llm import language
+
+    docs = docs_of([(i, "these are some plain words of one language") for i in range(1, 9)])
+    asked = docs_of([(1, "\u00bd \u2461 \u2167"), (2, None), (3, "plain words"), (4, "12 % _")])
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(asked.select("doc_id", "text"), language.fit(docs)).collect()}
+    assert [found[i][0] for i in (1, 2, 3, 4)] == ["und", "und", "en", "und"]
+    assert language.predict(asked.select("doc_id", "text").limit(0), language.fit(docs)).count() == 0
