@@ -11,23 +11,20 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
 
     Large-star and small-star steps in turn: each links the neighbours of a node to the least
     of them, which keeps the components and takes about log n rounds.  Every round is written
-    out; minima are pre-aggregated, and a node with very many neighbours is one skewed key of a join
-    that the planner can split.
+    out; minima are pre-aggregated and written, so that a node with very many neighbours is one skewed key
+    of a join of two tables, which the planner can split.
     """
     links = links.select("a", "b").filter(F.col("a") != F.col("b"))
     links = materialize(_ordered(links).distinct(), "links")
-    before = None
     for _ in range(rounds):
-        large = _star(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+        large = _star(links)
         links = materialize(large.filter(F.col("a") > F.col("b")).distinct(), "links")
-        small = links.groupBy("a").agg(F.min("b").alias("least"))
+        small = materialize(links.groupBy("a").agg(F.min("b").alias("least")), "least")
         moved = links.join(small, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         links = moved.unionByName(small.select("a", F.col("least").alias("b")))
         links = materialize(_ordered(links.filter(F.col("a") != F.col("b"))).distinct(), "links")
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
+        if _settled(links):
             break
-        before = now
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = links.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
@@ -36,13 +33,23 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
     return roots.unionByName(own)
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether every node has one link, to a node that has none itself."""
+    further = links.select(F.col("a").alias("b")).distinct()
+    chained = links.join(further, "b", "left_semi").select("a")
+    several = links.groupBy("a").count().filter(F.col("count") > 1).select("a")
+    return chained.unionByName(several).isEmpty()
+
+
 def _ordered(links: DataFrame) -> DataFrame:
     """The larger node first."""
     return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
-def _star(both: DataFrame) -> DataFrame:
+def _star(links: DataFrame) -> DataFrame:
     """Links every larger neighbour of a node to the least of the node and its neighbours."""
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-    near = both.join(least, "a").filter(F.col("b") > F.col("a"))
+    back = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    least = links.unionByName(back).groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
+    # Each link is stored with its larger node first: ``back`` has the larger neighbours of ``a``.
+    near = back.join(materialize(least, "least"), "a")
     return near.select(F.col("b").alias("a"), F.col("least").alias("b"))

@@ -10,20 +10,21 @@ its length; coordinates left empty get another go at twice the height.
 
 *Candidates.*  ``BANDS`` bands of ``ROWS`` coordinates each name a bucket.  Within a bucket no
 pairs are listed: every member is compared with two of them, the least and the greatest text.
+At similarity 0.8 a pair shares a bucket with a chance of 0.9998.
 *Check.*  The Jaccard similarity of each compared pair is computed from its shingles.
-*Classes.*  Connected components of the links.  Where a bucket still holds several classes, one
-member of each class (another in every bucket and round) is compared with up to ``SLICES`` of the
-bucket's largest class and of one other, ``ROUNDS`` times.  At similarity 0.8 a pair shares a bucket with a chance of 0.9998.
+*Classes.*  Connected components of all links.  Before they are known, nodes near one least node count as a class:
+one member of each class of a bucket meets one of its largest class and one of another class.
 *Rest.*  Buckets that then still hold several classes are settled exactly: of the members of such buckets
 all pairs of different classes are compared, but for those that a prefix filter proves to be less
 similar.  Shingles are put in one order, rare ones first; two texts similar enough have their
 first common shingle so early in both that enough shingles are left after it.
 
-Copies are one text from the start: a group of copies is one node.  Texts are named by 64-bit hashes.
+Copies are one text from the start: a group of copies is one node.  Texts are named by two 64-bit hashes.
 
 Defined cases: texts without a word (null, empty, blank) are alone in a class.  The class id is
 the least doc_id of the class; null ids are in classes like others, and a class of null ids has a null
-class id.  Repeated rows are copies; one of them stays.  Other columns pass through.
+class id.  Repeated rows are copies; one of them stays.  Other columns pass through, whatever their
+names; those in ``MADE`` are replaced.
 """
 
 import math
@@ -35,17 +36,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termloom.llm.common import WORD, small_batches, text_of
+from termloom.llm.common import WORD, small_batches, text_keys, text_of
 from termloom.llm.components import connected
 from termloom.llm.hashing import U64, RunHasher, WordHasher, mix, unit
-from termloom.sources.shared import materialize
+from termloom.sources.shared import broadcast_within, materialize, rows_up_to_limit
 
 SHINGLE = 5
 LEAST_SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 K = BANDS * ROWS
-ROUNDS = 3
-SLICES = 8
+MADE = ["class_id", "class_size", "kept"]
 # Of the shingles of two texts together, the share that similar enough ones have in common.
 COMMON = LEAST_SIMILARITY / (1 + LEAST_SIMILARITY)
 # Counters by which shingles are put in order; two in one counter only look more frequent.
@@ -147,8 +147,9 @@ class Shingler:
 
 
 def sketch(df: DataFrame) -> DataFrame:
-    """``(node, bands)`` from ``(node, text)``: the bucket of each band; null without words."""
-    schema = "node long, bands array<long>"
+    """``(k1, k2, id, bands)`` from ``(k1, k2, id, text)``: the bucket of each band, for texts with words."""
+    names = ["k1", "k2", "id"]
+    schema = T.StructType([*(df.schema[c] for c in names), T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler()
@@ -160,8 +161,9 @@ def sketch(df: DataFrame) -> DataFrame:
                 sets = [shingler(t) for t in part["text"]]
                 values = signatures(sets).reshape(len(sets), BANDS, ROWS)
                 keys = mix((values * powers).sum(axis=2, dtype=U64) + salts).view(np.int64)
-                bands = [list(map(int, row)) if len(s) else None for row, s in zip(keys, sets, strict=True)]
-                yield pd.DataFrame({"node": part["node"].to_numpy(), "bands": pd.Series(bands, dtype=object)})
+                full = [len(s) > 0 for s in sets]
+                bands = pd.Series([list(map(int, row)) for row in keys], part.index, dtype=object)
+                yield part[names].assign(bands=bands)[full]
 
     return df.mapInPandas(run, schema)
 
@@ -205,82 +207,141 @@ def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return _similar(both.select("a", "b", "sa", "sb"))
 
 
-def classes(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``docs`` without the text, with ``node``, ``class_id``, ``class_size`` and ``kept``."""
-    made = ["node", "class_id", "class_size", "kept"]
-    docs = docs.drop(*(c for c in made if c != "doc_id"))
-    node = F.xxhash64(text_of())
-    texts = docs.select(node.alias("node"), text_of().alias("text"))
-    with small_batches(docs.sparkSession):
-        roots = materialize(roots_of(texts, rounds), "dedup-roots")
-    blank = ~F.regexp_like(text_of(), F.lit(WORD))
-    named = docs.withColumns({"node": node, "_blank": blank}).drop("text")
-    rows = named.join(roots.withColumnRenamed("node", "_of"), F.col("node") == F.col("_of"), "left")
-    rows = rows.withColumn("root", F.coalesce("root", "node")).drop("_of")
-    rows = materialize(rows, "dedup-rows")
-    per_class = (
-        rows.filter(~F.col("_blank"))
-        .groupBy(F.col("root").alias("_root"))
-        .agg(F.min("doc_id").alias("_least"), F.count("*").alias("_size"))
+def _own(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with ``k1``, ``k2``, ``id`` and ``text`` beside its own columns under names of no clash."""
+    names = {c: f"_own_{i}" for i, c in enumerate(docs.columns)}
+    named = docs.withColumnsRenamed(names)
+    text = text_of(names["text"])
+    k1, k2 = text_keys(text)
+    return named.withColumns({"k1": k1, "k2": k2, "id": F.col(names["doc_id"]), "text": text}), names
+
+
+def _known(keyed: DataFrame) -> DataFrame:
+    """``(k1, k2, n, root, class_id, class_size, least, twice)`` of every text with words.
+
+    ``least`` is the name and id of the document of the class that stays, ``twice`` whether rows share both
+    with another.
+    """
+    texts = keyed.select("k1", "k2", "id", "text")
+    with small_batches(keyed.sparkSession):
+        nodes = _nodes(texts)
+        roots = materialize(roots_of(texts, nodes), "dedup-roots")
+    rows = nodes.select("k1", "k2", "id", "n", "twice", "node").join(roots, "node", "left")
+    rows = materialize(rows.withColumn("root", F.coalesce("root", "node")), "dedup-rows")
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")
+    # Written: a side that is a plain table lets the planner split a very large class.
+    per_class = materialize(
+        rows.groupBy("root").agg(
+            F.min("id").alias("class_id"), F.sum("n").alias("class_size"), F.min(first).alias("least")
+        ),
+        "dedup-per-class",
     )
-    # Written first: a side that is a plain table lets the planner split a very large class.
-    per_class = materialize(per_class, "dedup-per-class")
-    alone = F.col("_blank")
-    df = rows.join(per_class, (F.col("root") == F.col("_root")) & ~F.col("_blank"), "left")
-    class_id = F.when(alone, F.col("doc_id")).otherwise(F.col("_least"))
-    return df.withColumns(
-        {
-            "class_id": class_id,
-            "class_size": F.when(alone, F.lit(1)).otherwise(F.col("_size")).cast("bigint"),
-            "kept": alone | F.col("doc_id").eqNullSafe(class_id),
-        }
-    ).select(*(c for c in named.columns if c not in ("node", "_blank")), *made)
-
-
-def roots_of(texts: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``(node, root)`` of the texts that are linked to others; from ``(node, text)``."""
-    sketches = materialize(sketch(texts).filter(F.col("bands").isNotNull()), "dedup-sketches")
-    members = sketches.select("node", F.explode("bands").alias("bucket")).distinct()
+    known = rows.join(per_class, "root").drop("node", "id")
+    return materialize(known, "dedup-known")
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """``docs`` without the text, with ``class_id``, ``class_size`` and ``kept``."""
+    keyed, names = _own(docs)
+    known = _known(keyed).select("k1", "k2", "class_id", "class_size", F.lit(True).alias("found"))
+    rows = keyed.drop("text").join(known, ["k1", "k2"], "left")
+    alone = F.col("found").isNull()
+    class_id = F.when(alone, F.col("id")).otherwise(F.col("class_id"))
+    passed = [F.col(new).alias(c) for c, new in names.items() if c not in ("text", *MADE)]
+    return rows.select(
+        *passed,
+        class_id.alias("class_id"),
+        F.when(alone, F.lit(1)).otherwise(F.col("class_size")).cast("bigint").alias("class_size"),
+        (alone | F.col("id").eqNullSafe(class_id)).alias("kept"),
+    )
+
+
+def _nodes(texts: DataFrame) -> DataFrame:
+    """``(node, k1, k2, id, n, twice, bands)`` of each different text: its least id, how many rows have it, and
+    whether several of them have the least id."""
+    sketches = materialize(sketch(texts), "dedup-sketches")
+    per_id = sketches.groupBy("k1", "k2", "id").agg(F.count("*").alias("n"), F.first("bands").alias("bands"))
+    first = F.struct(F.col("id").isNull().alias("none"), "id")
+    nodes = per_id.groupBy("k1", "k2").agg(
+        F.min("id").alias("id"), F.sum("n").alias("n"),
+        F.min_by(F.col("n") > 1, first).alias("twice"), F.first("bands").alias("bands"),
+    )
+    return materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "dedup-nodes")
+
+
+def roots_of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(node, root)`` of the nodes that are linked to others."""
+    members = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(
-        F.min("node").alias("low"), F.max("node").alias("high")
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")
     )
-    shared = materialize(shared.filter(F.col("low") != F.col("high")), "dedup-buckets")
-    members = materialize(members.join(shared.select("bucket"), "bucket"), "dedup-members")
+    shared = materialize(shared.filter(F.col("n") > 1), "dedup-buckets")
+    members = materialize(members.join(shared, "bucket"), "dedup-members")
 
-    wanted = members.select("node").distinct()
-    chosen = texts.join(wanted, "node", "left_semi")
+    # A copy stands for all: the row, or rows, of a node with its least id.
+    wanted = materialize(
+        nodes.join(members.select("node").distinct(), "node", "left_semi").select("k1", "k2", "id", "node"),
+        "dedup-wanted",
+    )
+    same = (texts.k1 == wanted.k1) & (texts.k2 == wanted.k2) & texts.id.eqNullSafe(wanted.id)
+    # By shuffle at every size, as ever larger inputs would need it.
+    chosen = texts.join(wanted.hint("merge"), same).select("node", "text")
     sets = shingle_sets(chosen).groupBy("node").agg(F.first("shingles").alias("shingles"))
     sets = materialize(sets, "dedup-sets")
 
-    ends = members.join(shared, "bucket").select("node", F.explode(F.array("low", "high")).alias("b"))
+    ends = members.select("node", F.explode(F.array("low", "high")).alias("b"))
     pairs = ends.filter(F.col("node") != F.col("b")).select(
         F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")
     )
-    tested = materialize(pairs.distinct(), "dedup-pairs")
-    links = materialize(_checked(tested, sets), "dedup-links")
-    roots = materialize(connected(links), "dedup-round")
-    for number in range(1, rounds + 1):
-        more = _between_classes(members, roots, number).join(tested, ["a", "b"], "left_anti")
-        more = materialize(more, "dedup-pairs")
-        if more.isEmpty():
+    links = materialize(_checked(pairs.distinct(), sets), "dedup-links")
+    members = members.select("node", "bucket")
+    for find in (_between_classes, _rest):
+        more = find(members, materialize(_provisional(links), "dedup-classes"), sets)
+        if more is None:
             break
-        found = materialize(_checked(more, sets), "dedup-links")
-        tested = tested.unionByName(more)
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            roots = materialize(connected(links), "dedup-round")
-    more = _rest(members, roots, sets)
-    if more is not None:
-        found = materialize(_checked(more, sets), "dedup-links")
-        if not found.isEmpty():
-            roots = materialize(connected(links.unionByName(found)), "dedup-round")
-    return roots
+        links = links.unionByName(materialize(_checked(more, sets), "dedup-links"))
+    return connected(links)
+
+
+def _provisional(links: DataFrame) -> DataFrame:
+    """``(node, root)``: the least node within three links.
+
+    Nodes of one root are of one class.  A class may still have several roots; pairs of these are compared
+    for nothing.
+    """
+    back = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    both = links.select("a", "b").unionByName(back)
+    near = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root"))
+    for _ in range(2):
+        reach = both.join(near.withColumnRenamed("a", "b"), "b").select("a", "root")
+        near = reach.unionByName(near).groupBy("a").agg(F.min("root").alias("root"))
+    return near.withColumnRenamed("a", "node")
+
+
+def _between_classes(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs across the classes of a bucket: one member of each class with one of the largest class and with
+    one of another class; at most two pairs for each class of a bucket."""
+    rows = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    pick = F.xxhash64("node", "bucket")
+    per_class = rows.groupBy("bucket", "root").agg(F.min_by("node", pick).alias("node"), F.count("*").alias("size"))
+    per_class = materialize(per_class, "dedup-picked")
+    class_, turn = F.struct("root", "node"), F.xxhash64("root", "bucket")
+    chosen = per_class.groupBy("bucket").agg(
+        F.max_by(class_, F.struct("size", "root")).alias("largest"),
+        F.max_by(class_, turn).alias("other"),
+        F.count("*").alias("n"),
+    )
+    chosen = materialize(chosen.filter(F.col("n") > 1).select("bucket", F.array("largest", "other").alias("centers")), "dedup-centers")
+    met = per_class.join(chosen, "bucket").select("root", "node", F.explode(F.array_distinct("centers")).alias("center"))
+    return met.filter(F.col("root") != F.col("center.root")).select(
+        F.greatest("node", "center.node").alias("a"), F.least("node", "center.node").alias("b")
+    ).distinct()
 
 
 def _rest(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame | None:
     """Pairs of different classes, of all nodes in buckets that still hold several classes: every
     pair that can reach the limit is among them."""
-    rows = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = members.select("node", "bucket").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # In a bucket of three every pair has met already.
     held = rows.groupBy("bucket").agg(
         F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")
@@ -374,45 +435,20 @@ def _first_shingles(sets: DataFrame, frequencies: np.ndarray) -> DataFrame:
     return sets.select("node", "root", "shingles").mapInPandas(run, schema)
 
 
-def _between_classes(members: DataFrame, roots: DataFrame, number: int) -> DataFrame:
-    """Pairs across the classes of a bucket: a member of each class with some members of the
-    largest class and of another one, which changes from round to round."""
-    rows = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    pick = F.xxhash64("node", "bucket", F.lit(number))
-    # Picked by slices, so that a class gives up to SLICES members and minima are all it takes.
-    picked = rows.groupBy("bucket", "root", F.pmod(pick, F.lit(SLICES)).alias("slice")).agg(
-        F.min_by("node", pick).alias("node"), F.count("*").alias("size")
-    )
-    picked = materialize(picked, "dedup-picked")
-    per_class = picked.groupBy("bucket", "root").agg(
-        F.min_by("node", "slice").alias("node"), F.sum("size").alias("size")
-    )
-    turn = F.xxhash64("root", "bucket", F.lit(number))
-    chosen = per_class.groupBy("bucket").agg(
-        F.max_by("root", F.struct("size", "root")).alias("largest"),
-        F.max_by("root", turn).alias("other"),
-        F.count("*").alias("n"),
-    )
-    chosen = chosen.filter(F.col("n") > 1).select(
-        "bucket", F.explode(F.array_distinct(F.array("largest", "other"))).alias("center")
-    )
-    centers = picked.join(chosen, "bucket").filter(F.col("root") == F.col("center"))
-    others = per_class.join(chosen, "bucket").filter(F.col("root") != F.col("center"))
-    pairs = others.select("bucket", "center", "node").join(
-        centers.select("bucket", "center", F.col("node").alias("b")), ["bucket", "center"]
-    )
-    return pairs.select(
-        F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")
-    ).distinct()
-
-
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class: the one with the least id."""
-    found = classes(docs.select("doc_id", "text"))
-    stay = found.filter("kept").select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"), "class_size")
-    stay = materialize(stay.distinct(), "dedup-kept")
-    text = docs.withColumn("_text", F.xxhash64(text_of()))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_node"))
-    kept = text.join(stay.drop("class_size"), same, "left_semi")
-    # A row given twice has its id and its text in common with the other.
-    return kept.dropDuplicates(["doc_id", "_text"]).select(docs.columns)
+    """``docs`` with one document of each class: the one with the least id.
+
+    Only texts in classes of several rows are looked up; whole documents are moved where rows share id and text.
+    """
+    keyed, names = _own(docs)
+    known = _known(keyed).filter(F.col("class_size") > 1)
+    stays = (F.col("least.k1") == F.col("k1")) & (F.col("least.k2") == F.col("k2"))
+    several = known.select("k1", "k2", "class_id", stays.alias("stays"), "twice")
+    several = materialize(several, "dedup-several")
+    small = broadcast_within(several, rows_up_to_limit(several))
+    rows = keyed.drop("text").join(small, ["k1", "k2"], "left")
+    left = rows.filter(F.col("stays").isNull() | (F.col("stays") & F.col("id").eqNullSafe(F.col("class_id"))))
+    if not several.filter("stays AND twice").isEmpty():
+        twice = F.coalesce("twice", F.lit(False))
+        left = left.filter(~twice).unionByName(left.filter(twice).dropDuplicates(["k1", "k2"]))
+    return left.select(*(F.col(new).alias(c) for c, new in names.items()))
