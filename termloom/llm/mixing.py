@@ -18,6 +18,7 @@ Repeated rows share their fate.  Other columns pass through; columns in ``MADE``
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from termloom.llm.common import WORD, set_aside, text_of
@@ -25,6 +26,7 @@ from termloom.sources.shared import broadcast_within, materialize, rows_up_to_li
 
 MADE = ["topic", "n_tokens", "weight", "probability", "taken"]
 MARGINALS = ["source", "lang", "topic"]
+SWEEPS_PER_WRITE = 2
 
 
 @dataclass(frozen=True)
@@ -74,33 +76,31 @@ def rake(
 ) -> DataFrame:
     """``cells`` with ``weight``, whose marginals have the target shares.
 
-    Every sweep is written out: its three joins start from files, not from all earlier sweeps.
+    A marginal's sums are windows over the cells, so a sweep is three shuffles of cells and no join; every few
+    sweeps are written out.
     """
     mix = mix or Mix()
     total = cells.agg(F.sum("tokens")).first()[0] or 0.0
-    goals = {}
-    for m in marginals:
+    raked = cells.withColumn("weight", F.col("tokens"))
+    for i, m in enumerate(marginals):
         wanted = (targets or {}).get(m)
         wanted = own_targets(cells, m, mix.flatten) if wanted is None else wanted
         here = cells.filter(F.col("tokens") > 0).select(F.col(m).alias("value")).distinct()
         wanted = wanted.withColumn("value", _value("value")).groupBy("value").agg(F.sum("share").alias("share"))
         wanted = materialize(wanted.join(here, "value", "left_semi"), f"mix-{m}")
         whole = wanted.agg(F.sum("share")).first()[0] or 1.0
-        goals[m] = wanted.select("value", (F.col("share") / whole * total).alias("goal"))
-    raked = cells.withColumn("weight", F.col("tokens"))
-    for _ in range(mix.sweeps):
-        for m in marginals:
-            sums = raked.groupBy(F.col(m).alias("value")).agg(F.sum("weight").alias("now"))
-            factors = sums.join(goals[m], "value", "left").select(
-                F.col("value").alias(m),
-                F.when(F.col("now") > 0, F.coalesce("goal", F.lit(0.0)) / F.col("now"))
-                .otherwise(0.0)
-                .alias("factor"),
+        goal = (F.col("share") / whole * total).alias(f"_goal{i}")
+        raked = raked.join(wanted.select(F.col("value").alias(m), goal), m, "left")
+    raked = raked.select(*cells.columns, "weight", *(F.coalesce(f"_goal{i}", F.lit(0.0)).alias(f"_goal{i}") for i in range(len(marginals))))
+    for sweep in range(mix.sweeps):
+        for i, m in enumerate(marginals):
+            now = F.sum("weight").over(W.partitionBy(m))
+            raked = raked.withColumn("_now", now).withColumn(
+                "weight", F.when(F.col("_now") > 0, F.col("weight") * F.col(f"_goal{i}") / F.col("_now")).otherwise(0.0)
             )
-            raked = raked.join(factors, m).withColumn("weight", F.col("weight") * F.col("factor"))
-            raked = raked.drop("factor").select(*cells.columns, "weight")
-        raked = materialize(raked, "mix-sweep")
-    return raked
+        if sweep % SWEEPS_PER_WRITE == SWEEPS_PER_WRITE - 1 or sweep == mix.sweeps - 1:
+            raked = materialize(raked.drop("_now"), "mix-sweep")
+    return raked.select(*cells.columns, "weight")
 
 
 def calibrate(raked: DataFrame, fraction: float) -> DataFrame:
