@@ -40,10 +40,10 @@ from termloom.llm.common import small_batches
 from termloom.sources.shared import broadcast_within, materialize
 
 # Bytes of text in work at once; one longer text is taken alone.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 ROW_UNITS = 32
-# Units remembered per task, some 100 MB; results do not depend on it.
-CACHE_UNITS = 400_000
+# Units remembered per task, some 50 MB; results do not depend on it.
+CACHE_UNITS = 200_000
 # Most pairs whose counts are sent to all tasks, some 5 MB.
 SHARED_PAIRS = 200_000
 # Partial counts of a task are merged when there are this many, and handed on at twice as many.
@@ -388,7 +388,7 @@ def with_counts(aligned: DataFrame) -> DataFrame:
     """
     spark = aligned.sparkSession
     kept = [c for c in aligned.columns if c not in ("link_a", "link_b")]
-    with small_batches(spark, 1_000):
+    with small_batches(spark, 500):
         rows = materialize(aligned.withColumn("row", F.monotonically_increasing_id()), "align-rows")
         counts = materialize(pair_counts(rows), "align-counts")
     highest = counts.groupBy("b").agg(F.max("count").alias("highest"))
@@ -404,7 +404,7 @@ def with_counts(aligned: DataFrame) -> DataFrame:
             break
         from_bin = size["bin"]
     frequent = counts.filter(F.col("bin") >= from_bin).select("a", "b", "count", "best").toArrow()
-    with small_batches(spark, 1_000):
+    with small_batches(spark, 500):
         summed = materialize(_summed(rows.select(*kept, "row", "link_a", "link_b"), frequent, kept), "align-summed")
     rare = counts.filter(F.col("bin") < from_bin)
     rest = summed.select("row", F.inline("rest")).join(rare, ["a", "b"])
