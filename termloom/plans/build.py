@@ -39,6 +39,7 @@ SLICE_ROWS = 50_000_000  # entries per file above which a bucket gets more files
 PART_ROWS = 1_000_000  # entries per part of a term
 MAX_HOT_TERMS = 100_000  # most terms that may have more than one part
 DOC_BUCKET_ROWS = 100_000  # documents per bucket of the table that titles are read from
+LEVEL_RATIO = 2  # a level of statistics is more than so many times larger than those after it
 MAX_BATCHES = 100  # batches an index may have before they are rewritten as one
 
 
@@ -167,19 +168,12 @@ def _store_batch(draft: Index, rows: DataFrame, old: Index | None) -> Index:
     if not draft.single_row:
         merged = merge_counts(entries)
         entries = materialize(merged.withColumn("doc_len", F.lit(None).cast("bigint")), "entries")
-    statistics = _statistics(entries, draft, old)
-    bucket = bucket_of(F.col("term"), F.lit(0), draft.buckets)
-    write_terms(statistics.withColumn("bucket", bucket), draft.path, batch, draft.buckets)
-    # Read back: a sum observed while writing would count a task that ran twice twice.
-    totals = draft.term_table().agg(
-        F.coalesce(F.sum("df"), F.lit(0)).alias("n_postings"),
-        F.coalesce(F.max("df"), F.lit(0)).alias("max_df"),
-    )
+    draft, totals = _store_level(term_statistics(entries) if old is None else _additions(entries, draft, old), draft, old)
     if draft.single_row and not draft.repeats:
         n_docs = seen.get["rows"] + (old.n_docs if old else 0)
     else:
         n_docs = draft.docs().count()
-    draft = _changed(draft, n_docs=n_docs, **totals.first().asDict())
+    draft = _changed(draft, n_docs=n_docs, **totals)
     # Only this batch's entries are written, so the total is an upper bound.
     slices = draft.buckets * max(1, draft.n_postings // (draft.buckets * SLICE_ROWS))
     parted = _with_parts(entries, draft)
@@ -217,21 +211,62 @@ def _write_stems(index: Index) -> None:
     write_terms(rows.withColumn("bucket", bucket), index.path, index.version, index.buckets, "stems")
 
 
-def _statistics(entries: DataFrame, draft: Index, old: Index | None) -> DataFrame:
-    """Statistics of all terms after the entries of a batch came in."""
-    added = term_statistics(entries)
-    if old is None:
-        return added
-    before = old.term_table().select(*added.columns)
+def _additions(entries: DataFrame, draft: Index, old: Index) -> DataFrame:
+    """What a batch's entries add to the statistics of their terms."""
     if draft.single_row:
-        return term_statistics(added.unionByName(before), merge=True)
-    # A document may have had the term before; its terms are counted anew, the others stay.
+        return term_statistics(entries)
+    # A document may have had the term before, so the terms are counted anew, and the additions are the
+    # differences; a bin of ``tf`` that a document has left loses it.
     touched = materialize(entries.select("term").distinct(), "touched-terms")
     touched = broadcast_within(touched, rows_up_to_limit(touched))
     there = old.posting_table().join(touched, "term", "left_semi")
     both = there.select("term", "doc_id", "tf").unionByName(entries.select("term", "doc_id", "tf"))
     again = term_statistics(merge_counts(both))
-    return again.unionByName(before.join(touched, "term", "left_anti"))
+    before = old.term_table().join(touched, "term", "left_semi")
+    taken = before.select(
+        "term",
+        (-F.col("df")).alias("df"),
+        (-F.col("term_total")).alias("term_total"),
+        F.transform("tf_bins", lambda n: -n).alias("tf_bins"),
+    )
+    return term_statistics(again.unionByName(taken), merge=True)
+
+
+def _store_level(added: DataFrame, draft: Index, old: Index | None) -> tuple[Index, dict]:
+    """Write a batch's additions as a level, with the levels before it that are not much larger.
+
+    A level is more than ``LEVEL_RATIO`` times as large as all after it together.  So there are few, a term's row
+    is written again a few times in all, and the level of a large index stays where it is when a small batch comes.
+    Returns the index with its levels, and its totals of entries.
+    """
+    levels, taken = list(old.levels if old else ()), []
+    if old is not None:
+        added = materialize(added, "additions")
+        rows = added.count()
+        while levels and levels[-1][1] <= LEVEL_RATIO * rows:
+            taken.append(levels[-1][0])
+            rows += levels.pop()[1]
+    merged = added
+    if taken:
+        before = old.level_rows(taken).select(*added.columns)
+        merged = term_statistics(added.unionByName(before), merge=True)
+    bucket = bucket_of(F.col("term"), F.lit(0), draft.buckets)
+    write_terms(merged.withColumn("bucket", bucket), draft.path, draft.version, draft.buckets)
+    # Read back: a sum observed while writing would count a task that ran twice twice.
+    written = draft.level_rows([draft.version])
+    size = F.count("*").alias("rows")
+    sums = F.coalesce(F.sum("df"), F.lit(0)).alias("n_postings")
+    most = F.coalesce(F.max("df"), F.lit(0)).alias("max_df")
+    totals = written.agg(size, sums, most).first().asDict()
+    levels.append((draft.version, totals.pop("rows")))
+    draft = _changed(draft, levels=tuple(levels))
+    if old is not None:
+        # Only terms of the batch can have become more frequent.
+        touched = broadcast_within(added.select("term"), rows_up_to_limit(added))
+        now = draft.term_table().join(touched, "term", "left_semi").agg(most).first()[0]
+        more = added.agg(sums).first()[0]
+        totals = {"n_postings": old.n_postings + more, "max_df": max(old.max_df, now)}
+    return draft, totals
 
 
 def _tokenised(docs: DataFrame, index: Index) -> DataFrame:

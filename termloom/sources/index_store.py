@@ -3,7 +3,7 @@
 ``documents``  doc_id, title, doc_len, terms        one folder per batch
 ``docs``       doc_id, title, doc_len, n_rows       one folder per batch and bucket of the id
 ``postings``   term, part, doc_id, tf, doc_len      one folder per batch, kind and bucket
-``terms``      term, df, term_total, tf_bins        one folder per version and bucket
+``terms``      term, df, term_total, tf_bins        one folder per level and bucket
 ``stems``      the same for stems, and their terms  one folder per version and bucket, if asked for
 ``meta``       corpus size and parameters           one row per version
 
@@ -16,6 +16,9 @@ Postings of a batch lie apart by whether their term is ``rare`` in the batch, in
 documents.  The others are in the vocabulary whatever comes, so reading the postings of an index
 of one batch needs no look at its terms, and no shuffle.
 
+Term statistics lie in levels, named by the version that wrote them.  An append writes a level with its own
+batch's additions only; a term's statistics are the sums over the levels that ``meta`` lists.
+
 The ``meta`` row is written last.  Readers take the batches up to the newest version, so
 a build or an append that dies half-way stays invisible and can be repeated.
 """
@@ -27,15 +30,18 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from termloom.operators.postings import term_statistics
 from termloom.sources.shared import BROADCAST_ROWS, broadcast_within
 
 META_SCHEMA = (
     "n_docs bigint, n_postings bigint, max_df bigint, min_df int, pattern string, "
     "stopwords array<string>, buckets int, part_rows bigint, single_row boolean, "
     "id_type string, repeats boolean, fixed_sizes boolean, base int, last_batch string, "
-    "doc_buckets int, stem boolean, version int"
+    "doc_buckets int, stem boolean, levels array<struct<version: int, rows: bigint>>, version int"
 )
 
+TERM_SCHEMA = "term string, df bigint, term_total bigint, tf_bins array<bigint>"
+
 
 def n_parts(df: Column, part_rows: int) -> Column:
     """Number of parts of a term found in ``df`` documents."""
@@ -73,6 +79,7 @@ class Index:
     last_batch: str = ""  # name of the stream batch that came last
     doc_buckets: int = 1
     stem: bool = False  # whether statistics by stem are stored
+    levels: tuple[tuple[int, int], ...] = ()  # version and rows of the levels of term statistics
     by_stem: bool = False  # whether this is the view whose terms are stems
 
     @property
@@ -132,10 +139,19 @@ class Index:
 
         By stem there is a column ``variants`` more, the words of the stem with their own frequencies.
         """
-        more = ", variants array<struct<term: string, df: bigint>>" if self.by_stem else ""
-        schema = f"term string, df bigint, term_total bigint, tf_bins array<bigint>{more}, version int, bucket int"
-        rows = self._read("stems" if self.by_stem else "terms", schema)
-        return rows.filter(F.col("version") == self.version).drop("version")
+        if not self.by_stem:
+            rows = self.level_rows([version for version, _ in self.levels])
+            if len(self.levels) == 1:
+                return rows
+            summed = term_statistics(rows, ["bucket", "term"], merge=True)
+            return summed.select("term", "df", "term_total", "tf_bins", "bucket")
+        schema = f"{TERM_SCHEMA}, variants array<struct<term: string, df: bigint>>, version int, bucket int"
+        return self._read("stems", schema).filter(F.col("version") == self.version).drop("version")
+
+    def level_rows(self, versions: list[int]) -> DataFrame:
+        """The rows of some levels of term statistics, with bucket; a term may have one in each."""
+        rows = self._read("terms", f"{TERM_SCHEMA}, version int, bucket int")
+        return rows.filter(F.col("version").isin(versions)).drop("version")
 
     def vocabulary(self) -> DataFrame:
         """The rows of ``term_table`` that are found in more than ``min_df`` documents."""
@@ -298,6 +314,12 @@ def write_meta(index: Index) -> None:
         F.lit(index.last_batch).alias("last_batch"),
         F.lit(index.doc_buckets).alias("doc_buckets"),
         F.lit(index.stem).alias("stem"),
+        F.array(
+            *(
+                F.struct(F.lit(version).alias("version"), F.lit(rows).cast("bigint").alias("rows"))
+                for version, rows in index.levels
+            )
+        ).alias("levels"),
     )
     row.write.mode("overwrite").parquet(f"{index.path}/meta/version={index.version}")
 
@@ -311,6 +333,7 @@ def read_index(spark: SparkSession, path: str) -> Index:
         raise FileNotFoundError(f"no index under {path}")
     fields = newest[0].asDict()
     fields["stopwords"] = tuple(fields["stopwords"])
+    fields["levels"] = tuple((level["version"], level["rows"]) for level in fields["levels"])
     return Index(spark=spark, path=path, **fields)
 
 
@@ -339,6 +362,7 @@ def delete_index(spark: SparkSession, path: str) -> bool:
 
 def drop_old_versions(index: Index) -> None:
     """Remove what only earlier versions than ``index`` read."""
+    live = {version for version, _ in index.levels}
     for table, key, last in (
         ("meta", "version", index.version - 1),
         ("terms", "version", index.version - 1),
@@ -348,6 +372,8 @@ def drop_old_versions(index: Index) -> None:
         ("docs", "batch", index.base - 1),
     ):
         for number in range(last + 1):
+            if table == "terms" and number in live:
+                continue
             files, folder = _hadoop(index.spark, f"{index.path}/{table}/{key}={number}")
             files.delete(folder, True)
 

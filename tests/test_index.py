@@ -265,3 +265,57 @@ def test_posting_lists_of_string_ids(build, spark):
 
 def test_no_index_where_there_is_nothing(spark, tmp_path):
     assert not index_exists(spark, str(tmp_path / "none"))
+
+
+def test_an_append_writes_its_own_terms_only(build, mini, spark):
+    def rows_written(index):
+        return spark.read.parquet(f"{index.path}/terms/version={index.version}").count()
+
+    index = build(mini)
+    one = spark.createDataFrame([(50, "duck kayak", None)], mini.schema)
+    more = add_documents(index, one)
+    assert rows_written(more) == 2 and more.levels == ((0, 8), (1, 2))
+    assert content(more) == content(build(mini.unionByName(one))) == content(read_index(spark, more.path))
+    assert (more.max_df, more.n_postings) == (4, 15)
+    bins = {r.term: r.tf_bins[:2] for r in more.term_table().collect()}
+    assert bins["duck"] == [3, 1] and bins["kayak"] == [1, 0]
+    drop_old_versions(more)
+    assert content(read_index(spark, more.path)) == content(more)
+
+
+def test_levels_of_like_size_are_merged(build, mini, spark):
+    index = build(mini)
+    parts = [(60 + i, f"duck canoe{i % 2}", None) for i in range(6)]
+    sizes = []
+    for part in parts:
+        index = add_documents(index, spark.createDataFrame([part], mini.schema))
+        sizes.append([rows for _, rows in index.levels])
+        for larger, i in zip(sizes[-1], range(1, len(sizes[-1]))):
+            assert larger > 2 * sum(sizes[-1][i:])
+    assert max(map(len, sizes)) > 1
+    assert content(index) == content(build(mini.unionByName(spark.createDataFrame(parts, mini.schema))))
+
+
+def test_a_document_moves_to_another_bin(build, spark):
+    def rows(*pairs):
+        return spark.createDataFrame(pairs, "doc_id string, text string")
+
+    many = [(f"d{i}", f"word{i} other{i}") for i in range(10)]
+    index = build(rows(("x", "duck"), *many), single_row=False)
+    index = add_documents(index, rows(("x", "duck")))
+    assert len(index.levels) == 2
+    duck = index.term_table().filter("term = 'duck'").first()
+    assert (duck.df, duck.term_total, duck.tf_bins[:2]) == (1, 2, [0, 1])
+
+
+def test_look_ups_in_levels_open_few_buckets(build, mini, spark):
+    words = [(100 + i, " ".join(f"word{k}" for k in range(i, i + 8)), None) for i in range(30)]
+    index = build(spark.createDataFrame(words, mini.schema), buckets=16)
+    index = add_documents(index, mini.filter("doc_id = 5"))
+    assert len(index.levels) == 2
+    wanted = spark.createDataFrame([("duck", 1)], "term string, df bigint")
+    side = F.broadcast(index.place(wanted).select("bucket", "term").filter("bucket >= 0"))
+    joined = index.vocabulary().join(side, ["bucket", "term"])
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in text
+    assert [r.term for r in joined.collect()] == ["duck"]
