@@ -1,6 +1,6 @@
 """Readers for the inputs: documents, ranks, views, relevance lists, pages."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -10,6 +10,8 @@ from termloom.sources.shared import spread_rows
 # Fixed value: a link of a page, with its address and its text.
 LINK_PATTERN = r'<a href="([^"]*)">([^<]*)</a>'
 
+QRELS = "map<string,array<bigint>>"
+
 
 def scan_documents(spark: SparkSession, path: str, id_column: str = "id") -> DataFrame:
     """``(doc_id, text)`` from Parquet; other columns are not read."""
@@ -42,16 +44,54 @@ def scan_pageviews(spark: SparkSession, path: str) -> DataFrame:
 def scan_qrels(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
     """``(query_id, query_text, doc_id)`` from JSON objects ``{query: [id, ...], ...}``.
 
-    The query id is a hash of the text.  Normally a line holds an object, so large files are read in splits.  ``whole_files``
-    is for an object that spans lines, one per file.
+    The query id is a hash of the text.  Normally a line holds an object.  ``whole_files`` is for objects that
+    span lines.  Large files are read in splits either way.
     """
-    lines = spark.read.text(path, wholetext=whole_files)
-    parsed = F.from_json("value", "map<string,array<bigint>>")
-    per_query = lines.select(F.explode(parsed).alias("query_text", "ids"))
+    if whole_files:
+        lists = _lists_over_lines(spark, path)
+    else:
+        lists = spark.read.text(path).select(F.from_json("value", QRELS).alias("lists"))
+    per_query = lists.select(F.explode("lists").alias("query_text", "ids"))
     query_id = F.xxhash64("query_text").alias("query_id")
     return per_query.select(query_id, "query_text", F.explode("ids").alias("doc_id"))
 
 
+def _lists_over_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(lists)``: maps from query to ids, from objects over many lines, of which many tasks read one.
+
+    Every list ends in ``]``, so files are read by pieces up to the next one, whatever split they lie in; with its end put
+    back, a piece is an object of its own.  A query with ``]`` in its text lies in several pieces, none of which
+    is an object: quotes inside a text are escaped.  Such neighbours are put together, in file order, and read then.
+    """
+
+    def lists_in(text: Column) -> Column:
+        body = F.regexp_replace(text, r"^[\s{},]+", "")
+        parsed = F.from_json(F.concat(F.lit("{"), body, F.lit("]}")), QRELS)
+        return F.when(body != "", parsed).otherwise(F.create_map().cast(QRELS))
+
+    place = F.struct(
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")
+    )
+    pieces = spark.read.option("lineSep", "]").text(path)
+    pieces = pieces.select(F.col("_metadata.file_path").alias("file"), place.alias("at"), "value")
+    pieces = pieces.withColumn("lists", lists_in(F.col("value")))
+    whole = pieces.filter(F.col("lists").isNotNull()).select("lists")
+    if pieces.filter(F.col("lists").isNull()).isEmpty():
+        return whole
+    # Blank pieces are the ends of objects, or inside a text.
+    loose = F.col("lists").isNull() | (F.size("lists") == 0)
+    kept = pieces.select("file", "at", F.when(loose, F.col("value")).alias("value"))
+    among_all = numbered(kept, "file", "at").filter(F.col("value").isNotNull())
+    among_all = among_all.select("file", "value", F.col("place").alias("number"))
+    among_torn = numbered(among_all, "file", "number")
+    # Neighbours have the same difference of the two numbers.
+    run = (F.col("number") - F.col("place")).alias("run")
+    runs = among_torn.groupBy("file", run).agg(F.sort_array(F.collect_list(F.struct("number", "value"))).alias("parts"))
+    joined = F.array_join(F.transform("parts", lambda p: p["value"]), "]")
+    joined = F.regexp_replace(joined, r"(\][\s{},]*)+$", "")
+    return whole.unionByName(runs.select(lists_in(joined).alias("lists")))
+
+
 def write_qrels(qrels: DataFrame, path: str, block_docs: int = 65_536) -> None:
     """Write ``(query_text, doc_id)`` as such lines.
 

@@ -121,6 +121,28 @@ def test_qrels_in_one_object(spark, tmp_path):
     assert set(map(tuple, whole.select("query_text", "doc_id").collect())) == expected
 
 
+@pytest.mark.parametrize("split", ["64b", "128m"])
+def test_qrels_over_lines_in_splits(spark, tmp_path, split):
+    odd = ["plain", "a ] b", "[x], [y]", 'say "]" twice ]]', "], ", "}{", "tab\t\\ ]", "ünï ] ✓", "last"]
+    truth = {f"{text} {i}": [10 * i + k for k in range(i % 4)] for i, text in enumerate(odd * 3)}
+    for name, indent in (("one.json", 2), ("two.json", None)):
+        (tmp_path / name).write_text(json.dumps({f"{name} {q}": ids for q, ids in truth.items()}, indent=indent))
+    (tmp_path / "empty.json").write_text("{}\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        found = tables.scan_qrels(spark, str(tmp_path), whole_files=True)
+        rows = sorted(map(tuple, found.select("query_text", "doc_id").collect()))
+        tasks = spark.read.option("lineSep", "]").text(str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    names = ("one.json", "two.json")
+    assert rows == sorted((f"{n} {q}", i) for n in names for q, ids in truth.items() for i in ids)
+    assert tasks > 20 or split == "128m"
+
+
 def test_page_readers(spark):
     html = '<title>Home</title><a href="/x">to x</a> <a href="/y"></a><a href="/x">x</a>'
     pages = spark.createDataFrame([(1, "u", html)], "page_id int, url string, html string")
