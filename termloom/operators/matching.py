@@ -1,6 +1,8 @@
 """Query terms meet postings, document lengths and titles."""
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.sources.index_store import Index, bucket_of
@@ -31,12 +33,21 @@ def lookup_terms(index: Index, query_terms: DataFrame, rows: int) -> DataFrame:
     return index.vocabulary().join(side, ["bucket", "term"]).drop("bucket")
 
 
+def least_tf() -> Column:
+    """The smallest ``tf`` with which an entry of a term can reach its query's ``floor``."""
+    # A little less than the quotient, as the product that is held against the floor is rounded.
+    quotient = F.ceil(F.col("floor") / F.col("idf") * (1 - 1e-9)).cast("int")
+    bounded = (F.col("idf") > 0) & (F.col("floor") > 0)
+    return F.greatest(F.lit(1), F.when(bounded, quotient).otherwise(1))
+
+
 def match_postings(index: Index, query_terms: DataFrame, rows: int) -> DataFrame:
     """Join ``query_terms`` (with ``df``) to the index's postings.
 
     The small side is one row per query, term and part of the term (by stem: of each of its words).  It is broadcast
     when ``rows``, the number of such rows, is within the limit, and postings then stay
-    where they are.  Otherwise both sides are shuffled; see ``_shuffled_match``.
+    where they are.  A few terms also go into the scan's filter; with a ``floor``, so does the least ``tf`` that reaches it,
+    and blocks of lighter entries are not opened.  Otherwise both sides are shuffled; see ``_shuffled_match``.
     """
     # Always true, but it marks the side as selective, so that the planner prunes the
     # scan to the buckets on that side.
@@ -49,8 +60,13 @@ def match_postings(index: Index, query_terms: DataFrame, rows: int) -> DataFrame
     word = "variant" if index.by_stem else "term"
     postings = postings.withColumnRenamed("term", word)
     if rows <= SCAN_TERMS:
-        few = [row[0] for row in places.select(word).distinct().collect()]
-        postings = postings.filter(F.col(word).isin(few))
+        # A stem's entries are sums over its words, which one word's entry says nothing about.
+        least = least_tf() if "floor" in places.columns and not index.by_stem else F.lit(1)
+        few = places.groupBy(word).agg(F.min(least)).collect()
+        postings = postings.filter(F.col(word).isin([term for term, _ in few]))
+        if any(tf > 1 for _, tf in few):
+            heavy = ((F.col(word) == term) & (F.col("tf") >= tf) for term, tf in few)
+            postings = postings.filter(reduce(Column.__or__, heavy))
     keys = ["bucket", word, "part"]
     if rows <= BROADCAST_ROWS:
         matches = postings.join(F.broadcast(places), keys)

@@ -8,7 +8,7 @@
 ``meta``       corpus size and parameters           one row per version
 
 A term's bucket follows from the term, so looking up query terms opens only their
-buckets (partition pruning).  Inside a bucket, files are sorted by term.  A term in more
+buckets (partition pruning).  Inside a bucket, files are sorted by term, and a term's postings by falling ``tf``.  A term in more
 than ``part_rows`` documents is cut into parts, which land in different buckets: neither
 a file nor a join key ever holds much more than ``part_rows`` entries.
 
@@ -24,13 +24,14 @@ a build or an append that dies half-way stays invisible and can be repeated.
 """
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termloom.operators.postings import term_statistics
+from termloom.operators.postings import TF_EDGES, term_statistics
 from termloom.sources.shared import BROADCAST_ROWS, broadcast_within
 
 META_SCHEMA = (
@@ -277,7 +278,10 @@ def write_terms(
 def write_postings(
     entries: DataFrame, path: str, batch: int, buckets: int, slices: int, min_df: int = 0
 ) -> None:
-    """Write ``(term, part, doc_id, tf[, doc_len])`` rows by kind and bucket, sorted by term and document.
+    """Write ``(term, part, doc_id, tf[, doc_len])`` rows by kind and bucket, sorted by term, bin of ``tf`` and document.
+
+    The entries with the largest ``tf`` come first.  So a file's pages, whose least and greatest values Parquet keeps
+    apart from them, hold like entries, and a reader that asks for a term's heavy entries passes over the rest.
 
     Every task owns one slice of one bucket.  ``slices`` is a multiple of ``buckets``.  A term is counted where
     its rows are anyway, but for those that may have several parts, which come with ``hot_df``.
@@ -291,7 +295,9 @@ def write_postings(
     sliced = placed.repartitionById(slices, F.col("slice"))
     here = F.count("*").over(W.partitionBy("slice", "bucket", "term", "part"))
     counted = sliced.withColumn("rare", F.coalesce("hot_df", here) <= min_df)
-    ordered = counted.drop("slice", "hot_df").sortWithinPartitions("rare", "bucket", "term", "doc_id")
+    weight_bin = reduce(Column.__add__, ((F.col("tf") >= edge).cast("int") for edge in TF_EDGES))
+    order = ["rare", "bucket", "term", weight_bin.desc(), "doc_id"]
+    ordered = counted.drop("slice", "hot_df").sortWithinPartitions(*order)
     target = f"{path}/postings/batch={batch}"
     ordered.write.mode("overwrite").partitionBy("rare", "bucket").parquet(target)
 

@@ -15,7 +15,7 @@ from termloom import (
     search_title,
 )
 from termloom.functions.text import BUILD_PATTERN
-from termloom.plans.search import body_scores, candidates, cosine_scores, query_terms
+from termloom.plans.search import body_scores, candidates, cosine_scores, pair_weights, query_terms
 
 OPTIONS = dict(pattern=BUILD_PATTERN, stopwords=MINI_STOP)
 
@@ -225,3 +225,32 @@ def test_queries_that_find_nothing(spark, body, titles, anchors, mini, texts):
     assert search_anchor(anchors, names, asked, **OPTIONS).collect() == []
     empty = asked.filter("false")
     assert search(body, titles, empty, **OPTIONS).collect() == []
+
+
+def test_blocks_below_the_floor_are_not_opened(build, spark):
+    """A term's entries lie by falling ``tf``; a small cut opens the first pages only."""
+    rows = spark.range(70_000).selectExpr(
+        "id AS doc_id", "repeat('duck ', IF(id % 100 = 7, 5, IF(id % 3 = 0, 2, 1))) || IF(id % 2 = 0, 'pond', '') AS text"
+    )
+    index = build(rows, buckets=1)
+    asked = spark.createDataFrame([(1, "duck")], "query_id bigint, query_text string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        read = {}
+        for cut in (100, 5_000, 60_000, None):
+            terms = query_terms(index, asked, stopwords=MINI_STOP, n_docs=1_000_000, max_pairs=cut)
+            pairs = pair_weights(index, terms)
+            found = pairs.collect()
+            leaves = pairs._jdf.queryExecution().executedPlan().collectLeaves()
+            scans = [leaves.apply(i) for i in range(leaves.size())]
+            sizes = [s.metrics().apply("numOutputRows").value() for s in scans if "postings" in s.toString()]
+            read[cut] = sum(sizes)
+            every = pair_weights(
+                index, query_terms(index, asked, stopwords=MINI_STOP, n_docs=1_000_000, max_pairs=None)
+            ).collect()
+            best = sorted((-r.w, r.doc_id) for r in every)[: cut or len(every)]
+            assert sorted((-r.w, r.doc_id) for r in found)[: len(best)] == best
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert read[100] <= read[5_000] < read[60_000] <= read[None]
+    assert read[100] <= 25_000
