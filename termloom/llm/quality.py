@@ -4,9 +4,11 @@ Base rules have fixed limits.  On top of them each document has four shares (sym
 capitals, repeated lines, repeated words), and a document goes when one share lies above
 the cutoff of its stratum.  A cutoff may be used only if labelled documents prove it:
 with ``x`` of the stratum's ``n`` good documents above the cutoff, the exact binomial tail
-P(X <= x | n, alpha / rules) must not exceed ``delta`` divided by the number of cutoffs
-tested in all strata (Bonferroni).  With confidence ``1 - delta`` no stratum then loses more
-than ``alpha`` of its good documents to the rules.  Of the proven cutoffs of a rule the
+P(X <= x | n, alpha / rules) must not exceed ``delta`` divided by the number of strata times
+that of rules (Bonferroni).  A rule's cutoffs are tested in a fixed sequence, from the most lenient
+on, up to the first that is not proven; so their number costs no confidence.  (``x`` only grows
+on the way, and the tail with it: those before the first failure are just those that pass.)
+With confidence ``1 - delta`` no stratum then loses more than ``alpha`` of its good documents to the rules.  Of the proven cutoffs of a rule the
 one with the largest surplus of bad over good documents above it is taken, and none if
 there is no surplus; on a tie, the most lenient.
 
@@ -190,14 +192,14 @@ def fit(
         )
     )
     counted = materialize(counted, "quality-counts")
-    n_tests = counted.count()
+    n_sequences = counted.select("stratum", "rule").distinct().count()
     p = risk.alpha / len(risk.grids)
     # Where more than the allowed share is above the cutoff, the tail is far over delta.
     hopeful = counted.filter(F.col("good_above") <= p * F.col("n_good"))
     tail = _lower_tail(F.col("good_above"), F.col("n_good"), p)
     proven = (
         hopeful.filter(F.col("bad_above") > F.col("good_above"))
-        .filter(tail <= risk.delta / max(n_tests, 1))
+        .filter(tail <= risk.delta / max(n_sequences, 1))
     )
     best = F.max_by(
         F.struct("cutoff", "n_good", "good_above", "bad_above"),

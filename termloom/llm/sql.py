@@ -61,7 +61,7 @@ proven AS (
             lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
             + i * ln({p}::DOUBLE) + (n - i) * ln(1 - {p}::DOUBLE)))) AS tail
         FROM counted WHERE x <= {p} * n AND bad > x)
-  WHERE tail <= {risk.delta} / (SELECT count(*) FROM counted)),
+  WHERE tail <= {risk.delta} / (SELECT count(*) FROM (SELECT DISTINCT lang, rule FROM counted))),
 cutoffs AS (SELECT lang, {limits} FROM proven WHERE r = 1 GROUP BY lang)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND failed_rules = '' AS kept, failed_rules

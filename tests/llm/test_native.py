@@ -103,6 +103,46 @@ def test_cutoffs_need_proof(spark, n, good_above, proven):
     assert judged.count() == df.count()
 
 
+def test_tests_in_sequence_cost_no_confidence(spark):
+    """600 good documents prove a cutoff over four sequences, but not over the 21 cutoffs in them."""
+    df, labels = made_features(spark, 600, 0)
+    assert {(r.rule, r.cutoff) for r in quality.fit(df, labels).collect()} == {("symbols", 0.3)}
+    one = quality.Risk(grids={"symbols": (0.3,), "capitals": (0.5,), "lines": (0.4,), "repeats": (0.4,)})
+    assert [r.cutoff for r in quality.fit(df, labels, one).collect()] == [0.3]
+    # The strictest cutoff is proven only if all before it are.
+    strict = df.withColumn("n_symbols", F.when(F.col("doc_id") < 60, 1).otherwise(F.col("n_symbols")).cast("bigint"))
+    grid = quality.Risk(grids={**quality.Risk().grids, "symbols": (0.005, 0.3)})
+    assert [r.cutoff for r in quality.fit(strict, labels, grid).collect()] == [0.3]
+
+
+def test_cutoffs_in_force_equal_sql(spark, tmp_path):
+    """The query on tables with labels enough for cutoffs in two of three strata, against its SQL."""
+    pick = random.Random(4)
+    rows, labels = [], []
+    for i in range(2600):
+        lang = ("en", "de", None)[0 if i < 1300 else 1 if i < 2500 else 2]
+        words = [f"w{pick.randrange(10_000)}" for _ in range(60)]
+        bad = i % 5 == 0
+        if bad and lang == "en":
+            words = [w + "#" * 5 for w in words]
+        text = " ".join(words)
+        if bad and lang == "de":
+            text = "\n".join(" ".join(words[k : k + 3]) for k in range(0, 60, 3)) + "\n" + "\n".join(["same line"] * 12)
+        rows.append((i, text, lang, "s", len(text)))
+        labels.append((i, 0 if bad else 1, 0))
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").coalesce(1).write.parquet(str(tmp_path / "labels.parquet"))
+    found = entry.queries()["op10_quality_rules"](spark, str(tmp_path))
+    got = sorted(tuple(str(x) for x in r) for r in found.collect())
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    made = con.execute(f"SELECT {', '.join(found.columns)} FROM ({queries.ORACLE_SQL['op10_quality_rules']})").fetchall()
+    assert got == sorted(tuple(str(x) for x in r) for r in made)
+    acting = found.filter("failed_rules <> ''").groupBy("failed_rules").count().collect()
+    assert {r["failed_rules"]: r["count"] for r in acting} == {"symbols": 260, "lines,repeats": 240}
+
+
 def test_quality_of_odd_rows(spark, odd):
     none = spark.createDataFrame([], "doc_id bigint, quality int")
     rows = quality.judge(odd, none).collect()
