@@ -9,14 +9,15 @@ is cut into cells, so that only some ``t = K ln K + 2 K`` darts are made for a d
 its length; coordinates left empty get another go at twice the height.
 
 *Candidates.*  ``BANDS`` bands of ``ROWS`` coordinates each name a bucket.  Within a bucket no
-pairs are listed: every member is compared with two of them, the least and the greatest text.
+pairs are listed: every member is compared with two of them, the most central one and another.  Central is
+who is in large buckets: near the middle of a group more members are within reach.
 At similarity 0.8 a pair shares a bucket with a chance of 0.9998.
 *Check.*  The Jaccard similarity of each compared pair is computed from its shingles.
 *Classes.*  Connected components of all links.  Before they are known, nodes near one least node count as a class:
 one member of each class of a bucket meets one of its largest class and one of another class.
 *Rest.*  Buckets that then still hold several classes are settled exactly: of the members of such buckets
 all pairs of different classes are compared, but for those that a prefix filter proves to be less
-similar.  Shingles are put in one order, rare ones first; two texts similar enough have their
+similar and those that are of one class after some have been compared.  Shingles are put in one order, rare ones first; two texts similar enough have their
 first common shingle so early in both that enough shingles are left after it.
 
 Copies are one text from the start: a group of copies is one node.  Texts are named by two 64-bit hashes.
@@ -50,6 +51,9 @@ MADE = ["class_id", "class_size", "kept"]
 COMMON = LEAST_SIMILARITY / (1 + LEAST_SIMILARITY)
 # Counters by which shingles are put in order; two in one counter only look more frequent.
 COUNTERS = 1 << 20
+# More pairs than this are compared in waves: one pair of so many, then of those left.
+WAVE_PAIRS = 10_000
+WAVES = (16, 4)
 # A shingle that begins more texts than this meets its other join side in several pieces.
 PIECE_ROWS = 1_000
 # Heights of the cells below 1, lowest first; from 1 on every cell has height 1.
@@ -276,7 +280,9 @@ def roots_of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
         F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")
     )
     shared = materialize(shared.filter(F.col("n") > 1), "dedup-buckets")
-    members = materialize(members.join(shared, "bucket"), "dedup-members")
+    members = materialize(members.join(shared, "bucket"), "dedup-shared-buckets")
+    central = materialize(members.groupBy("node").agg(F.sum("n").alias("central")), "dedup-central")
+    members = materialize(members.join(central, "node"), "dedup-members")
 
     # A copy stands for all: the row, or rows, of a node with its least id.
     wanted = materialize(
@@ -289,7 +295,11 @@ def roots_of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     sets = shingle_sets(chosen).groupBy("node").agg(F.first("shingles").alias("shingles"))
     sets = materialize(sets, "dedup-sets")
 
-    ends = members.select("node", F.explode(F.array("low", "high")).alias("b"))
+    hubs = members.groupBy("bucket", "low", "high").agg(F.max_by("node", F.struct("central", "node")).alias("hub"))
+    ends = members.select("node", "bucket").join(hubs, "bucket")
+    # In a bucket of three every pair meets, as there are two different ends.
+    second = F.when(F.col("hub") == F.col("low"), F.col("high")).otherwise(F.col("low"))
+    ends = ends.select("node", F.explode(F.array(F.col("hub"), second)).alias("b"))
     pairs = ends.filter(F.col("node") != F.col("b")).select(
         F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")
     )
@@ -299,10 +309,29 @@ def roots_of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
         more = find(members, materialize(_provisional(links), "dedup-classes"), sets)
         if more is None:
             break
-        links = links.unionByName(materialize(_checked(more, sets), "dedup-links"))
+        links = _linked(links, more, sets)
     return connected(links)
 
 
+def _linked(links: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``links`` and those among distinct written ``pairs``, but for pairs whose ends are of one class by then.
+
+    Many pairs are compared in waves.  Two classes of many pairs are one after some of them, if they ever are.
+    """
+    waves = WAVES if rows_up_to_limit(pairs, WAVE_PAIRS) > WAVE_PAIRS else ()
+    turn = F.xxhash64("a", "b")
+    for share in waves:
+        now = F.pmod(turn, F.lit(share)) == 0
+        links = links.unionByName(materialize(_checked(pairs.filter(now), sets), "dedup-links"))
+        roots = materialize(_provisional(links), "dedup-classes")
+        pairs = pairs.filter(~now)
+        for end in ("a", "b"):
+            pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+        apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+        pairs = materialize(pairs.filter(apart).select("a", "b"), "dedup-left")
+    return links.unionByName(materialize(_checked(pairs, sets), "dedup-links"))
+
+
 def _provisional(links: DataFrame) -> DataFrame:
     """``(node, root)``: the least node within three links.
 
@@ -313,6 +342,8 @@ def _provisional(links: DataFrame) -> DataFrame:
     both = links.select("a", "b").unionByName(back)
     near = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root"))
     for _ in range(2):
+        # Written, as it is read twice.
+        near = materialize(near, "dedup-near")
         reach = both.join(near.withColumnRenamed("a", "b"), "b").select("a", "root")
         near = reach.unionByName(near).groupBy("a").agg(F.min("root").alias("root"))
     return near.withColumnRenamed("a", "node")
@@ -333,9 +364,10 @@ def _between_classes(members: DataFrame, roots: DataFrame, sets: DataFrame) -> D
     )
     chosen = materialize(chosen.filter(F.col("n") > 1).select("bucket", F.array("largest", "other").alias("centers")), "dedup-centers")
     met = per_class.join(chosen, "bucket").select("root", "node", F.explode(F.array_distinct("centers")).alias("center"))
-    return met.filter(F.col("root") != F.col("center.root")).select(
+    pairs = met.filter(F.col("root") != F.col("center.root")).select(
         F.greatest("node", "center.node").alias("a"), F.least("node", "center.node").alias("b")
-    ).distinct()
+    )
+    return materialize(pairs.distinct(), "dedup-pairs")
 
 
 def _rest(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame | None:

@@ -122,6 +122,27 @@ def test_pairs_on_one_template(docs_of):
     assert {r.doc_id: r.class_id for r in rows} == wanted
 
 
+def test_near_copies_are_linked_by_few_comparisons(docs_of, monkeypatch):
+    """Copies of one text with changes of their own: most pairs are below the limit, all are of one class."""
+    pick = random.Random(8)
+    base, texts = prose(pick, 146), {}
+    for i in range(600):
+        copy = list(base)
+        for k in pick.sample(range(146), pick.choice([1, 2, 2, 3])):
+            copy[k] = f"x{pick.randrange(10**7)}"
+        texts[i] = " ".join(copy)
+    compared, check = [], dedup._checked
+
+    def counted(pairs, sets):
+        compared.append(pairs.count())
+        return check(pairs, sets)
+
+    monkeypatch.setattr(dedup, "_checked", counted)
+    rows = dedup.classes(docs_of(list(texts.items()))).collect()
+    assert {r.doc_id: r.class_id for r in rows} == brute_classes(texts)
+    assert sum(compared) < 60 * len(texts)
+
+
 def test_dedup_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     rows = queries.op3_minhash_dedup(spark, DATA).collect()
