@@ -11,6 +11,7 @@ from termloom.operators.matching import match_postings
 from termloom.operators.postings import document_frequency, word_count
 from termloom.operators.ranking import top_per_group
 from termloom.operators.query_terms import query_term_counts
+from termloom.plans import search
 from termloom.plans.build import _tokenised
 from termloom.plans.search import body_scores, pair_weights, query_terms
 from termloom.sources.tables import scan_documents
@@ -82,3 +83,30 @@ def test_hits_come_from_the_vocabulary_only(body):
     assert "GreaterThan(df,0)" in plan(body.vocabulary())
     text = plan(body.terms())
     assert "tf_bins" not in text
+
+
+def test_matches_are_dealt_out_by_document(body, titles, queries, monkeypatch):
+    """Beyond the rows of a task the wanted postings move once, before they are repeated for queries."""
+    from termloom.operators import matching
+    from termloom.sources import shared
+
+    wanted = {}
+    for rows in (None, 2):
+        if rows:
+            monkeypatch.setattr(shared, "TASK_ROWS", rows)
+            monkeypatch.setattr(matching, "TASK_ROWS", rows)
+        hits = search.index_hits(body, queries)
+        found = search.search(body, titles, queries), search.search_body_cosine(body, titles, queries), hits
+        text = plan(hits)
+        wanted[rows] = [sorted(map(repr, f.collect())) for f in found]
+        assert ("REPARTITION_BY_NUM" in text) == bool(rows)
+    assert "hashpartitioning(query_id" not in text
+    assert wanted[None] == wanted[2]
+
+
+def test_all_pairs_of_a_query_do_not_meet_uncut(body, queries):
+    terms = query_terms(body, queries, max_pairs=None)
+    rows = search.candidates(body, terms, max_pairs=None)
+    assert "Window" not in plan(rows.groupBy("query_id", "doc_id").agg(F.sum("w")))
+    per_query = rows.groupBy("query_id").agg(F.max("ck").alias("last"), F.count("*").alias("n")).collect()
+    assert per_query and all(r.last == r.n for r in per_query)
