@@ -30,6 +30,7 @@ names; those in ``MADE`` are replaced.
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -304,32 +305,51 @@ def roots_of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
         F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")
     )
     links = materialize(_checked(pairs.distinct(), sets), "dedup-links")
+    roots = materialize(_provisional(links), "dedup-classes")
     members = members.select("node", "bucket")
     for find in (_between_classes, _rest):
-        more = find(members, materialize(_provisional(links), "dedup-classes"), sets)
+        more = find(members, roots, sets)
         if more is None:
             break
-        links = _linked(links, more, sets)
+        found, roots = _linked(roots, more, sets)
+        links = links.unionByName(found)
     return connected(links)
 
 
-def _linked(links: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``links`` and those among distinct written ``pairs``, but for pairs whose ends are of one class by then.
+def _linked(roots: DataFrame, pairs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The links among distinct written ``pairs``, but for pairs whose ends are of one class by then, and ``roots`` with them.
 
     Many pairs are compared in waves.  Two classes of many pairs are one after some of them, if they ever are.
     """
     waves = WAVES if rows_up_to_limit(pairs, WAVE_PAIRS) > WAVE_PAIRS else ()
-    turn = F.xxhash64("a", "b")
+    turn, links = F.xxhash64("a", "b"), []
     for share in waves:
         now = F.pmod(turn, F.lit(share)) == 0
-        links = links.unionByName(materialize(_checked(pairs.filter(now), sets), "dedup-links"))
-        roots = materialize(_provisional(links), "dedup-classes")
-        pairs = pairs.filter(~now)
-        for end in ("a", "b"):
-            pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
-        apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
-        pairs = materialize(pairs.filter(apart).select("a", "b"), "dedup-left")
-    return links.unionByName(materialize(_checked(pairs, sets), "dedup-links"))
+        links.append(materialize(_checked(pairs.filter(now), sets), "dedup-links"))
+        roots = _merged(roots, links[-1])
+        apart = F.col("root_a") != F.col("root_b")
+        pairs = materialize(_with_roots(pairs.filter(~now), roots).filter(apart).select("a", "b"), "dedup-left")
+    links.append(materialize(_checked(pairs, sets), "dedup-links"))
+    return reduce(DataFrame.unionByName, links), _merged(roots, links[-1])
+
+
+def _with_roots(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(a, b, root_a, root_b)``; a node without links is its own root."""
+    for end in ("a", "b"):
+        of_end = roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+        pairs = pairs.join(of_end, end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
+    return pairs
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after further links: only the classes that these link are looked at again, whatever the number of links before."""
+    ends = _with_roots(links, roots).filter(F.col("root_a") != F.col("root_b"))
+    ends = ends.select(F.greatest("root_a", "root_b").alias("a"), F.least("root_a", "root_b").alias("b"))
+    now = _provisional(materialize(ends.distinct(), "dedup-class-links"))
+    now = materialize(now.select(F.col("node").alias("root"), F.col("root").alias("least")), "dedup-class-roots")
+    moved = roots.join(now, "root", "left").select("node", F.coalesce("least", "root").alias("root"))
+    added = now.select(F.col("root").alias("node"), F.col("least").alias("root")).join(roots, "node", "left_anti")
+    return materialize(moved.unionByName(added), "dedup-classes")
 
 
 def _provisional(links: DataFrame) -> DataFrame:

@@ -143,6 +143,42 @@ def test_near_copies_are_linked_by_few_comparisons(docs_of, monkeypatch):
     assert sum(compared) < 60 * len(texts)
 
 
+def test_classes_are_merged_by_new_links_only(docs_of, monkeypatch):
+    """All links are looked at once; after further ones, only what these link."""
+    pick = random.Random(8)
+    base, texts = prose(pick, 146), {}
+    for i in range(300):
+        copy = list(base)
+        for k in pick.sample(range(146), pick.choice([1, 2, 2, 3])):
+            copy[k] = f"x{pick.randrange(10**7)}"
+        texts[i] = " ".join(copy)
+    monkeypatch.setattr(dedup, "WAVE_PAIRS", 20)
+    given, found, near, check = [], [], dedup._provisional, dedup._checked
+
+    def counted(links):
+        given.append(links.count())
+        return near(links)
+
+    def counted_links(pairs, sets):
+        links = check(pairs, sets)
+        found.append(links.count())
+        return links
+
+    monkeypatch.setattr(dedup, "_provisional", counted)
+    monkeypatch.setattr(dedup, "_checked", counted_links)
+    rows = dedup.classes(docs_of(list(texts.items()))).collect()
+    assert {r.doc_id: r.class_id for r in rows} == brute_classes(texts)
+    assert len(given) > 2
+    assert all(n <= links for n, links in zip(given, found, strict=True))
+
+
+def test_merged_classes(spark):
+    roots = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5)], "node long, root long")
+    links = spark.createDataFrame([(6, 2), (8, 7), (2, 1)], "a long, b long")
+    merged = {r.node: r.root for r in dedup._merged(roots, links).collect()}
+    assert merged == {1: 1, 2: 1, 5: 1, 6: 1, 7: 7, 8: 7}
+
+
 def test_dedup_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     rows = queries.op3_minhash_dedup(spark, DATA).collect()
