@@ -66,6 +66,25 @@ def test_hot_terms_are_cut_into_parts(build, mini, body):
     assert placed <= known
 
 
+@pytest.mark.parametrize("entries", [0, 10**6, 880 * 10**6, 5 * 10**10])
+def test_a_task_sorts_a_bounded_number_of_entries(entries):
+    slices = build_module._slices(124, entries)
+    assert slices % 124 == 0 and slices >= 124
+    assert entries / slices <= 2_000_000
+
+
+def test_slices_hold_the_same_index(build, mini, monkeypatch):
+    whole = build(mini, buckets=2, part_rows=2)
+    monkeypatch.setattr(build_module, "SLICE_ROWS", 2)
+    sliced = build(mini, buckets=2, part_rows=2)
+    assert content(sliced) == content(whole)
+    places = [
+        {(r.term, r.part, r.doc_id, r.bucket) for r in index.posting_table().collect()} for index in (whole, sliced)
+    ]
+    assert places[0] == places[1]
+    assert len(sliced.posting_table().inputFiles()) > len(whole.posting_table().inputFiles())
+
+
 @pytest.mark.parametrize("part_rows", [1, None])
 def test_two_batches_equal_one(build, mini, part_rows):
     whole = build(mini, min_df=1, part_rows=part_rows)
